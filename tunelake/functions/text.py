@@ -5,6 +5,7 @@ from __future__ import annotations
 import unicodedata
 
 import pandas as pd
+import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -62,11 +63,13 @@ def song_key(title: Column | str, artist: Column | str) -> Column:
     return F.concat(_as_col(title), F.lit(SONG_KEY_SEPARATOR), _as_col(artist))
 
 
+_MARKS = regex.compile(r"\p{M}+")
+
+
 def _fold_one(value):
     if value is None or value.isascii():
         return value
-    decomposed = unicodedata.normalize("NFD", value)
-    return "".join(ch for ch in decomposed if unicodedata.category(ch) not in ("Mn", "Mc", "Me"))
+    return _MARKS.sub("", unicodedata.normalize("NFD", value))
 
 
 @F.pandas_udf(T.StringType())

@@ -72,6 +72,9 @@ def refresh_charts(spark: SparkSession, landing: str, bronze: str, silver: str,
 
 
 def read_silver(spark: SparkSession, silver: str, schema: T.StructType) -> DataFrame:
+    """The refreshed table (empty until a first batch has arrived)."""
+    if not path_exists(spark, silver):
+        return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(silver).select(*[f.name for f in schema.fields])
 
 
