@@ -1,0 +1,81 @@
+"""End-to-end zone flow on tiny music fixtures written as landing CSVs."""
+
+import csv
+import datetime as dt
+
+from tunelake import schemas as S
+from tunelake.plans import zones
+from tunelake.sources import manifest, readers
+
+
+def _write_csv(path, header, rows_):
+    with open(path, "w", newline="", encoding="utf-8") as fh:
+        w = csv.writer(fh)
+        w.writerow(header)
+        w.writerows(rows_)
+
+
+def _landing(root):
+    import os
+    os.makedirs(f"{root}/landing")
+    tracks_h = [s.source for s in S.TRACKS_SPEC]
+    tracks = []
+    for i in range(12):
+        artist = "Band" if i < 6 else "Solo"
+        tracks.append([f"t{i}", f"Song {i}", artist, "alb", str(40 + i), str(25000 + i * 1000),
+                       "True" if i % 2 else "False"] + [str(0.1 * (i % 5))] * 2 + ["5"] + ["-4.0", "1"]
+                      + [str(0.05 * i)] * 5 + ["120.0"])
+    tracks.append(["", "No id", "X", "alb", "1", "1", "False"] + ["0"] * 11)
+    _write_csv(f"{root}/landing/spotify-tracks-dataset.csv", tracks_h, tracks)
+    charts_h = [f.name for f in S.CHARTS_LANDING_SCHEMA.fields]
+    charts = []
+    for d in range(3):
+        date = f"2024-01-0{d + 1}"
+        for r in range(1, 4):
+            i = (r + d) % 12
+            charts.append([f"sp{i}", f"Song {i}", "Band", str(r), "", "", " es ", date, "50", "False",
+                           "200000", "alb", "2023-05-01", "0.5", "0.5", "1", "-5", "1", "0.1",
+                           "0.1", "0.0", "0.1", "0.5", "120.0", "4.0"])
+    charts.append(["dup", "Song 1", "Band", "1", "", "", "es", "2024-01-01", "50", "False", "1", "alb",
+                   "2023-05-01", "0.5", "0.5", "1", "-5", "1", "0.1", "0.1", "0.0", "0.1", "0.5", "120", "4"])
+    _write_csv(f"{root}/landing/top-spotify-songs-by-country.csv", charts_h, charts)
+    lyrics_h = ["Unnamed: 0", "artist", "song_name", "lyrics"]
+    lyrics = [[str(i), "Band Lyrics" if i < 6 else "Solo Lyrics", f"Song {i}", f"line one\nline \"{i}\""]
+              for i in range(12)]
+    lyrics.append(["3", "Other", "Dup", "dup id"])
+    _write_csv(f"{root}/landing/songs-lyrics.csv", lyrics_h, lyrics)
+    _write_csv(f"{root}/landing/songs_details.csv", ["a"], [["1"]])
+
+
+def test_run_all_and_consumers(spark, tmp_dir):
+    _landing(tmp_dir)
+    layout = manifest.ZoneLayout(tmp_dir)
+    reports = zones.run_all(spark, layout, variant="script")
+    fmt = reports["formatted"]
+    assert fmt.counts["spotify-tracks-dataset"]["rows_removed"] == 1
+    assert set(fmt.written) == {"spotify-tracks-dataset", "top-spotify-songs-by-country", "songs-lyrics"}
+    trusted = reports["trusted"]
+    # duration >= 30000 keeps t5..t11 (7 rows)
+    assert trusted.counts["spotify-tracks-dataset"]["rows_out"] == 7
+    # one duplicate (date, country, rank) row removed
+    assert trusted.counts["top-spotify-songs-by-country"]["rows_removed"] == 1
+    assert trusted.counts["songs-lyrics"]["rows_removed"] == 1
+    top = readers.read_csv(spark, layout.analytics("top_artists"), S.TOP_ARTISTS_SCHEMA).collect()
+    assert [(r["artist_name"], r["track_count"]) for r in top] == [("Solo", 6)]
+    assert "songs_by_year" not in reports["analytics"].written  # no release_year column
+    expl = spark.read.parquet(layout.exploitation("explicit_prediction"))
+    assert expl.count() == 7    # " Lyrics" stripped; trusted tracks t5..t11 all match
+    hist = zones.chart_history_for(spark, layout, "ES", "2024-01-01", "2024-01-03").collect()
+    assert len(hist) == 3 * 15
+    assert hist[0]["snapshot_date"] == dt.date(2024, 1, 1)
+
+
+def test_classifier_report(spark, tmp_dir):
+    layout = manifest.ZoneLayout(tmp_dir)
+    data = [(("rude word " * 4 if i % 4 == 0 else "gentle song text ") + str(i), i % 4 == 0) for i in range(400)]
+    spark.createDataFrame(data, "song_lyrics string, explicit boolean") \
+        .write.parquet(layout.exploitation("explicit_prediction"))
+    rep = zones.classifier_report(spark, layout)
+    bal = {r["label"]: r["count"] for r in rep["balanced_counts"].collect()}
+    assert len(set(bal.values())) == 1
+    assert rep["confusion_matrix"].count() == 4

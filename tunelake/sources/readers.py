@@ -49,6 +49,22 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hadoop_path))
 
 
+def list_files(spark: SparkSession, folder: str, suffixes: Sequence[str] = (".csv", ".parquet")) -> list[str]:
+    """Files (or Parquet folders) directly inside ``folder`` whose name ends
+    with one of ``suffixes``; empty when the folder does not exist."""
+    jvm = spark.sparkContext._jvm
+    hadoop_path = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(hadoop_path):
+        return []
+    out = []
+    for status in fs.listStatus(hadoop_path):
+        name = status.getPath().getName()
+        if name.endswith(tuple(suffixes)):
+            out.append(status.getPath().toString())
+    return sorted(out)
+
+
 def rename_if_present(df: DataFrame, renames: Mapping[str, str]) -> DataFrame:
     """PRJ7: rename only the columns that exist."""
     present = {k: v for k, v in renames.items() if k in df.columns}
