@@ -35,26 +35,44 @@ def artist_popularity(df: DataFrame, group: str = "artist_name", measure: str =
 
 
 def entries_by(df: DataFrame, group: str, distinct_col: str, entries_name: str,
-               distinct_name: str, top: int | None = S.TOP_N, approx: bool = False) -> DataFrame:
+               distinct_name: str, top: int | None = S.TOP_N, approx: bool = False,
+               weight_col: str | None = None) -> DataFrame:
     """AGG2/AGG3/TOP2: row count and distinct count per group, largest first.
 
+    ``weight_col`` lets a caller pre-aggregate rows (e.g. per join key,
+    before a join) and pass the row counts; entries are then their sum.
     ``approx=True`` swaps the exact distinct count for HyperLogLog, which
     merges map-side even when one group holds most distinct values.
     """
     distinct = F.approx_count_distinct(distinct_col) if approx else F.countDistinct(distinct_col)
-    agg = df.groupBy(group).agg(F.count(F.lit(1)).alias(entries_name), distinct.alias(distinct_name))
+    entries = F.sum(weight_col).cast("bigint") if weight_col else F.count(F.lit(1))
+    agg = df.groupBy(group).agg(entries.alias(entries_name), distinct.alias(distinct_name))
     ordered = agg.orderBy(F.desc(entries_name), _asc(group))
     return ordered.limit(top) if top else ordered
 
 
+def pre_aggregate(df: DataFrame, keys: Sequence[str], weight_name: str = "__rows") -> DataFrame:
+    """Rows per key combination, as a ``weight`` column for ``entries_by``.
+
+    Run before a join on ``keys``: the partial aggregate shrinks the large
+    side in every map task, so the join shuffles one row per key instead of
+    one per fact row, and a hot key costs one row.
+    """
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(weight_name))
+
+
 def top_countries_by_entries(df: DataFrame, country_col: str = "country",
-                             track_col: str = "track_name", top: int = S.TOP_N) -> DataFrame:
-    return entries_by(df, country_col, track_col, "chart_entries", "unique_tracks", top)
+                             track_col: str = "track_name", top: int = S.TOP_N,
+                             weight_col: str | None = None) -> DataFrame:
+    return entries_by(df, country_col, track_col, "chart_entries", "unique_tracks", top,
+                      weight_col=weight_col)
 
 
 def top_artists_global(df: DataFrame, artist_col: str = "artist_name",
-                       country_col: str = "country", top: int = S.TOP_N) -> DataFrame:
-    return entries_by(df, artist_col, country_col, "chart_appearances", "countries_charted", top)
+                       country_col: str = "country", top: int = S.TOP_N,
+                       weight_col: str | None = None) -> DataFrame:
+    return entries_by(df, artist_col, country_col, "chart_appearances", "countries_charted", top,
+                      weight_col=weight_col)
 
 
 def top_per_group(df: DataFrame, group: str = "country", order: str = "daily_rank",
