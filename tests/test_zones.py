@@ -79,3 +79,26 @@ def test_classifier_report(spark, tmp_dir):
     bal = {r["label"]: r["count"] for r in rep["balanced_counts"].collect()}
     assert len(set(bal.values())) == 1
     assert rep["confusion_matrix"].count() == 4
+
+
+def test_notebook_and_strict_variants(spark, tmp_dir):
+    _landing(tmp_dir)
+    layout = manifest.ZoneLayout(tmp_dir)
+    rep = zones.format_zone(spark, layout, variant="notebook")
+    assert rep.counts["spotify-tracks-dataset"]["rows_removed"] == 0      # null ids kept
+    charts = spark.read.parquet(layout.formatted("top-spotify-songs-by-country"))
+    assert {r["country"] for r in charts.collect()} == {"ES"}            # normalised, not filled
+    layout2 = manifest.ZoneLayout(tmp_dir + "/strict")
+    import shutil
+    shutil.copytree(f"{tmp_dir}/landing", f"{tmp_dir}/strict/landing")
+    zones.format_zone(spark, layout2, variant="strict")
+    tracks = spark.read.parquet(layout2.formatted("spotify-tracks-dataset"))
+    assert {r["artist_name"] for r in tracks.collect()} >= {"band", "solo"}
+    strict_charts = spark.read.parquet(layout2.formatted("top-spotify-songs-by-country"))
+    assert " es " in {r["country"] for r in strict_charts.collect()}
+
+
+def test_update_run_refreshes_charts_only(spark, tmp_dir):
+    _landing(tmp_dir)
+    rep = zones.format_zone(spark, manifest.ZoneLayout(tmp_dir), update=True)
+    assert set(rep.written) == {"top-spotify-songs-by-country"}

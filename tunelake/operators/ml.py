@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -168,7 +169,15 @@ def train_and_evaluate(df: DataFrame, text_col: str = "song_lyrics", label_col:
     train = data.filter(F.col("split") == "train").drop("split")
     if balance:
         train = oversample(train, label_col, id_col=id_col, seed=seed).drop("replica")
-    model = text_classifier(text_col, label_col).fit(train)
+    # The IDF fit and every regression iteration pass over the training
+    # rows: rebalance them into partitions sized by bytes (AQE), so each
+    # iteration runs as many tasks as the data needs, and keep them
+    # (spillable) instead of recomputing the split and oversampling.
+    train = train.hint("rebalance").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        model = text_classifier(text_col, label_col).fit(train)
+    finally:
+        train.unpersist()
     held = data.filter(F.col("split") == eval_split).drop("split")
     preds = (model.transform(held)
                   .select(*keep, F.col("prediction").cast("int").alias("prediction")))

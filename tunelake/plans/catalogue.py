@@ -478,7 +478,8 @@ ORACLE_SQL: dict[str, str] = {
                  COALESCE({_lenient_int('popularity')}, 0) AS popularity,
                  COALESCE({_lenient_int('duration_ms', 'BIGINT')}, 0) AS duration_ms,
                  CAST(try_strptime(album_release_date, '%Y-%m-%d') AS DATE) AS album_release_date,
-                 COALESCE(TRY_CAST(acousticness AS DOUBLE), 0.0) AS acousticness
+                 CASE WHEN isnan(TRY_CAST(acousticness AS DOUBLE)) THEN 0.0
+                      ELSE COALESCE(TRY_CAST(acousticness AS DOUBLE), 0.0) END AS acousticness
           FROM raw)
         SELECT *, CAST(year(snapshot_date) AS INTEGER) AS snapshot_year,
                CAST(month(snapshot_date) AS INTEGER) AS snapshot_month,

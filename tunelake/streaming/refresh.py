@@ -14,6 +14,9 @@ micro-batch goes through ``foreachBatch``:
    uniqueness constraints need every row of a date;
 3. those date partitions of the silver table are overwritten.
 
+Before each partitioned write a ``rebalance`` hint lets AQE group rows by
+date into few files per date while still splitting an oversized date.
+
 Late rows for an old date just rebuild that date; no watermark or state
 store is needed, and the result equals a batch run over all files. The
 stream's checkpoint and the tables live under the cluster's shared folder.
@@ -53,13 +56,14 @@ def refresh_charts(spark: SparkSession, landing: str, bronze: str, silver: str,
     def process(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         (batch.withColumn(BATCH_COL, F.lit(batch_id).cast("bigint"))
+              .hint("rebalance", date_col)
               .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
               .partitionBy(date_col, BATCH_COL).parquet(bronze))
         touched = batch.select(date_col).distinct()
         rows = (session.read.schema(bronze_schema).parquet(bronze)
                        .join(touched, date_col, "left_semi")
                        .select(*data_cols))
-        (rebuild(rows).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        (rebuild(rows).hint("rebalance", date_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                       .partitionBy(date_col).parquet(silver))
 
     query = (stream.writeStream.foreachBatch(process)
