@@ -305,6 +305,27 @@ def q_parquet_roundtrip(spark, sf):
     return readers.read_parquet(spark, path).select(*li.columns)
 
 
+def q_chart_top_countries(spark, sf):
+    return A.top_countries_by_entries(_event_charts(spark, sf))
+
+
+def q_chart_top_songs_by_country(spark, sf):
+    return A.top_per_group(_event_charts(spark, sf))
+
+
+def q_chart_top_songs_per_day(spark, sf):
+    return A.top_per_group(_event_charts(spark, sf), per_snapshot=True)
+
+
+TRUSTED_ORDER_CHART_COLUMNS = ["spotify_id", "track_name", "artist_name", "daily_rank", "country",
+                               "snapshot_date", "popularity", "duration_ms", "acousticness"]
+
+
+def q_formatted_then_trusted(spark, sf):
+    formatted = q_format_charts(spark, sf)
+    return Q.trust_charts(formatted, columns=TRUSTED_ORDER_CHART_COLUMNS)
+
+
 def q_refresh_charts(spark, sf):
     from tunelake.streaming.refresh import replay_refresh
     return replay_refresh(spark, _event_charts(spark, sf), files=4)
@@ -351,6 +372,10 @@ QUERIES: dict[str, Query] = {
     "csv_roundtrip": q_csv_roundtrip,
     "parquet_roundtrip": q_parquet_roundtrip,
     "refresh_charts": q_refresh_charts,
+    "chart_top_countries": q_chart_top_countries,
+    "chart_top_songs_by_country": q_chart_top_songs_by_country,
+    "chart_top_songs_per_day": q_chart_top_songs_per_day,
+    "formatted_then_trusted": q_formatted_then_trusted,
 }
 
 
@@ -405,6 +430,26 @@ def _md5_bucket(id_expr: str, buckets: int) -> str:
     return f"(('0x' || substr(md5('{S.SPLIT_SEED}:' || CAST({id_expr} AS VARCHAR)), 1, 8))::BIGINT % {buckets})"
 
 
+_FORMATTED_CHARTS_CTES = f"""
+        raw AS ({R.RAW_CHARTS_FROM_ORDERS_SQL}),
+        p AS (
+          SELECT spotify_id, name AS track_name, artists AS artist_name,
+                 COALESCE({_lenient_int('daily_rank')}, 0) AS daily_rank,
+                 upper(trim(regexp_replace(country, '\\s+', ' ', 'g'))) AS country,
+                 CAST(try_strptime(snapshot_date, '%Y-%m-%d') AS DATE) AS snapshot_date,
+                 COALESCE({_lenient_int('popularity')}, 0) AS popularity,
+                 COALESCE({_lenient_int('duration_ms', 'BIGINT')}, 0) AS duration_ms,
+                 CAST(try_strptime(album_release_date, '%Y-%m-%d') AS DATE) AS album_release_date,
+                 CASE WHEN isnan(TRY_CAST(acousticness AS DOUBLE)) THEN 0.0
+                      ELSE COALESCE(TRY_CAST(acousticness AS DOUBLE), 0.0) END AS acousticness
+          FROM raw),
+        f AS (
+          SELECT *, CAST(year(snapshot_date) AS INTEGER) AS snapshot_year,
+                 CAST(month(snapshot_date) AS INTEGER) AS snapshot_month,
+                 CAST(day(snapshot_date) AS INTEGER) AS snapshot_day
+          FROM p WHERE track_name IS NOT NULL)"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "top_artists": f"""
         SELECT l_suppkey, {_rnd('avg(l_quantity)', 2)} AS avg_popularity, count(l_orderkey) AS track_count
@@ -468,23 +513,7 @@ ORACLE_SQL: dict[str, str] = {
                TRY_CAST(danceability AS DOUBLE) AS danceability,
                {_lenient_int('key')} AS key
         FROM raw WHERE track_id IS NOT NULL AND track_name IS NOT NULL""",
-    "format_charts": f"""
-        WITH raw AS ({R.RAW_CHARTS_FROM_ORDERS_SQL}),
-        p AS (
-          SELECT spotify_id, name AS track_name, artists AS artist_name,
-                 COALESCE({_lenient_int('daily_rank')}, 0) AS daily_rank,
-                 upper(trim(regexp_replace(country, '\\s+', ' ', 'g'))) AS country,
-                 CAST(try_strptime(snapshot_date, '%Y-%m-%d') AS DATE) AS snapshot_date,
-                 COALESCE({_lenient_int('popularity')}, 0) AS popularity,
-                 COALESCE({_lenient_int('duration_ms', 'BIGINT')}, 0) AS duration_ms,
-                 CAST(try_strptime(album_release_date, '%Y-%m-%d') AS DATE) AS album_release_date,
-                 CASE WHEN isnan(TRY_CAST(acousticness AS DOUBLE)) THEN 0.0
-                      ELSE COALESCE(TRY_CAST(acousticness AS DOUBLE), 0.0) END AS acousticness
-          FROM raw)
-        SELECT *, CAST(year(snapshot_date) AS INTEGER) AS snapshot_year,
-               CAST(month(snapshot_date) AS INTEGER) AS snapshot_month,
-               CAST(day(snapshot_date) AS INTEGER) AS snapshot_day
-        FROM p WHERE track_name IS NOT NULL""",
+    "format_charts": f"WITH {_FORMATTED_CHARTS_CTES} SELECT * FROM f",
     "format_lyrics": f"""
         WITH raw AS ({R.RAW_LYRICS_FROM_DOCUMENTS_SQL}),
         p AS (SELECT {_lenient_int('"Unnamed: 0"')} AS song_id, trim(artist) AS artist_name,
@@ -588,4 +617,36 @@ ORACLE_SQL: dict[str, str] = {
     "csv_roundtrip": f"SELECT {', '.join(DOC_COLUMNS)} FROM documents",
     "parquet_roundtrip": "SELECT * FROM lineitem",
     "refresh_charts": _UNIQUE_RANK_THEN_TITLE,
+    "chart_top_countries": f"""
+        WITH {_EVENT_CHARTS}
+        SELECT country, count(*) AS chart_entries, count(DISTINCT track_name) AS unique_tracks
+        FROM c GROUP BY country ORDER BY chart_entries DESC, country ASC NULLS FIRST LIMIT 10""",
+    "chart_top_songs_by_country": f"""
+        WITH {_EVENT_CHARTS}
+        SELECT * FROM (
+          SELECT country, track_name, artist_name, daily_rank,
+                 CAST(dense_rank() OVER (PARTITION BY country ORDER BY daily_rank ASC NULLS FIRST)
+                      AS INTEGER) AS rank_in_country
+          FROM c) WHERE rank_in_country <= 5""",
+    "chart_top_songs_per_day": f"""
+        WITH {_EVENT_CHARTS}
+        SELECT * FROM (
+          SELECT country, track_name, artist_name, daily_rank,
+                 CAST(dense_rank() OVER (PARTITION BY country, snapshot_date
+                                         ORDER BY daily_rank ASC NULLS FIRST) AS INTEGER) AS rank_in_country
+          FROM c) WHERE rank_in_country <= 5""",
+    "formatted_then_trusted": f"""
+        WITH {_FORMATTED_CHARTS_CTES},
+        t0 AS (SELECT {', '.join(TRUSTED_ORDER_CHART_COLUMNS)} FROM f
+               WHERE track_name IS NOT NULL AND artist_name IS NOT NULL),
+        s1 AS (SELECT * FROM t0 QUALIFY row_number() OVER (
+                 PARTITION BY snapshot_date, country, daily_rank
+                 ORDER BY track_name ASC NULLS FIRST, spotify_id ASC NULLS FIRST, artist_name ASC NULLS FIRST,
+                          popularity ASC NULLS FIRST, duration_ms ASC NULLS FIRST,
+                          acousticness ASC NULLS FIRST) = 1)
+        SELECT * FROM s1 QUALIFY row_number() OVER (
+                 PARTITION BY artist_name, country, track_name, snapshot_date
+                 ORDER BY track_name ASC NULLS FIRST, spotify_id ASC NULLS FIRST, daily_rank ASC NULLS FIRST,
+                          popularity ASC NULLS FIRST, duration_ms ASC NULLS FIRST,
+                          acousticness ASC NULLS FIRST) = 1""",
 }
