@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tunelake import schemas as S
 from tunelake.functions.hashing import hash_order_key, stable_bucket
+from tunelake.session import shared_dir
 
 SPLIT_BUCKETS = 10000
 
@@ -175,9 +176,17 @@ def train_and_evaluate(df: DataFrame, text_col: str = "song_lyrics", label_col:
     # (spillable) instead of recomputing the split and oversampling.
     train = train.hint("rebalance").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        model = text_classifier(text_col, label_col).fit(train)
+        fitted = text_classifier(text_col, label_col).fit(train)
     finally:
         train.unpersist()
+    # Keep the model in the shared folder and use the stored copy: it
+    # survives a lost driver, and it carries no training summary (the summary
+    # holds a session reference that cannot be shipped to executors once the
+    # session has served an Observation).
+    from pyspark.ml import PipelineModel
+    path = shared_dir(df.sparkSession, "models")
+    fitted.write().save(path)
+    model = PipelineModel.load(path)
     held = data.filter(F.col("split") == eval_split).drop("split")
     preds = (model.transform(held)
                   .select(*keep, F.col("prediction").cast("int").alias("prediction")))

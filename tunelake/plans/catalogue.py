@@ -243,6 +243,10 @@ def q_new_entries(spark, sf):
     return X.new_entries(ev, "snapshot_date", "user_id")
 
 
+def q_history_new_entries(spark, sf):
+    return X.new_entries(q_chart_history(spark, sf))
+
+
 def q_class_balance(spark, sf):
     return M.class_counts(_t(spark, sf, "labels"), "toxic")
 
@@ -362,6 +366,7 @@ QUERIES: dict[str, Query] = {
     "violation_report": q_violation_report,
     "chart_history": q_chart_history,
     "new_entries": q_new_entries,
+    "history_new_entries": q_history_new_entries,
     "class_balance": q_class_balance,
     "stable_split": q_stable_split,
     "oversample": q_oversample,
@@ -450,6 +455,51 @@ _FORMATTED_CHARTS_CTES = f"""
           FROM p WHERE track_name IS NOT NULL)"""
 
 
+_CHART_HISTORY = f"""
+        WITH rows AS (
+          SELECT CAST(ts AS DATE) AS snapshot_date, CAST(user_id AS INTEGER) AS position,
+                 COALESCE(regexp_replace(props, '{SPECIAL_CHARS_PATTERN}', '', 'g'), '') AS track_name,
+                 COALESCE(regexp_replace(event_type, '{SPECIAL_CHARS_PATTERN}', '', 'g'), '') AS artist_name,
+                 event_type AS country
+          FROM events
+          WHERE event_type = '{HISTORY_COUNTRY}'
+            AND CAST(ts AS DATE) BETWEEN DATE '{HISTORY_START}' AND DATE '{HISTORY_END}'
+            AND CAST(user_id AS INTEGER) <= {S.CHART_SLOTS}),
+        keyed AS (SELECT *, track_name || ' - ' || artist_name AS song_id,
+                         CAST({S.CHART_SLOTS + 1} - position AS INTEGER) AS rank_value FROM rows),
+        taken AS (SELECT * FROM keyed QUALIFY row_number() OVER (
+                    PARTITION BY snapshot_date, position ORDER BY track_name, artist_name, country,
+                    song_id, rank_value) = 1),
+        grid AS (SELECT d.snapshot_date, CAST(g.position AS INTEGER) AS position
+                 FROM (SELECT DISTINCT snapshot_date FROM rows) d,
+                      (SELECT unnest(range(1, {S.CHART_SLOTS + 1})) AS position) g),
+        complete AS (SELECT g.snapshot_date, g.position, t.track_name, t.artist_name, t.country,
+                            t.song_id, t.rank_value
+                     FROM grid g LEFT JOIN taken t
+                       ON g.snapshot_date = t.snapshot_date AND g.position = t.position),
+        firsts AS (SELECT *, CASE WHEN song_id IS NOT NULL
+                                  THEN min(snapshot_date) OVER (PARTITION BY song_id) END AS first_appearance
+                   FROM complete)
+        SELECT snapshot_date, position, track_name, artist_name, country,
+               COALESCE(song_id, '') AS song_id, COALESCE(rank_value, 0) AS rank_value, first_appearance,
+               COALESCE(snapshot_date = first_appearance, false) AS is_new
+        FROM firsts"""
+
+
+def _new_entries_sql(source: str, date_expr: str, song_expr: str) -> str:
+    return f"""
+        WITH present AS (SELECT DISTINCT {date_expr} AS snapshot_date, {song_expr} AS song_id
+                         FROM {source} src
+                         WHERE {song_expr} IS NOT NULL AND CAST({song_expr} AS VARCHAR) <> ''),
+        dates AS (SELECT snapshot_date, lag(snapshot_date) OVER (ORDER BY snapshot_date) AS prev_date
+                  FROM (SELECT DISTINCT snapshot_date FROM present)),
+        cand AS (SELECT p.snapshot_date, p.song_id, d.prev_date FROM present p
+                 JOIN dates d ON p.snapshot_date = d.snapshot_date WHERE d.prev_date IS NOT NULL)
+        SELECT snapshot_date, song_id, prev_date FROM cand c
+        WHERE NOT EXISTS (SELECT 1 FROM present q WHERE q.snapshot_date = c.prev_date
+                                                     AND q.song_id = c.song_id)"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "top_artists": f"""
         SELECT l_suppkey, {_rnd('avg(l_quantity)', 2)} AS avg_popularity, count(l_orderkey) AS track_count
@@ -542,45 +592,9 @@ ORACLE_SQL: dict[str, str] = {
                n0 AS rows_in, n1 AS rows_kept, n0 - n1 AS rows_removed FROM n
         UNION ALL
         SELECT CAST(2 AS INTEGER), 'unique_artist_title', n1, n2, n1 - n2 FROM n""",
-    "chart_history": f"""
-        WITH rows AS (
-          SELECT CAST(ts AS DATE) AS snapshot_date, CAST(user_id AS INTEGER) AS position,
-                 COALESCE(regexp_replace(props, '{SPECIAL_CHARS_PATTERN}', '', 'g'), '') AS track_name,
-                 COALESCE(regexp_replace(event_type, '{SPECIAL_CHARS_PATTERN}', '', 'g'), '') AS artist_name,
-                 event_type AS country
-          FROM events
-          WHERE event_type = '{HISTORY_COUNTRY}'
-            AND CAST(ts AS DATE) BETWEEN DATE '{HISTORY_START}' AND DATE '{HISTORY_END}'
-            AND CAST(user_id AS INTEGER) <= {S.CHART_SLOTS}),
-        keyed AS (SELECT *, track_name || ' - ' || artist_name AS song_id,
-                         CAST({S.CHART_SLOTS + 1} - position AS INTEGER) AS rank_value FROM rows),
-        taken AS (SELECT * FROM keyed QUALIFY row_number() OVER (
-                    PARTITION BY snapshot_date, position ORDER BY track_name, artist_name, country,
-                    song_id, rank_value) = 1),
-        grid AS (SELECT d.snapshot_date, CAST(g.position AS INTEGER) AS position
-                 FROM (SELECT DISTINCT snapshot_date FROM rows) d,
-                      (SELECT unnest(range(1, {S.CHART_SLOTS + 1})) AS position) g),
-        complete AS (SELECT g.snapshot_date, g.position, t.track_name, t.artist_name, t.country,
-                            t.song_id, t.rank_value
-                     FROM grid g LEFT JOIN taken t
-                       ON g.snapshot_date = t.snapshot_date AND g.position = t.position),
-        firsts AS (SELECT *, CASE WHEN song_id IS NOT NULL
-                                  THEN min(snapshot_date) OVER (PARTITION BY song_id) END AS first_appearance
-                   FROM complete)
-        SELECT snapshot_date, position, track_name, artist_name, country,
-               COALESCE(song_id, '') AS song_id, COALESCE(rank_value, 0) AS rank_value, first_appearance,
-               COALESCE(snapshot_date = first_appearance, false) AS is_new
-        FROM firsts""",
-    "new_entries": """
-        WITH present AS (SELECT DISTINCT CAST(ts AS DATE) AS snapshot_date, user_id AS song_id
-                         FROM events WHERE user_id IS NOT NULL AND CAST(user_id AS VARCHAR) <> ''),
-        dates AS (SELECT snapshot_date, lag(snapshot_date) OVER (ORDER BY snapshot_date) AS prev_date
-                  FROM (SELECT DISTINCT snapshot_date FROM present)),
-        cand AS (SELECT p.snapshot_date, p.song_id, d.prev_date FROM present p
-                 JOIN dates d ON p.snapshot_date = d.snapshot_date WHERE d.prev_date IS NOT NULL)
-        SELECT snapshot_date, song_id, prev_date FROM cand c
-        WHERE NOT EXISTS (SELECT 1 FROM present q WHERE q.snapshot_date = c.prev_date
-                                                     AND q.song_id = c.song_id)""",
+    "chart_history": _CHART_HISTORY,
+    "new_entries": _new_entries_sql("events", "CAST(ts AS DATE)", "user_id"),
+    "history_new_entries": _new_entries_sql(f"({_CHART_HISTORY})", "snapshot_date", "song_id"),
     "class_balance": "SELECT toxic, count(*) AS count FROM labels GROUP BY toxic",
     "stable_split": f"""
         SELECT doc_id, CASE WHEN {_md5_bucket('doc_id', M.SPLIT_BUCKETS)} < 7000 THEN 'train'
