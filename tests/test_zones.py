@@ -63,6 +63,11 @@ def test_run_all_and_consumers(spark, tmp_dir):
     top = readers.read_csv(spark, layout.analytics("top_artists"), S.TOP_ARTISTS_SCHEMA).collect()
     assert [(r["artist_name"], r["track_count"]) for r in top] == [("Solo", 6)]
     assert "songs_by_year" not in reports["analytics"].written  # no release_year column
+    back = zones.read_back(spark, layout)
+    assert [r["artist_name"] for r in back["top_artists"].collect()] == ["Solo"]
+    assert back["top_countries_by_entries"].first()["country"] == "ES"
+    ranks = [r["abs_rank"] for r in back["feature_correlations"].collect()]
+    assert ranks == list(range(1, len(ranks) + 1))
     expl = spark.read.parquet(layout.exploitation("explicit_prediction"))
     assert expl.count() == 7    # " Lyrics" stripped; trusted tracks t5..t11 all match
     hist = zones.chart_history_for(spark, layout, "ES", "2024-01-01", "2024-01-03").collect()

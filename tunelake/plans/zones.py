@@ -129,9 +129,11 @@ def analytics_zone(spark: SparkSession, layout: manifest.ZoneLayout) -> ZoneRepo
     results: dict[str, DataFrame | None] = {}
     if tracks is not None:
         results["top_artists"] = A.artist_popularity(tracks)
-        results["feature_correlations"] = A.feature_correlations(tracks, nulls="zero")
+        by_corr = F.desc_nulls_last("correlation_with_popularity")
+        results["feature_correlations"] = A.feature_correlations(tracks, nulls="zero").orderBy(by_corr)
         results["average_audio_features"] = A.feature_means(tracks)
-        results["feature_popularity_correlation"] = A.feature_correlations(tracks, nulls="skip")
+        results["feature_popularity_correlation"] = (A.feature_correlations(tracks, nulls="skip")
+                                                     .orderBy(by_corr))
         for feature, name in (("danceability", "most_danceable_songs"), ("energy", "most_energetic_songs"),
                               ("acousticness", "most_acoustic_songs")):
             results[name] = A.top_rows_by(tracks, feature)
@@ -200,6 +202,28 @@ def classifier_report(spark: SparkSession, layout: manifest.ZoneLayout,
     }
 
 
+def read_back(spark: SparkSession, layout: manifest.ZoneLayout, artists: int = 20,
+              countries: int = 15) -> dict[str, DataFrame]:
+    """JOB16 read-back of the chart inputs (TOP5, TOP6, SRC3, SRC4): bounded,
+    ordered heads of the analytics CSVs, still as DataFrames."""
+    out: dict[str, DataFrame] = {}
+    top = layout.analytics("top_artists")
+    if readers.path_exists(spark, top):
+        df = readers.read_csv(spark, top, S.TOP_ARTISTS_SCHEMA)
+        out["top_artists"] = sinks.preview(df.orderBy(F.desc_nulls_last("avg_popularity"), "artist_name"),
+                                           artists)
+    entries = layout.analytics("top_countries_by_entries")
+    if readers.path_exists(spark, entries):
+        df = readers.read_csv(spark, entries, infer=True)
+        out["top_countries_by_entries"] = sinks.preview(
+            df.orderBy(F.desc_nulls_last("chart_entries"), df.columns[0]), countries)
+    corr = layout.analytics("feature_correlations")
+    if readers.path_exists(spark, corr):
+        df = readers.read_csv(spark, corr, infer=True)
+        out["feature_correlations"] = A.rank_by_abs(df)
+    return out
+
+
 def run_all(spark: SparkSession, layout: manifest.ZoneLayout, variant: str = "script",
             update: bool = False) -> dict[str, ZoneReport]:
     """JOB16: the whole batch flow over one zone layout."""
@@ -209,3 +233,29 @@ def run_all(spark: SparkSession, layout: manifest.ZoneLayout, variant: str = "sc
         "analytics": analytics_zone(spark, layout),
         "exploitation": exploitation_zone(spark, layout),
     }
+
+
+def main(argv: Sequence[str] | None = None) -> int:
+    """``python -m tunelake.plans.zones ROOT [--variant V] [--update]``."""
+    import argparse
+    import json
+
+    from tunelake.session import build_session
+
+    ap = argparse.ArgumentParser(description="Run the zone jobs over one root folder.")
+    ap.add_argument("root")
+    ap.add_argument("--variant", choices=VARIANTS, default="script")
+    ap.add_argument("--update", action="store_true", help="refresh only the daily chart")
+    args = ap.parse_args(argv)
+    spark = build_session()
+    try:
+        reports = run_all(spark, manifest.ZoneLayout(args.root), args.variant, args.update)
+        print(json.dumps({zone: {"written": r.written, "counts": r.counts} for zone, r in reports.items()},
+                         indent=2))
+    finally:
+        spark.stop()
+    return 0
+
+
+if __name__ == "__main__":
+    raise SystemExit(main())
