@@ -89,3 +89,18 @@ def test_train_and_evaluate_runs(spark):
     assert preds.count() > 0
     assert metrics.first()["accuracy"] > 0.9
     assert F is not None
+
+
+def test_logistic_model_after_observation(spark, tmp_dir):
+    # A logistic model's training summary references the session; after the
+    # session served an Observation that reference cannot be serialized, so
+    # the stored (summary-free) copy must be used.
+    from pyspark.sql import Observation
+    obs = Observation("warm")
+    spark.range(3).observe(obs, F.count(F.lit(1)).alias("n")).write.format("noop").mode("overwrite").save()
+    texts = [(i, ("bad word " * 3 if i % 3 == 0 else "nice calm text ") + str(i), 1 if i % 3 == 0 else 0)
+             for i in range(90)]
+    df = spark.createDataFrame(texts, "doc_id long, song_lyrics string, label int")
+    _, preds, metrics = M.train_and_evaluate(df, id_col="doc_id", eval_split="train", model="logistic",
+                                             model_dir=f"{tmp_dir}/model")
+    assert preds.count() > 0 and metrics.first()["accuracy"] > 0.9

@@ -144,50 +144,71 @@ def confusion_matrix(df: DataFrame, label_col: str = "label", pred_col: str = "p
 
 
 def text_classifier(text_col: str = "song_lyrics", label_col: str = "label",
-                    num_features: int = 1 << 18, max_iter: int = 20, reg_param: float = 0.0):
-    """ML6: ``RegexTokenizer -> HashingTF -> IDF -> LogisticRegression``."""
+                    num_features: int = 1 << 18, model: str = "naive_bayes",
+                    max_iter: int = 20, reg_param: float = 0.0):
+    """ML6: tokens -> hashed term counts -> classifier.
+
+    ``model="naive_bayes"``: multinomial naive Bayes on raw term counts
+    (Laplace smoothing), trained in one aggregation pass.
+    ``model="logistic"``: IDF weighting, then ``max_iter`` distributed
+    L-BFGS iterations of logistic regression.
+    """
     from pyspark.ml import Pipeline
-    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.classification import LogisticRegression, NaiveBayes
     from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
 
-    return Pipeline(stages=[
-        RegexTokenizer(inputCol=text_col, outputCol="__tokens", pattern=r"\W+", toLowercase=True),
-        HashingTF(inputCol="__tokens", outputCol="__tf", numFeatures=num_features),
-        IDF(inputCol="__tf", outputCol="features"),
-        LogisticRegression(featuresCol="features", labelCol=label_col, maxIter=max_iter,
-                           regParam=reg_param),
-    ])
+    tokens = RegexTokenizer(inputCol=text_col, outputCol="__tokens", pattern=r"\W+", toLowercase=True)
+    if model == "naive_bayes":
+        return Pipeline(stages=[
+            tokens,
+            HashingTF(inputCol="__tokens", outputCol="features", numFeatures=num_features),
+            NaiveBayes(featuresCol="features", labelCol=label_col, modelType="multinomial", smoothing=1.0),
+        ])
+    if model == "logistic":
+        return Pipeline(stages=[
+            tokens,
+            HashingTF(inputCol="__tokens", outputCol="__tf", numFeatures=num_features),
+            IDF(inputCol="__tf", outputCol="features"),
+            LogisticRegression(featuresCol="features", labelCol=label_col, maxIter=max_iter,
+                               regParam=reg_param),
+        ])
+    raise ValueError("model must be 'naive_bayes' or 'logistic'")
 
 
 def train_and_evaluate(df: DataFrame, text_col: str = "song_lyrics", label_col: str = "label",
                        id_col: str | None = None, seed: int = S.SPLIT_SEED, balance: bool = True,
-                       eval_split: str = "test") -> tuple[object, DataFrame, DataFrame]:
+                       eval_split: str = "test", model: str = "naive_bayes",
+                       model_dir: str | None = None) -> tuple[object, DataFrame, DataFrame]:
     """JOB15 end to end: split, oversample the training split, fit, predict
-    on ``eval_split``; returns ``(model, predictions, metrics)``."""
+    on ``eval_split``; returns ``(model, predictions, metrics)``.
+
+    With ``model_dir`` the fitted pipeline is stored there and the stored
+    copy is used. A logistic model is always stored (in the shared folder
+    when no ``model_dir`` is given): its training summary holds a session
+    reference that cannot be shipped to executors once the session has
+    served an ``Observation``, and the stored copy has no summary.
+    """
     id_col = id_col or text_col
     keep = list(dict.fromkeys([id_col, text_col, label_col]))
     data = stable_split(df.select(*keep), id_col, seed)
     train = data.filter(F.col("split") == "train").drop("split")
     if balance:
         train = oversample(train, label_col, id_col=id_col, seed=seed).drop("replica")
-    # The IDF fit and every regression iteration pass over the training
-    # rows: rebalance them into partitions sized by bytes (AQE), so each
-    # iteration runs as many tasks as the data needs, and keep them
-    # (spillable) instead of recomputing the split and oversampling.
+    # Every training pass reads these rows: rebalance them into partitions
+    # sized by bytes (AQE) and keep them (spillable) instead of recomputing
+    # the split and the oversampling per pass.
     train = train.hint("rebalance").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        fitted = text_classifier(text_col, label_col).fit(train)
+        fitted = text_classifier(text_col, label_col, model=model).fit(train)
     finally:
         train.unpersist()
-    # Keep the model in the shared folder and use the stored copy: it
-    # survives a lost driver, and it carries no training summary (the summary
-    # holds a session reference that cannot be shipped to executors once the
-    # session has served an Observation).
-    from pyspark.ml import PipelineModel
-    path = shared_dir(df.sparkSession, "models")
-    fitted.write().save(path)
-    model = PipelineModel.load(path)
+    fitted_model = fitted
+    if model_dir or model == "logistic":
+        from pyspark.ml import PipelineModel
+        path = model_dir or shared_dir(df.sparkSession, "models")
+        fitted.write().overwrite().save(path)
+        fitted_model = PipelineModel.load(path)
     held = data.filter(F.col("split") == eval_split).drop("split")
-    preds = (model.transform(held)
-                  .select(*keep, F.col("prediction").cast("int").alias("prediction")))
-    return model, preds, binary_metrics(preds, label_col, "prediction")
+    preds = (fitted_model.transform(held)
+                         .select(*keep, F.col("prediction").cast("int").alias("prediction")))
+    return fitted_model, preds, binary_metrics(preds, label_col, "prediction")

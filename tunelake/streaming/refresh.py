@@ -55,16 +55,21 @@ def refresh_charts(spark: SparkSession, landing: str, bronze: str, silver: str,
 
     def process(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        (batch.withColumn(BATCH_COL, F.lit(batch_id).cast("bigint"))
-              .hint("rebalance", date_col)
-              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-              .partitionBy(date_col, BATCH_COL).parquet(bronze))
-        touched = batch.select(date_col).distinct()
-        rows = (session.read.schema(bronze_schema).parquet(bronze)
-                       .join(touched, date_col, "left_semi")
-                       .select(*data_cols))
-        (rebuild(rows).hint("rebalance", date_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                      .partitionBy(date_col).parquet(silver))
+        batch = batch.persist()  # read twice: the bronze write and the touched dates
+        try:
+            (batch.withColumn(BATCH_COL, F.lit(batch_id).cast("bigint"))
+                  .hint("rebalance", date_col)
+                  .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                  .partitionBy(date_col, BATCH_COL).parquet(bronze))
+            touched = batch.select(date_col).distinct()
+            rows = (session.read.schema(bronze_schema).parquet(bronze)
+                           .join(touched, date_col, "left_semi")
+                           .select(*data_cols))
+            (rebuild(rows).hint("rebalance", date_col)
+                          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                          .partitionBy(date_col).parquet(silver))
+        finally:
+            batch.unpersist()
 
     query = (stream.writeStream.foreachBatch(process)
                    .option("checkpointLocation", checkpoint)
