@@ -75,3 +75,17 @@ def test_observe_counts_in_the_write_pass(spark, tmp_dir):
     after, o2 = Q.observe_counts(before.filter("k = 0"), "after")
     after.write.parquet(f"{tmp_dir}/obs")
     assert Q.removed_rows(o1, o2) == 6
+
+
+def test_colocated_trust_charts_uses_one_hash_exchange(spark):
+    df = _chart(spark, [("a", "T", "A", 1, "ES", D)])
+    plan = plan_text(Q.trust_charts(df, colocate=True))
+    assert plan.count("Exchange hashpartitioning") == 1
+    plan2 = plan_text(Q.trust_charts(df))
+    assert plan2.count("Exchange hashpartitioning") == 2
+
+
+def test_trusted_output_is_subset_of_input(spark):
+    df = _chart(spark, [("a", "T", "A", 1, "ES", D), ("b", "T", "A", 1, "ES", D), ("c", "U", "B", 2, "ES", D)])
+    out = Q.trust_charts(df)
+    assert out.exceptAll(df.select(*out.columns)).count() == 0
