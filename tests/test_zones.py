@@ -107,3 +107,14 @@ def test_update_run_refreshes_charts_only(spark, tmp_dir):
     _landing(tmp_dir)
     rep = zones.format_zone(spark, manifest.ZoneLayout(tmp_dir), update=True)
     assert set(rep.written) == {"top-spotify-songs-by-country"}
+
+
+def test_landing_conversion_then_notebook_format(spark, tmp_dir):
+    _landing(tmp_dir)
+    layout = manifest.ZoneLayout(tmp_dir)
+    conv = zones.landing_to_parquet(spark, layout)
+    assert set(conv.written) == {"spotify-tracks-dataset", "top-spotify-songs-by-country", "songs-lyrics"}
+    lyr = spark.read.parquet(layout.landing("songs-lyrics") + ".parquet")
+    assert lyr.count() == 13 and "line one\nline" in lyr.first()["lyrics"]
+    rep = zones.format_zone(spark, layout, variant="notebook")
+    assert rep.counts["songs-lyrics"]["rows_in"] == 13

@@ -72,11 +72,36 @@ def _format(df: DataFrame, kind: str, variant: str) -> DataFrame:
     raise ValueError(kind)
 
 
+def _landing_files(spark: SparkSession, layout: manifest.ZoneLayout) -> dict[str, list[str]]:
+    """Landing files per dataset; a converted Parquet copy wins over CSV."""
+    routed = manifest.dispatch(readers.list_files(spark, posixpath_join(layout.root, "landing")))
+    out = {}
+    for name, paths in routed.items():
+        parquet = [p for p in paths if p.endswith(".parquet")]
+        out[name] = parquet or paths
+    return out
+
+
+def landing_to_parquet(spark: SparkSession, layout: manifest.ZoneLayout, update: bool = False) -> ZoneReport:
+    """SNK4 as a Spark job: every landing CSV of a known dataset becomes
+    ``landing/<dataset>.parquet`` (all files of a dataset together; the
+    auxiliary files are skipped by the dispatch deny-list)."""
+    report = ZoneReport()
+    routed = manifest.dispatch(readers.list_files(spark, posixpath_join(layout.root, "landing"), (".csv",)))
+    for spec in manifest.datasets_to_refresh(update):
+        paths = routed.get(spec.name)
+        if not paths:
+            continue
+        df = _read_landing(spark, paths, spec)
+        report.add(spec.name, sinks.write_parquet(df, layout.landing(spec.name) + ".parquet"))
+    return report
+
+
 def format_zone(spark: SparkSession, layout: manifest.ZoneLayout, variant: str = "script",
                 update: bool = False, partition_charts: bool = True) -> ZoneReport:
     """JOB1-JOB3 (+SRC8 dispatch, STR1 manifest filter)."""
     report = ZoneReport()
-    routed = manifest.dispatch(readers.list_files(spark, posixpath_join(layout.root, "landing")))
+    routed = _landing_files(spark, layout)
     for spec in manifest.datasets_to_refresh(update):
         paths = routed.get(spec.name)
         if not paths:
