@@ -244,7 +244,11 @@ def q_new_entries(spark, sf):
 
 
 def q_history_new_entries(spark, sf):
-    return X.new_entries(q_chart_history(spark, sf))
+    # The history (dates x slots rows) feeds three branches of the new-entry
+    # plan; a reliable checkpoint computes it once and cuts the lineage.
+    from tunelake.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    return X.new_entries(q_chart_history(spark, sf).checkpoint())
 
 
 def q_class_balance(spark, sf):
