@@ -54,9 +54,12 @@ def entries_by(df: DataFrame, group: str, distinct_col: str, entries_name: str,
 def pre_aggregate(df: DataFrame, keys: Sequence[str], weight_name: str = "__rows") -> DataFrame:
     """Rows per key combination, as a ``weight`` column for ``entries_by``.
 
-    Run before a join on ``keys``: the partial aggregate shrinks the large
-    side in every map task, so the join shuffles one row per key instead of
-    one per fact row, and a hot key costs one row.
+    Use it when ``keys`` are exactly the join keys of a following join: the
+    aggregate is then hash-partitioned on the join keys, the sort-merge join
+    reuses that partitioning, and it joins and sorts one row per key instead
+    of one per fact row (a hot key costs one row). When the grouping after
+    the join has few values, joining first is better: the partial aggregate
+    after the join already reduces map-side.
     """
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(weight_name))
 

@@ -80,6 +80,8 @@ def q_top_artists_cents(spark, sf):
 def _orders_by_nation(spark, sf):
     # Orders are reduced to one row per customer before the join (exactly
     # equivalent: entries are summed back, the distinct key is the join key).
+    # The aggregate is hash-partitioned on the join key, so a sort-merge join
+    # reuses that partitioning and sorts one row per customer, not per order.
     o = A.pre_aggregate(_t(spark, sf, "orders"), ["o_custkey"])
     c = _t(spark, sf, "customer").select("c_custkey", "c_nationkey")
     n = _t(spark, sf, "nation").select("n_nationkey", "n_name")
@@ -92,10 +94,13 @@ def q_top_countries_by_entries(spark, sf):
 
 
 def q_top_artists_global(spark, sf):
-    li = A.pre_aggregate(_t(spark, sf, "lineitem"), ["l_partkey", "l_suppkey"])
+    # Join first: the grouping (brand, supplier) has few values, so the
+    # partial aggregate after the join reduces map-side; a pre-aggregate on
+    # (part, supplier) would not be partitioned by the join key and would
+    # add a shuffle.
+    li = _t(spark, sf, "lineitem").select("l_partkey", "l_suppkey")
     p = _t(spark, sf, "part").select("p_partkey", "p_brand")
-    return A.top_artists_global(li.join(p, li.l_partkey == p.p_partkey), "p_brand", "l_suppkey",
-                                weight_col="__rows")
+    return A.top_artists_global(li.join(p, li.l_partkey == p.p_partkey), "p_brand", "l_suppkey")
 
 
 def q_top_songs_by_country(spark, sf):
