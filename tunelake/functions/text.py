@@ -63,18 +63,27 @@ def song_key(title: Column | str, artist: Column | str) -> Column:
     return F.concat(_as_col(title), F.lit(SONG_KEY_SEPARATOR), _as_col(artist))
 
 
-_MARKS = regex.compile(r"\p{M}+")
+def _make_fold_udf():
+    """Build the accent-folding pandas UDF.
 
+    The function is a closure, so it is shipped to the Python workers by
+    value: executors need pandas and ``regex``, not this package.
+    """
+    marks = regex.compile(r"\p{M}+")
+    normalize = unicodedata.normalize
+
+    def fold_one(value):
+        if value is None or value.isascii():
+            return value
+        return marks.sub("", normalize("NFD", value))
+
+    def fold(s: pd.Series) -> pd.Series:
+        return s.map(fold_one, na_action="ignore")
 
-def _fold_one(value):
-    if value is None or value.isascii():
-        return value
-    return _MARKS.sub("", unicodedata.normalize("NFD", value))
+    return F.pandas_udf(fold, T.StringType())
 
 
-@F.pandas_udf(T.StringType())
-def _fold_accents_udf(s: pd.Series) -> pd.Series:
-    return s.map(_fold_one, na_action="ignore")
+_FOLD_UDF = None
 
 
 def fold_accents(c: Column | str) -> Column:
@@ -83,4 +92,7 @@ def fold_accents(c: Column | str) -> Column:
     An Arrow-batched pandas UDF: Spark SQL has no Unicode normaliser. ASCII
     values pass through untouched.
     """
-    return _fold_accents_udf(_as_col(c))
+    global _FOLD_UDF
+    if _FOLD_UDF is None:
+        _FOLD_UDF = _make_fold_udf()
+    return _FOLD_UDF(_as_col(c))
