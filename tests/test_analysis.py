@@ -1,7 +1,6 @@
 import math
 
 import pytest
-from pyspark.sql import functions as F
 
 from tunelake import schemas as S
 from tunelake.operators import analysis as A
@@ -113,4 +112,3 @@ def test_feature_means(spark):
     df = spark.createDataFrame([(1.0, 2.0), (3.0, None)], "danceability double, duration_ms double")
     r = A.feature_means(df, ["danceability", "duration_ms"]).first()
     assert (r["avg_danceability"], r["avg_duration_ms"]) == (2.0, 2.0)
-    assert F is not None
