@@ -4,6 +4,7 @@ import csv
 import datetime as dt
 
 from tunelake import schemas as S
+from tunelake.operators import exploit
 from tunelake.plans import zones
 from tunelake.sources import manifest, readers
 
@@ -118,3 +119,17 @@ def test_landing_conversion_then_notebook_format(spark, tmp_dir):
     assert lyr.count() == 13 and "line one\nline" in lyr.first()["lyrics"]
     rep = zones.format_zone(spark, layout, variant="notebook")
     assert rep.counts["songs-lyrics"]["rows_in"] == 13
+
+
+def test_strict_variant_join_survives_lower_cased_tracks(spark, tmp_dir):
+    _landing(tmp_dir)
+    layout = manifest.ZoneLayout(tmp_dir)
+    zones.run_all(spark, layout, variant="strict")
+    tracks = spark.read.parquet(layout.trusted("spotify-tracks-dataset"))
+    assert {r["artist_name"] for r in tracks.collect()} == {"solo", "band"}
+    expl = spark.read.parquet(layout.exploitation("explicit_prediction"))
+    assert expl.count() == 7        # keys normalised on both sides (D8)
+    lyrics = spark.read.parquet(layout.trusted("songs-lyrics"))
+    tracks_raw_case = exploit.explicit_prediction(
+        lyrics, tracks, on=[("artist_name", "artist_name"), ("track_name", "track_name")])
+    assert tracks_raw_case.count() == 0   # without normalisation nothing matches
