@@ -80,8 +80,10 @@ def chart_history(df: DataFrame, country, start, end, slots: int = S.CHART_SLOTS
         "rank_value": (F.lit(slots + 1) - F.col("position")).cast("int"),
     })
     slots_taken = keep_first(rows, ["snapshot_date", "position"], ["track_name", "artist_name"])
-    grid = (rows.select("snapshot_date").distinct()
-                .withColumn("position", F.explode(F.sequence(F.lit(1), F.lit(slots)))))
+    # Every filtered date keeps at least one row through the dedup, so the
+    # grid's dates come from the deduplicated rows (one scan feeds both).
+    grid = (slots_taken.select("snapshot_date").distinct()
+                       .withColumn("position", F.explode(F.sequence(F.lit(1), F.lit(slots)))))
     complete = grid.join(slots_taken, ["snapshot_date", "position"], "left")
     first = F.min("snapshot_date").over(Window.partitionBy("song_id"))
     complete = complete.withColumn(
