@@ -112,3 +112,11 @@ def test_feature_means(spark):
     df = spark.createDataFrame([(1.0, 2.0), (3.0, None)], "danceability double, duration_ms double")
     r = A.feature_means(df, ["danceability", "duration_ms"]).first()
     assert (r["avg_danceability"], r["avg_duration_ms"]) == (2.0, 2.0)
+
+
+def test_zero_mode_equals_dataframe_stat_corr(spark):
+    # AGG7 reproduces DataFrame.stat.corr, which reads a NULL as 0.0.
+    data = [(1.0, 2.0), (2.0, None), (None, 6.0), (4.0, 8.1), (5.0, 1.0), (6.0, None)]
+    df = spark.createDataFrame(data, "popularity double, f double")
+    ours = A.feature_correlations(df, features=["f"], nulls="zero").first()[1]
+    assert ours == pytest.approx(df.stat.corr("popularity", "f"), abs=1e-12)
