@@ -120,3 +120,11 @@ def test_zero_mode_equals_dataframe_stat_corr(spark):
     df = spark.createDataFrame(data, "popularity double, f double")
     ours = A.feature_correlations(df, features=["f"], nulls="zero").first()[1]
     assert ours == pytest.approx(df.stat.corr("popularity", "f"), abs=1e-12)
+
+
+def test_skip_mode_equals_corr_aggregate(spark):
+    from pyspark.sql import functions as F
+    data = [(1.0, 2.0), (2.0, None), (None, 6.0), (4.0, 8.1), (5.0, 1.0), (6.0, 3.5)]
+    df = spark.createDataFrame(data, "popularity double, f double")
+    ours = A.feature_correlations(df, features=["f"], nulls="skip").first()[1]
+    assert ours == pytest.approx(df.agg(F.corr("f", "popularity")).first()[0], abs=1e-12)
