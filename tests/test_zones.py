@@ -133,3 +133,14 @@ def test_strict_variant_join_survives_lower_cased_tracks(spark, tmp_dir):
     tracks_raw_case = exploit.explicit_prediction(
         lyrics, tracks, on=[("artist_name", "artist_name"), ("track_name", "track_name")])
     assert tracks_raw_case.count() == 0   # without normalisation nothing matches
+
+
+def test_exploitation_falls_back_to_landing_copy(spark, tmp_dir):
+    _landing(tmp_dir)
+    layout = manifest.ZoneLayout(tmp_dir)
+    zones.landing_to_parquet(spark, layout)          # no formatted or trusted zone
+    rep = zones.exploitation_zone(spark, layout)
+    expl = spark.read.parquet(rep.written["explicit_prediction"])
+    assert expl.count() == 12                         # raw names renamed, " Lyrics" stripped
+    vis = spark.read.parquet(rep.written["data_visualization"])
+    assert vis.columns == ["track_name", "artist_name", "daily_rank", "snapshot_date", "country"]

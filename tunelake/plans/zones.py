@@ -184,17 +184,21 @@ def exploitation_zone(spark: SparkSession, layout: manifest.ZoneLayout,
                       normalise_keys: bool = True) -> ZoneReport:
     """JOB12 (SRC6 fallback to landing with renames, JN3, JN2) and JOB13."""
     report = ZoneReport()
-    lyrics_paths = [layout.trusted("songs-lyrics"), layout.formatted("songs-lyrics")]
-    tracks_paths = [layout.trusted("spotify-tracks-dataset"), layout.formatted("spotify-tracks-dataset")]
-    charts_paths = [layout.trusted("top-spotify-songs-by-country"),
-                    layout.formatted("top-spotify-songs-by-country")]
-    lyrics, _ = readers.read_with_fallback(spark, lyrics_paths)
-    tracks, _ = readers.read_with_fallback(spark, tracks_paths)
+
+    def zones_of(name: str) -> list[str]:
+        return [layout.trusted(name), layout.formatted(name), layout.landing(name) + ".parquet"]
+
+    # Renames apply to the landing copy only (raw column names).
+    lyrics, _ = readers.read_with_fallback(
+        spark, zones_of("songs-lyrics"), [None, None, {"artist": "artist_name", "lyrics": "song_lyrics"}])
+    tracks, _ = readers.read_with_fallback(
+        spark, zones_of("spotify-tracks-dataset"), [None, None, {"artists": "artist_name"}])
     title = "song_name" if "song_name" in lyrics.columns else "track_name"
     explicit = X.explicit_prediction(lyrics, tracks, on=[("artist_name", "artist_name"), (title, "track_name")],
                                      normalise_keys=normalise_keys)
     report.add("explicit_prediction", sinks.write_parquet(explicit, layout.exploitation("explicit_prediction")))
-    charts, _ = readers.read_with_fallback(spark, charts_paths, [None, {"name": "track_name"}])
+    charts, _ = readers.read_with_fallback(spark, zones_of("top-spotify-songs-by-country"),
+                                           [None, None, {"name": "track_name", "artists": "artist_name"}])
     vis = X.visualisation_set(charts)
     report.add("data_visualization", sinks.write_parquet(vis, layout.exploitation("data_visualization")))
     return report
