@@ -128,3 +128,12 @@ def test_skip_mode_equals_corr_aggregate(spark):
     df = spark.createDataFrame(data, "popularity double, f double")
     ours = A.feature_correlations(df, features=["f"], nulls="skip").first()[1]
     assert ours == pytest.approx(df.agg(F.corr("f", "popularity")).first()[0], abs=1e-12)
+
+
+def test_both_null_policies_from_one_scan(spark):
+    data = [(1.0, 2.0), (2.0, None), (None, 6.0), (4.0, 8.1), (5.0, 1.0)]
+    df = spark.createDataFrame(data, "popularity double, f double")
+    zero, skip, row = A.feature_correlations_both(df, features=["f"])
+    assert zero.first()[1] == A.feature_correlations(df, features=["f"], nulls="zero").first()[1]
+    assert skip.first()[1] == A.feature_correlations(df, features=["f"], nulls="skip").first()[1]
+    row.unpersist()

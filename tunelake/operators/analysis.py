@@ -126,19 +126,11 @@ def pearson(x: Column, y: Column) -> Column:
     return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
 
-def feature_correlations(df: DataFrame, target: str = "popularity",
-                         features: Sequence[str] = S.AUDIO_FEATURES, nulls: str = "skip",
-                         name_col: str = "feature",
-                         value_col: str = "correlation_with_popularity") -> DataFrame:
-    """AGG7 (``nulls="zero"``: a NULL reads as 0.0) and AGG8 (``nulls="skip"``:
-    pairs with a NULL are left out), long output ``(feature, correlation)``.
-
-    All features are computed in one aggregate pass, then unpivoted.
-    """
+def _correlation_columns(df_target: Column, features: Sequence[str], nulls: str, prefix: str = "") -> list[Column]:
     if nulls not in ("zero", "skip"):
         raise ValueError("nulls must be 'zero' or 'skip'")
-    t = F.col(target).cast("double")
-    aggs = []
+    t = df_target
+    cols = []
     for f in features:
         x = F.col(f).cast("double")
         if nulls == "zero":
@@ -146,11 +138,43 @@ def feature_correlations(df: DataFrame, target: str = "popularity",
         else:
             both = t.isNotNull() & x.isNotNull()
             a, b = F.when(both, t), F.when(both, x)
-        aggs.append(pearson(a, b).alias(f))
-    wide = df.agg(*aggs)
+        cols.append(pearson(a, b).alias(f"{prefix}{f}"))
+    return cols
+
+
+def feature_correlations(df: DataFrame, target: str = "popularity",
+                         features: Sequence[str] = S.AUDIO_FEATURES, nulls: str = "skip",
+                         name_col: str = "feature",
+                         value_col: str = "correlation_with_popularity") -> DataFrame:
+    """AGG7 (``nulls="zero"``: a NULL reads as 0.0) and AGG8 (``nulls="skip"``:
+    pairs with a NULL are left out), long output ``(feature, correlation)``.
+
+    All features are computed in one aggregate pass, then unpivoted.
+    """
+    wide = df.agg(*_correlation_columns(F.col(target).cast("double"), features, nulls))
     return wide.unpivot([], list(features), name_col, value_col)
 
 
+def feature_correlations_both(df: DataFrame, target: str = "popularity",
+                              features: Sequence[str] = S.AUDIO_FEATURES,
+                              name_col: str = "feature",
+                              value_col: str = "correlation_with_popularity",
+                              ) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """AGG7 and AGG8 from a single scan: one aggregate computes both null
+    policies; its one-row result is cached and unpivoted twice. Returns
+    ``(nulls_as_zero, nulls_skipped, cached_row)``; unpersist ``cached_row``
+    once both results are written."""
+    t = F.col(target).cast("double")
+    wide = df.agg(*_correlation_columns(t, features, "zero", "zero__"),
+                  *_correlation_columns(t, features, "skip", "skip__")).cache()
+
+    def long(prefix: str) -> DataFrame:
+        renamed = wide.select(*[F.col(f"{prefix}{f}").alias(f) for f in features])
+        return renamed.unpivot([], list(features), name_col, value_col)
+
+    return long("zero__"), long("skip__"), wide
+
+
 def rank_by_abs(df: DataFrame, value_col: str = "correlation_with_popularity",
                 name_col: str = "feature", rank_name: str = "abs_rank") -> DataFrame:
     """TOP6/FN13: order a (small, per-feature) result by |value| descending.

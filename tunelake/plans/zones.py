@@ -152,13 +152,15 @@ def analytics_zone(spark: SparkSession, layout: manifest.ZoneLayout) -> ZoneRepo
     charts = _zone_table(spark, layout, "top-spotify-songs-by-country")
     lyrics = _zone_table(spark, layout, "songs-lyrics")
     results: dict[str, DataFrame | None] = {}
+    cached: list[DataFrame] = []
     if tracks is not None:
         results["top_artists"] = A.artist_popularity(tracks)
         by_corr = F.desc_nulls_last("correlation_with_popularity")
-        results["feature_correlations"] = A.feature_correlations(tracks, nulls="zero").orderBy(by_corr)
+        zero, skip, row = A.feature_correlations_both(tracks)   # one scan for both null policies
+        cached.append(row)
+        results["feature_correlations"] = zero.orderBy(by_corr)
         results["average_audio_features"] = A.feature_means(tracks)
-        results["feature_popularity_correlation"] = (A.feature_correlations(tracks, nulls="skip")
-                                                     .orderBy(by_corr))
+        results["feature_popularity_correlation"] = skip.orderBy(by_corr)
         for feature, name in (("danceability", "most_danceable_songs"), ("energy", "most_energetic_songs"),
                               ("acousticness", "most_acoustic_songs")):
             results[name] = A.top_rows_by(tracks, feature)
@@ -172,6 +174,8 @@ def analytics_zone(spark: SparkSession, layout: manifest.ZoneLayout) -> ZoneRepo
         if df is None:  # FLT7: a guarded analysis whose columns are absent
             continue
         report.add(name, sinks.write_csv(df, layout.analytics(name)))
+    for df in cached:
+        df.unpersist()
     if lyrics is not None and tracks is not None and "track_name" in lyrics.columns:
         joined, matches = A.with_match_count(A.lyrics_tracks_join(lyrics, tracks))
         path = layout.analytics("lyrics_tracks_combined")
