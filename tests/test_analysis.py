@@ -137,3 +137,12 @@ def test_both_null_policies_from_one_scan(spark):
     assert zero.first()[1] == A.feature_correlations(df, features=["f"], nulls="zero").first()[1]
     assert skip.first()[1] == A.feature_correlations(df, features=["f"], nulls="skip").first()[1]
     row.unpersist()
+
+
+def test_entries_by_approx_distinct_small_groups_exact(spark):
+    data = [(c, f"t{i % (3 + j)}") for j, c in enumerate("abc") for i in range(20)]
+    df = spark.createDataFrame(data, "country string, track_name string")
+    exact = sorted(map(tuple, A.entries_by(df, "country", "track_name", "n", "d", top=None).collect()))
+    approx = sorted(map(tuple, A.entries_by(df, "country", "track_name", "n", "d", top=None,
+                                            approx=True).collect()))
+    assert exact == approx == [("a", 20, 3), ("b", 20, 4), ("c", 20, 5)]

@@ -103,3 +103,8 @@ def test_logistic_model_after_observation(spark, tmp_dir):
     _, preds, metrics = M.train_and_evaluate(df, id_col="doc_id", eval_split="train", model="logistic",
                                              model_dir=f"{tmp_dir}/model")
     assert preds.count() > 0 and metrics.first()["accuracy"] > 0.9
+
+
+def test_text_classifier_rejects_unknown_model():
+    with pytest.raises(ValueError):
+        M.text_classifier(model="forest")
