@@ -57,3 +57,14 @@ def test_csv_to_parquet_and_bootstrap(spark, tmp_dir):
     assert not bootstrap_if_missing(spark, dst, lambda: calls.append(1))
     assert calls == [dst]
     assert spark.read.parquet(dst).count() == 1
+
+
+def test_partitioned_overwrite_static_vs_dynamic(spark, tmp_dir):
+    first = spark.createDataFrame([(1, "d1"), (2, "d2")], "a int, p string")
+    second = spark.createDataFrame([(3, "d2")], "a int, p string")
+    sinks.write_parquet(first, f"{tmp_dir}/s", partition_by=["p"])
+    sinks.write_parquet(second, f"{tmp_dir}/s", partition_by=["p"])                 # full rebuild
+    assert sorted(r["a"] for r in spark.read.parquet(f"{tmp_dir}/s").collect()) == [3]
+    sinks.write_parquet(first, f"{tmp_dir}/d", partition_by=["p"])
+    sinks.write_parquet(second, f"{tmp_dir}/d", partition_by=["p"], replace_partitions="dynamic")
+    assert sorted(r["a"] for r in spark.read.parquet(f"{tmp_dir}/d").collect()) == [1, 3]

@@ -15,19 +15,22 @@ from tunelake.sources.readers import read_csv
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
-                  partition_by: Sequence[str] | None = None) -> str:
+                  partition_by: Sequence[str] | None = None,
+                  replace_partitions: str = "static") -> str:
     """SNK1 (optionally partitioned, e.g. charts by ``snapshot_date``).
 
     A partitioned write first gets a ``rebalance`` hint on the partition
     columns: AQE then writes few files per partition value (not one per task
     and value) and still splits a partition value that is too large for one
-    task.
+    task. ``replace_partitions="static"`` makes an overwrite replace the whole
+    table (a full rebuild); ``"dynamic"`` replaces only the partitions this
+    write produces (an incremental update).
     """
     if partition_by:
         df = df.hint("rebalance", *partition_by)
     writer = df.write.mode(mode)
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
+        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", replace_partitions)
     writer.parquet(path)
     return path
 
