@@ -89,3 +89,12 @@ def test_trusted_output_is_subset_of_input(spark):
     df = _chart(spark, [("a", "T", "A", 1, "ES", D), ("b", "T", "A", 1, "ES", D), ("c", "U", "B", 2, "ES", D)])
     out = Q.trust_charts(df)
     assert out.exceptAll(df.select(*out.columns)).count() == 0
+
+
+def test_observed_chain_counts_each_step_in_one_write(spark, tmp_dir):
+    df = _chart(spark, [("a", "T", "A", 1, "ES", D), ("b", "T", "A", 2, "ES", D),
+                        ("c", "U", "A", 2, "ES", D), ("d", "V", "B", 3, "ES", D)])
+    out, marks = Q.observed_chain(df, [("slot", Q.unique_chart_slot), ("title", Q.unique_artist_title)])
+    out.write.parquet(f"{tmp_dir}/chain")
+    got = [(name, b.get["rows"], a.get["rows"]) for name, b, a in marks]
+    assert got == [("slot", 4, 3), ("title", 3, 2)]

@@ -58,8 +58,11 @@ def test_run_all_and_consumers(spark, tmp_dir):
     trusted = reports["trusted"]
     # duration >= 30000 keeps t5..t11 (7 rows)
     assert trusted.counts["spotify-tracks-dataset"]["rows_out"] == 7
-    # one duplicate (date, country, rank) row removed
+    # one duplicate (date, country, rank) row removed, counted per constraint
     assert trusted.counts["top-spotify-songs-by-country"]["rows_removed"] == 1
+    assert trusted.counts["top-spotify-songs-by-country:unique_chart_slot"]["rows_removed"] == 1
+    assert trusted.counts["top-spotify-songs-by-country:unique_artist_title"]["rows_removed"] == 0
+    assert trusted.counts["top-spotify-songs-by-country:required_columns"]["rows_removed"] == 0
     assert trusted.counts["songs-lyrics"]["rows_removed"] == 1
     top = readers.read_csv(spark, layout.analytics("top_artists"), S.TOP_ARTISTS_SCHEMA).collect()
     assert [(r["artist_name"], r["track_count"]) for r in top] == [("Solo", 6)]

@@ -113,6 +113,19 @@ def violation_report(df: DataFrame,
     return reduce(DataFrame.unionByName, rows)
 
 
+def observed_chain(df: DataFrame, steps: Sequence[tuple[str, Callable[[DataFrame], DataFrame]]],
+                   ) -> tuple[DataFrame, list[tuple[str, Observation, Observation]]]:
+    """Apply constraint steps in order, counting rows before and after each
+    one during whatever action runs next (AGG9 per constraint, one pass)."""
+    marks = []
+    current, before = observe_counts(df, f"{steps[0][0]}_in") if steps else (df, None)
+    for name, step in steps:
+        current, after = observe_counts(step(current), f"{name}_out")
+        marks.append((name, before, after))
+        before = after
+    return current, marks
+
+
 def observe_counts(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """Attach a row counter that fills in during whatever action runs next
     (the write), instead of a separate ``count()`` scan."""

@@ -120,21 +120,33 @@ def posixpath_join(*parts: str) -> str:
     return "/".join(p.rstrip("/") for p in parts)
 
 
+def _charts_required(df: DataFrame) -> DataFrame:
+    return C.drop_nulls(df.select(*S.TRUSTED_CHARTS_COLUMNS), ("track_name", "artist_name"))
+
+
 def trusted_zone(spark: SparkSession, layout: manifest.ZoneLayout) -> ZoneReport:
-    """JOB4-JOB6."""
+    """JOB4-JOB6. The chart constraints are counted one by one (rows removed
+    by the required columns, by the one-song-per-slot rule and by the
+    one-row-per-artist-title-date rule), all within the single write."""
     report = ZoneReport()
-    jobs = [("spotify-tracks-dataset", Q.trust_tracks),
-            ("top-spotify-songs-by-country", Q.trust_charts),
-            ("songs-lyrics", Q.trust_lyrics)]
-    for name, job in jobs:
+    jobs = {
+        "spotify-tracks-dataset": [("trust_tracks", Q.trust_tracks)],
+        "top-spotify-songs-by-country": [("required_columns", _charts_required),
+                                         ("unique_chart_slot", Q.unique_chart_slot),
+                                         ("unique_artist_title", Q.unique_artist_title)],
+        "songs-lyrics": [("trust_lyrics", Q.trust_lyrics)],
+    }
+    for name, steps in jobs.items():
         src = layout.formatted(name)
         if not readers.path_exists(spark, src):
             continue
-        df, before = Q.observe_counts(readers.read_parquet(spark, src), f"{name}_in")
-        out, after = Q.observe_counts(job(df), f"{name}_out")
+        out, marks = Q.observed_chain(readers.read_parquet(spark, src), steps)
         partition = ["snapshot_date"] if name.startswith("top-") else None
         sinks.write_parquet(out, layout.trusted(name), partition_by=partition)
-        report.add(name, layout.trusted(name), before, after)
+        report.add(name, layout.trusted(name), marks[0][1], marks[-1][2])
+        if len(marks) > 1:
+            for step, before, after in marks:
+                report.add(f"{name}:{step}", layout.trusted(name), before, after)
     return report
 
 
