@@ -291,12 +291,20 @@ def main(argv: Sequence[str] | None = None) -> int:
     ap.add_argument("root")
     ap.add_argument("--variant", choices=VARIANTS, default="script")
     ap.add_argument("--update", action="store_true", help="refresh only the daily chart")
+    ap.add_argument("--preview", type=int, default=0, metavar="N",
+                    help="print the schema and first N rows of the read-back results (SNK5)")
     args = ap.parse_args(argv)
     spark = build_session()
     try:
-        reports = run_all(spark, manifest.ZoneLayout(args.root), args.variant, args.update)
+        layout = manifest.ZoneLayout(args.root)
+        reports = run_all(spark, layout, args.variant, args.update)
         print(json.dumps({zone: {"written": r.written, "counts": r.counts} for zone, r in reports.items()},
                          indent=2))
+        if args.preview:
+            for name, df in read_back(spark, layout).items():
+                print(f"== {name}")
+                df.printSchema()
+                df.show(args.preview, truncate=False)
     finally:
         spark.stop()
     return 0
