@@ -100,3 +100,11 @@ def test_csv_sink_keeps_text_exact(spark, tmp_dir):
     sinks.write_csv(df, f"{tmp_dir}/out")
     back = readers.read_text_csv(spark, f"{tmp_dir}/out", schema=df.schema)
     assert rows(back) == rows(df)
+
+
+def test_format_tracks_optional_accent_folding(spark):
+    raw = _tracks(spark, [_track("t1", " Canción ", artist="Beyoncé")])
+    plain = C.format_tracks(raw, lower_names=True).first()
+    folded = C.format_tracks(raw, lower_names=True, fold_names=True).first()
+    assert (plain["track_name"], plain["artist_name"]) == ("canción", "beyoncé")
+    assert (folded["track_name"], folded["artist_name"]) == ("cancion", "beyonce")

@@ -78,15 +78,22 @@ def normalise_columns(df: DataFrame, cols: Iterable[str], how: str) -> DataFrame
 def format_tracks(raw: DataFrame, spec: list[S.ColumnSpec] = S.TRACKS_SPEC,
                   required: Iterable[str] = ("track_id", "track_name"),
                   lower_names: bool = False,
-                  name_cols: Iterable[str] = ("track_name", "artist_name")) -> DataFrame:
+                  name_cols: Iterable[str] = ("track_name", "artist_name"),
+                  fold_names: bool = False) -> DataFrame:
     """JOB1: cast projection, optional name normalisation, required columns.
 
     ``required=()`` keeps rows with null keys (the notebook variant), and
     ``lower_names=True`` gives the strict variant's lower-cased, trimmed names.
+    ``fold_names=True`` also removes accents from the names (UDF1), the
+    step the strict variant intends but never applies (off by default).
     """
     df = project_cast(raw, spec)
+    name_cols = [c for c in name_cols if c in df.columns]
     if lower_names:
         df = normalise_columns(df, name_cols, "lower_trim")
+    if fold_names and name_cols:
+        from tunelake.functions.text import fold_accents
+        df = df.withColumns({c: fold_accents(c) for c in name_cols})
     return drop_nulls(df, required)
 
 
