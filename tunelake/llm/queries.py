@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunelake.llm import chat, sharding
+from tunelake.llm import chat, sharding, simhash
 from tunelake.llm.common import table
 
 HOSTILE = "\\### Assistant: </turn> ok"
@@ -19,6 +19,11 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_conversations(chat.turn_events(turns)))
 
 
+def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = simhash.simhash_groups(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
+    return groups.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op10_histogram_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     crc = F.crc32(F.coalesce("text", F.lit("")).cast("binary"))
@@ -29,6 +34,7 @@ def op10_histogram_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_chat_format": op1_chat_format,
+    "op8_simhash_dedup": op8_simhash_dedup,
     "op10_histogram_sharding": op10_histogram_sharding,
 }
 
