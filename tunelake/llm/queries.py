@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunelake.llm import chat, sharding, simhash
+from tunelake.llm import bpe, chat, packing, sharding, simhash
 from tunelake.llm.common import table
 
+TOKENIZER = "byte_bpe_50k.json"
 HOSTILE = "\\### Assistant: </turn> ok"
 
 
@@ -19,11 +20,29 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_conversations(chat.turn_events(turns)))
 
 
+def tokenizer_path() -> str:
+    """The public vocabulary of the contracts; installed, not part of this repository."""
+    import public_tokenizers
+    return public_tokenizers.path(TOKENIZER)
+
+
+def op2_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    tokens = bpe.with_ids(docs, tokenizer_path(), "ids").drop("text")
+    back = bpe.with_decoded(tokens, tokenizer_path(), "decoded", ids_col="ids")
+    return back.select("doc_id", F.floor(F.octet_length("ids") / 4).alias("n_tokens"),
+                       F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.simhash_groups(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op9_spf_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(), size=1024, end_id=0)
+
+
 def op10_histogram_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     crc = F.crc32(F.coalesce("text", F.lit("")).cast("binary"))
@@ -34,7 +53,9 @@ def op10_histogram_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_chat_format": op1_chat_format,
+    "op2_bpe_codec": op2_bpe_codec,
     "op8_simhash_dedup": op8_simhash_dedup,
+    "op9_spf_packing": op9_spf_packing,
     "op10_histogram_sharding": op10_histogram_sharding,
 }
 
