@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunelake.llm import bpe, chat, packing, sharding, simhash
+from tunelake.llm import bpe, chat, packing, quality, sharding, simhash
 from tunelake.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -34,6 +34,12 @@ def op2_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op5_quality_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality.quality_verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    fixed = [F.col(f"counts.{c}").alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
+    return out.select("doc_id", *fixed, "base_failed", "kept", "anomaly")
+
+
 def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.simhash_groups(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
@@ -54,6 +60,7 @@ def op10_histogram_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_bpe_codec": op2_bpe_codec,
+    "op5_quality_forest": op5_quality_forest,
     "op8_simhash_dedup": op8_simhash_dedup,
     "op9_spf_packing": op9_spf_packing,
     "op10_histogram_sharding": op10_histogram_sharding,
