@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunelake.llm import bpe, chat, packing, quality, sharding, simhash
+from tunelake.llm import bpe, chat, packing, quality, sharding, simhash, toxicity
 from tunelake.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -40,6 +40,12 @@ def op5_quality_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *fixed, "base_failed", "kept", "anomaly")
 
 
+def op7_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = toxicity.toxicity_verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.select("doc_id", *[F.col(f"p.{c}").alias(f"p_{c}") for c in toxicity.LINKS],
+                      "toxic", (~F.col("toxic")).alias("kept"))
+
+
 def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.simhash_groups(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
@@ -61,6 +67,7 @@ QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_bpe_codec": op2_bpe_codec,
     "op5_quality_forest": op5_quality_forest,
+    "op7_toxicity_chain": op7_toxicity_chain,
     "op8_simhash_dedup": op8_simhash_dedup,
     "op9_spf_packing": op9_spf_packing,
     "op10_histogram_sharding": op10_histogram_sharding,
