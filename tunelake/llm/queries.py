@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunelake.llm import bpe, chat, packing, quality, sharding, simhash, toxicity
+from tunelake.llm import bpe, chat, packing, quality, sharding, simhash, toxicity, warc
 from tunelake.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -34,6 +34,11 @@ def op2_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op4_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
+    back = warc.archive_pages(table(spark, sf_dir, "pages"), min_bytes=0, with_payload=False)
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op5_quality_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality.quality_verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     fixed = [F.col(f"counts.{c}").alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
@@ -66,6 +71,7 @@ def op10_histogram_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_bpe_codec": op2_bpe_codec,
+    "op4_warc_normaliser": op4_warc_normaliser,
     "op5_quality_forest": op5_quality_forest,
     "op7_toxicity_chain": op7_toxicity_chain,
     "op8_simhash_dedup": op8_simhash_dedup,
@@ -87,4 +93,16 @@ SELECT conv_id, count(*) AS n_turns,
     sha256(coalesce(string_agg(text, '' ORDER BY turn, role, body) FILTER (role = 'assistant'), '')) AS loss_sha256,
     CAST(sum(length(body) + length(role) + 14) AS BIGINT) AS formatted_chars
 FROM written GROUP BY conv_id""",
+    "op4_warc_normaliser": r"""
+WITH hashed AS (
+    SELECT page_id, coalesce(html, '') AS payload, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS keeper,
+        list_transform(string_split(upper(sha1(coalesce(html, ''))), ''), lambda c: instr('0123456789ABCDEF', c) - 1) AS nibbles
+    FROM pages)
+SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes,
+    array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 +
+        (((nibbles[1 + (5 * i) // 4] * 16 + coalesce(nibbles[2 + (5 * i) // 4], 0)) >> (3 - (5 * i) % 4)) & 31) AS INTEGER), 1)), '')
+        AS payload_digest,
+    CASE WHEN page_id < keeper THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN page_id < keeper THEN keeper END AS refers_to
+FROM hashed""",
 }
