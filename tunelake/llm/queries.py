@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunelake.llm import bpe, chat, packing, quality, sharding, simhash, toxicity, warc
+from tunelake.llm import bpe, chat, embed_dedup, packing, quality, sharding, simhash, toxicity, warc
 from tunelake.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -34,6 +34,10 @@ def op2_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.embedding_groups(table(spark, sf_dir, "embeddings"), 0.95)
+
+
 def op4_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
     back = warc.archive_pages(table(spark, sf_dir, "pages"), min_bytes=0, with_payload=False)
     return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -71,6 +75,7 @@ def op10_histogram_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_bpe_codec": op2_bpe_codec,
+    "op3_embedding_dedup": op3_embedding_dedup,
     "op4_warc_normaliser": op4_warc_normaliser,
     "op5_quality_forest": op5_quality_forest,
     "op7_toxicity_chain": op7_toxicity_chain,
@@ -93,6 +98,20 @@ SELECT conv_id, count(*) AS n_turns,
     sha256(coalesce(string_agg(text, '' ORDER BY turn, role, body) FILTER (role = 'assistant'), '')) AS loss_sha256,
     CAST(sum(length(body) + length(role) + 14) AS BIGINT) AS formatted_chars
 FROM written GROUP BY conv_id""",
+    "op3_embedding_dedup": """
+WITH RECURSIVE sound AS (
+    SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+    WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM sound a JOIN sound b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+    WHERE list_dot_product(a.e, b.e) / sqrt(list_dot_product(a.e, a.e) * list_dot_product(b.e, b.e)) >= 0.95),
+reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+least AS (SELECT a, min(b) AS m FROM reach GROUP BY a),
+degree AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(m, vec_id)) AS component_id,
+    vec_id <= coalesce(m, vec_id) AS kept
+FROM embeddings LEFT JOIN least ON vec_id = least.a LEFT JOIN degree ON vec_id = degree.a""",
     "op4_warc_normaliser": r"""
 WITH hashed AS (
     SELECT page_id, coalesce(html, '') AS payload, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS keeper,
