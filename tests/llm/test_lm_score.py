@@ -1,0 +1,91 @@
+"""Trigram models and scores against a plain dictionary model."""
+
+import math
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from tunelake.llm import lm_score
+from tunelake.llm.queries import op6_lm_difference
+
+from .conftest import SF, docs_of
+
+
+def grams(text):
+    s = [0, 0, *(b + 1 for b in (text or "").encode()), 0]
+    return list(zip(s, s[1:], s[2:]))
+
+
+class Plain:
+    """Witten-Bell interpolation written out."""
+
+    def __init__(self, texts, vocabulary):
+        self.n = [defaultdict(Counter) for _ in range(3)]
+        self.size = len(vocabulary)
+        for t in texts:
+            for a, b, c in grams(t):
+                for n, context in zip(self.n, ((), (b,), (a, b))):
+                    n[context][c] += 1
+
+    def p(self, a, b, c):
+        p = 1 / self.size
+        for n, context in zip(self.n, ((), (b,), (a, b))):
+            total, kinds = sum(n[context].values()), len(n[context])
+            if total:
+                p = (n[context][c] + kinds * p) / (total + kinds)
+        return p
+
+    def loss(self, text):
+        g = grams(text)
+        return -sum(math.log(self.p(*x)) for x in g) / len(g)
+
+
+def expected(texts, target):
+    vocabulary = {x for t in texts for g in grams(t) for x in g}
+    models = Plain([t for t, w in zip(texts, target) if w], vocabulary), Plain(texts, vocabulary)
+    return [(len(grams(t)), *(m.loss(t) for m in models)) for t in texts]
+
+
+@pytest.mark.parametrize("piece", [3, 10, 1 << 20])
+def test_counts(piece, monkeypatch):
+    monkeypatch.setattr(lm_score, "PIECE_BYTES", piece)
+    texts = ["", "a", "abab\x00abab", "é" * 20, "", "xyz"]
+    codes, counts = lm_score.count_trigrams([t.encode() for t in texts])
+    want = Counter((a * 257 + b) * 257 + c for t in texts for a, b, c in grams(t))
+    assert dict(zip(codes.tolist(), counts.tolist())) == want
+    pair = lm_score.LmPair.build(codes, counts, counts)
+    got = pair.losses([t.encode() for t in texts])
+    for row, (n, loss, _) in zip(got, expected(texts, [True] * len(texts))):
+        assert row[0] == n and row[1] / n == pytest.approx(loss, rel=1e-5) and row[1] == row[2]
+
+
+def test_query(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").limit(60).collect()
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    wanted = [d for d, _ in docs if d % 3 == 0]
+    got = {r["doc_id"]: r for r in lm_score.lm_scores(frame, spark.createDataFrame([(d,) for d in wanted + [None, 10**9]], "doc_id long")).collect()}
+    for (d, _), (n, t, b) in zip(docs, expected([t for _, t in docs], [d in wanted for d, _ in docs])):
+        assert got[d]["n_tokens"] == n
+        assert got[d]["target_loss"] == pytest.approx(t, abs=1e-5) and got[d]["background_loss"] == pytest.approx(b, abs=1e-5)
+        assert got[d]["score"] == pytest.approx(t - b, abs=1e-5)
+
+
+def test_scores_rank_labelled_rows(spark):
+    """Good rows are more like the target than junk rows."""
+    scores = op6_lm_difference(spark, SF)
+    rows = scores.join(spark.read.parquet(f"{SF}/labels.parquet"), "doc_id").select("score", "quality").collect()
+    good, bad = ([r.score for r in rows if r.quality == q] for q in (1, 0))
+    assert np.mean([g < b for g in good for b in bad]) > 0.75
+    assert scores.count() == spark.read.parquet(f"{SF}/documents.parquet").count()
+
+
+def test_odd_rows(spark, monkeypatch):
+    rows = [(1, None), (None, "abc"), (2, ""), (3, "abc abc"), (3, "abc abc"), (4, "long text " * 500_000), (3, "other")]
+    docs = docs_of(spark, rows)
+    ids = spark.createDataFrame([(3,), (3,), (None,)], "doc_id long")
+    got = lm_score.lm_scores(docs, ids).collect()
+    assert sorted((r["doc_id"] or 0, r["n_tokens"]) for r in got) == [(0, 4), (1, 1), (2, 1), (3, 6), (3, 8), (3, 8), (4, 5_000_001)]
+    assert all(math.isfinite(r["score"]) for r in got)
+    assert lm_score.lm_scores(docs.limit(0), ids).count() == 0
+    assert lm_score.lm_scores(docs, ids.limit(0)).count() == len(rows)

@@ -1,0 +1,202 @@
+"""Cross-entropy difference of a target and a background n-gram model.
+
+Both models are byte trigram models with Witten-Bell interpolation down to
+the uniform distribution over one shared vocabulary: the bytes that occur in
+the corpus and the mark that opens and closes a text. The background model
+counts every text, the target model those of the target rows. Counts are
+exact and cover whole texts; as there are at most 257 ** 3 trigrams, the
+summed table has a size that no corpus exceeds, while what the tasks
+contribute to it grows with the corpus. A text's score is the mean over its
+tokens of target loss minus background loss: low is like the target.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from tunelake.llm.common import join_by_id, quoted, ship, store
+
+SYMBOLS = 257  # 0 is the mark, byte b is b + 1
+# Bytes of texts laid out at once, and trigrams a task holds before it passes them on.
+PIECE_BYTES = 4 << 20
+HELD_ROWS = 2_000_000
+
+
+def runs(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(symbols, text numbers, first, length): in ``symbols`` the tokens of a
+    text are those from position 2 + first on, ``length`` many, each after its
+    two predecessors. Long texts come in several pieces."""
+    group: list[int] = []
+    size = 0
+    for i, t in enumerate(texts):
+        if len(t) > PIECE_BYTES:
+            tail = [0, 0]
+            for at in range(0, len(t), PIECE_BYTES):
+                piece = np.frombuffer(t[at:at + PIECE_BYTES], np.uint8).astype(np.int16) + 1
+                end = [0] if at + PIECE_BYTES >= len(t) else []
+                symbols = np.concatenate((tail, piece, end)).astype(np.int16)
+                yield symbols, np.array([i]), np.array([0]), np.array([len(symbols) - 2])
+                tail = symbols[-2:]
+            continue
+        group.append(i)
+        size += len(t) + 2
+        if size > PIECE_BYTES:
+            yield _laid(texts, group)
+            group, size = [], 0
+    if group:
+        yield _laid(texts, group)
+
+
+def _laid(texts: list[bytes], group: list[int]):
+    lens = np.array([len(texts[i]) for i in group])
+    first = np.concatenate(([0], np.cumsum(lens + 2)[:-1]))
+    symbols = np.zeros(int((lens + 2).sum()) + 1, np.int16)
+    joined = np.frombuffer(b"".join(texts[i] for i in group), np.uint8)
+    symbols[np.arange(len(joined)) + np.repeat(2 * np.arange(1, len(group) + 1), lens)] = joined.astype(np.int16) + 1
+    return symbols, np.array(group), first, lens + 1
+
+
+def _trigrams(symbols: np.ndarray, base: int) -> np.ndarray:
+    s = symbols.astype(np.int32)
+    return (s[:-2] * base + s[1:-1]) * base + s[2:]
+
+
+def count_trigrams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Codes (base SYMBOLS) and counts of the trigrams of some texts."""
+    codes, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for symbols, _, first, length in runs(texts):
+        used = np.flatnonzero(np.bincount(symbols, minlength=SYMBOLS))
+        place = np.zeros(SYMBOLS, np.int32)
+        place[used] = np.arange(len(used))
+        grams = _trigrams(place[symbols], len(used))
+        between = (first + length)[:-1]  # the second opening mark of the next text is no token
+        n = np.bincount(grams, minlength=len(used) ** 3) - np.bincount(grams[between], minlength=len(used) ** 3)
+        some = np.flatnonzero(n)
+        a, b, c = some // len(used) ** 2, some // len(used) % len(used), some % len(used)
+        codes.append((used[a] * SYMBOLS + used[b]) * SYMBOLS + used[c])
+        counts.append(n[some])
+    return _summed(codes, counts)
+
+
+def _summed(codes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    keys, inverse = np.unique(np.concatenate(codes), return_inverse=True)
+    return keys, np.bincount(inverse, np.concatenate(counts), len(keys)).astype(np.int64)
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+    def out():
+        keys = [h[0] for h in held]
+        gram, target = _summed(keys, [h[1] for h in held])
+        _, background = _summed(keys, [h[2] for h in held])
+        return gram, target, background
+
+    for batch in batches:
+        texts, wanted = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+        for flag in (True, False):
+            gram, n = count_trigrams([t or b"" for t, w in zip(texts, wanted) if bool(w) == flag])
+            held.append((gram, n if flag else np.zeros_like(n), n))
+        if sum(len(h[0]) for h in held) > HELD_ROWS:
+            held = [out()]
+            if len(held[0][0]) > HELD_ROWS // 2:
+                yield pa.record_batch(dict(zip(("gram", "target", "background"), map(pa.array, held.pop()))))
+    if held:
+        yield pa.record_batch(dict(zip(("gram", "target", "background"), map(pa.array, out()))))
+
+
+def trigram_counts(docs: DataFrame, target_ids: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Stored table gram, target, background over all rows of ``docs``;
+    ``target_ids`` (column doc_id) names the target rows."""
+    ship(docs.sparkSession)
+    rows = docs.select(quoted(id_col).alias("doc_id"), quoted(text_col).cast("binary").alias("text"))
+    wanted = target_ids.select("doc_id").filter("doc_id is not null").distinct().withColumn("wanted", F.lit(True))
+    parts = join_by_id(rows, wanted, "doc_id").select("text", "wanted").mapInArrow(_count, "gram long, target long, background long")
+    return store(parts.groupBy("gram").agg(F.sum("target").alias("target"), F.sum("background").alias("background")), "trigrams")
+
+
+def witten_bell(counts: np.ndarray) -> np.ndarray:
+    """Probability of the last symbol given the two before, from a cube of counts."""
+    size = len(counts)
+
+    def mix(n: np.ndarray, lower: np.ndarray) -> np.ndarray:
+        total, kinds = n.sum(axis=-1, keepdims=True), (n > 0).sum(axis=-1, keepdims=True)
+        return np.where(total > 0, (n + kinds * lower) / np.maximum(total + kinds, 1), lower)
+
+    one = mix(counts.sum(axis=(0, 1)).astype(np.float64), np.full(size, 1 / size))
+    two = mix(counts.sum(axis=0).astype(np.float64), one[None, :])
+    out = np.empty(counts.shape, np.float64)
+    for a in range(size):  # a slice at a time, to hold little beside the result
+        out[a] = mix(counts[a].astype(np.float64), two)
+    return out
+
+
+@dataclass
+class LmPair:
+    """Losses (natural log) of both models over the shared vocabulary."""
+
+    place: np.ndarray
+    size: int
+    target: np.ndarray
+    background: np.ndarray
+
+    @classmethod
+    def build(cls, gram: np.ndarray, target: np.ndarray, background: np.ndarray) -> LmPair:
+        parts = (gram // SYMBOLS ** 2, gram // SYMBOLS % SYMBOLS, gram % SYMBOLS)
+        used = np.unique(np.concatenate([*parts, [0]])).astype(np.int64)
+        place = np.zeros(SYMBOLS, np.int16)
+        place[used] = np.arange(len(used))
+        losses = []
+        for n in (target, background):
+            cube = np.zeros((len(used),) * 3, np.int64)
+            cube[tuple(place[p] for p in parts)] = n
+            losses.append(-np.log(witten_bell(cube)).astype(np.float32).ravel())
+        return cls(place, len(used), *losses)
+
+    def losses(self, texts: list[bytes]) -> np.ndarray:
+        """Per text: tokens, summed target loss, summed background loss. Texts
+        of a corpus that the models have seen hold no symbol they lack."""
+        out = np.zeros((len(texts), 3))
+        for symbols, number, first, length in runs(texts):
+            grams = _trigrams(self.place[symbols], self.size)
+            np.add.at(out, (number, 0), length)
+            for k, table in ((1, self.target), (2, self.background)):
+                ends = np.concatenate(([0.0], np.cumsum(table[grams], dtype=np.float64)))
+                np.add.at(out, (number, k), ends[first + length] - ends[first])
+        return out
+
+
+def train_pair(docs: DataFrame, target_ids: DataFrame, **columns) -> LmPair:
+    """Both models. Without target rows the target model is uniform."""
+    table = trigram_counts(docs, target_ids, **columns).toArrow()  # at most 257 ** 3 rows
+    return LmPair.build(*(table[c].to_numpy() for c in ("gram", "target", "background")))
+
+
+def _score(shared) -> Column:
+    def score(texts: pa.Array) -> pa.Array:
+        n, target, background = shared.value.losses([t or b"" for t in texts.to_pylist()]).T
+        mean_t, mean_b = np.round(target / n, 9), np.round(background / n, 9)
+        return pa.StructArray.from_arrays([pa.array(n.astype(np.int64)), pa.array(mean_t), pa.array(mean_b), pa.array(np.round((target - background) / n, 9))],
+                                          ["n_tokens", "target_loss", "background_loss", "score"])
+
+    return F.arrow_udf(score, "struct<n_tokens: long, target_loss: double, background_loss: double, score: double>")
+
+
+def lm_scores(docs: DataFrame, target_ids: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row of ``docs``: id, n_tokens (bytes and the closing mark), mean
+    target_loss and background_loss per token, score (their difference).
+
+    Null text counts as empty: its one token is the closing mark. Null ids are
+    scored and are never target rows; repeated rows count as often as they
+    come. An empty table gives no rows.
+    """
+    pair = train_pair(docs, target_ids, id_col=id_col, text_col=text_col)
+    shared = docs.sparkSession.sparkContext.broadcast(pair)
+    scored = docs.select(quoted(id_col).alias(id_col), _score(shared)(quoted(text_col).cast("binary")).alias("s"))
+    return scored.select(quoted(id_col), "s.*")

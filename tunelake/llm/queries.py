@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunelake.llm import bpe, chat, embed_dedup, packing, quality, sharding, simhash, toxicity, warc
+from tunelake.llm import bpe, chat, embed_dedup, lm_score, packing, quality, sharding, simhash, toxicity, warc
 from tunelake.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -49,6 +49,11 @@ def op5_quality_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *fixed, "base_failed", "kept", "anomaly")
 
 
+def op6_lm_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wanted = table(spark, sf_dir, "labels").filter("quality = 1 and toxic = 0").select("doc_id")
+    return lm_score.lm_scores(table(spark, sf_dir, "documents"), wanted)
+
+
 def op7_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = toxicity.toxicity_verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return out.select("doc_id", *[F.col(f"p.{c}").alias(f"p_{c}") for c in toxicity.LINKS],
@@ -78,6 +83,7 @@ QUERIES = {
     "op3_embedding_dedup": op3_embedding_dedup,
     "op4_warc_normaliser": op4_warc_normaliser,
     "op5_quality_forest": op5_quality_forest,
+    "op6_lm_difference": op6_lm_difference,
     "op7_toxicity_chain": op7_toxicity_chain,
     "op8_simhash_dedup": op8_simhash_dedup,
     "op9_spf_packing": op9_spf_packing,
