@@ -16,9 +16,9 @@ Events are folded per (conversation, target) first, so a long conversation is
 spread over tasks and only final messages meet in the conversation's row.
 
 Template: ``### Role: text</turn>\\n`` per message. Inside texts and roles a
-backslash becomes two, and each control string gets a backslash in its middle
-(``<\\/turn>``, ``#\\##``), so neither control string can occur in an escaped
-text and unescaping is dropping each escaping backslash.
+backslash becomes two, and what makes up a control string gets a backslash in
+its middle (``<\\/turn>``, ``#\\#``), so neither control string can occur in an
+escaped text, and unescaping is dropping each escaping backslash.
 """
 
 from __future__ import annotations
@@ -39,7 +39,7 @@ LOSS_ROLE = "assistant"
 def escape(text: Column) -> Column:
     text = F.replace(text, F.lit("\\"), F.lit("\\\\"))
     text = F.replace(text, F.lit("</turn>"), F.lit("<\\/turn>"))
-    return F.replace(text, F.lit("###"), F.lit("#\\##"))
+    return F.replace(text, F.lit("##"), F.lit("#\\#"))
 
 
 def unescape(text: Column) -> Column:

@@ -97,7 +97,7 @@ WITH turns AS (
     UNION ALL
     SELECT -7, i, CASE WHEN i = 0 THEN 'user' ELSE 'assistant' END, '\### Assistant: </turn> ok' FROM range(2) t(i)),
 written AS (
-    SELECT *, replace(replace(replace(text, '\', '\\'), '</turn>', '<\/turn>'), '###', '#\##') AS body FROM turns)
+    SELECT *, replace(replace(replace(text, '\', '\\'), '</turn>', '<\/turn>'), '##', '#\#') AS body FROM turns)
 SELECT conv_id, count(*) AS n_turns,
     sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, body)) AS turns_sha256,
     CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
