@@ -44,15 +44,15 @@ def test_format_tracks_strict_names(spark):
 
 
 def _chart(spark, rows_):
-    return spark.createDataFrame(rows_, S.CHARTS_LANDING_SCHEMA)
+    return spark.createDataFrame(rows_, S.raw_string_schema(S.CHARTS_SPEC))
 
 
 def _chart_row(sid, name, rank="1", country="ES", date="2024-01-05", popularity="80", release="2023-12-01"):
-    vals = {f.name: None for f in S.CHARTS_LANDING_SCHEMA.fields}
+    vals = {c.source: None for c in S.CHARTS_SPEC}
     vals.update(spotify_id=sid, name=name, artists="A", daily_rank=rank, country=country,
                 snapshot_date=date, popularity=popularity, duration_ms="1000", album_release_date=release,
-                acousticness=None, tempo=120.0)
-    return tuple(vals[f.name] for f in S.CHARTS_LANDING_SCHEMA.fields)
+                acousticness=None, tempo="120.0")
+    return tuple(vals[c.source] for c in S.CHARTS_SPEC)
 
 
 def test_format_charts_fill_dates_country(spark):

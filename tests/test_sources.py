@@ -39,21 +39,22 @@ def test_read_with_fallback_and_renames(spark, tmp_dir):
 
 def test_write_if_rows_and_parquet_partitioned(spark, tmp_dir):
     empty = spark.createDataFrame([], "a int")
-    assert sinks.write_if_rows(empty, f"{tmp_dir}/e") is False and not os.path.exists(f"{tmp_dir}/e")
-    assert sinks.write_if_rows(empty, None) is False
+    assert sinks.write_if_rows(empty, f"{tmp_dir}/e") == 0 and not os.path.exists(f"{tmp_dir}/e")
+    assert sinks.write_if_rows(empty, None) == 0
     df = spark.createDataFrame([(1, "x"), (2, "y")], "a int, p string")
-    assert sinks.write_if_rows(df, f"{tmp_dir}/w", fmt="parquet") is True
+    assert sinks.write_if_rows(df, f"{tmp_dir}/w", fmt="parquet") == 2
     sinks.write_parquet(df, f"{tmp_dir}/part", partition_by=["p"])
     assert {"p=x", "p=y"} <= set(os.listdir(f"{tmp_dir}/part"))
 
 
-def test_csv_to_parquet_and_bootstrap(spark, tmp_dir):
+def test_bootstrap(spark, tmp_dir):
     src = f"{tmp_dir}/in.csv"
     with open(src, "w") as fh:
         fh.write("a,b\n1,x\n")
     calls = []
     dst = f"{tmp_dir}/out"
-    assert bootstrap_if_missing(spark, dst, lambda: calls.append(sinks.csv_to_parquet(spark, src, dst)))
+    assert bootstrap_if_missing(spark, dst, lambda: calls.append(
+        sinks.write_parquet(readers.read_csv_by_name(spark, [src], [["b"]]), dst)))
     assert not bootstrap_if_missing(spark, dst, lambda: calls.append(1))
     assert calls == [dst]
     assert spark.read.parquet(dst).count() == 1

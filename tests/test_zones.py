@@ -28,7 +28,7 @@ def _landing(root):
                       + [str(0.05 * i)] * 5 + ["120.0"])
     tracks.append(["", "No id", "X", "alb", "1", "1", "False"] + ["0"] * 11)
     _write_csv(f"{root}/landing/spotify-tracks-dataset.csv", tracks_h, tracks)
-    charts_h = [f.name for f in S.CHARTS_LANDING_SCHEMA.fields]
+    charts_h = [c.source for c in S.CHARTS_SPEC]
     charts = []
     for d in range(3):
         date = f"2024-01-0{d + 1}"
@@ -65,10 +65,12 @@ def test_run_all_and_consumers(spark, tmp_dir):
     assert trusted.counts["top-spotify-songs-by-country:required_columns"]["rows_removed"] == 0
     assert trusted.counts["songs-lyrics"]["rows_removed"] == 1
     top = readers.read_csv(spark, layout.analytics("top_artists"), S.TOP_ARTISTS_SCHEMA).collect()
-    assert [(r["artist_name"], r["track_count"]) for r in top] == [("Solo", 6)]
+    assert [(r["artist_name"], r["track_count"]) for r in top] == [("Solo", 6), ("Band", 6)]   # formatted zone
+    assert "chart_trends_over_time" in reports["analytics"].written
+    assert reports["analytics"].counts["lyrics_tracks_combined"]["rows_out"] == 0     # " Lyrics" kept in this join
     assert "songs_by_year" not in reports["analytics"].written  # no release_year column
     back = zones.read_back(spark, layout)
-    assert [r["artist_name"] for r in back["top_artists"].collect()] == ["Solo"]
+    assert [r["artist_name"] for r in back["top_artists"].collect()] == ["Solo", "Band"]
     assert back["top_countries_by_entries"].first()["country"] == "ES"
     ranks = [r["abs_rank"] for r in back["feature_correlations"].collect()]
     assert ranks == list(range(1, len(ranks) + 1))
@@ -147,3 +149,64 @@ def test_exploitation_falls_back_to_landing_copy(spark, tmp_dir):
     assert expl.count() == 12                         # raw names renamed, " Lyrics" stripped
     vis = spark.read.parquet(rep.written["data_visualization"])
     assert vis.columns == ["track_name", "artist_name", "daily_rank", "snapshot_date", "country"]
+
+
+def test_landing_columns_bind_by_name(spark, tmp_dir):
+    """Two files of different column order with an extra column and quotes."""
+    import os
+    os.makedirs(f"{tmp_dir}/landing")
+    names = [c.source for c in S.TRACKS_SPEC]
+    row = dict(zip(names, ["t1", 'The "Heroes", live', "Band", "alb", "40", "31000", "True"] + ["0.5"] * 11))
+    _write_csv(f"{tmp_dir}/landing/spotify-tracks-dataset.csv", ["", *reversed(names)], [["0", *[row[n] for n in reversed(names)]]])
+    _write_csv(f"{tmp_dir}/landing/spotify-tracks-dataset-2.csv", [*names, "genre"], [["t2", *[row[n] for n in names[1:]], "pop"]])
+    layout = manifest.ZoneLayout(tmp_dir)
+    zones.format_zone(spark, layout)
+    got = spark.read.parquet(layout.formatted("spotify-tracks-dataset")).collect()
+    assert sorted((r["track_id"], r["track_name"], r["popularity"], r["duration_ms"], r["explicit"]) for r in got) == [
+        (t, 'The "Heroes", live', 40, 31000, True) for t in ("t1", "t2")]
+    _write_csv(f"{tmp_dir}/landing/spotify-tracks-dataset-3.csv", names[1:], [["x"] * 17])
+    import pytest
+    with pytest.raises(ValueError, match="track_id"):
+        zones.format_zone(spark, layout)
+
+
+def test_csv_newer_than_its_copy_is_read(spark, tmp_dir):
+    import os
+    import time
+    _landing(tmp_dir)
+    layout = manifest.ZoneLayout(tmp_dir)
+    zones.landing_to_parquet(spark, layout)
+    before = spark.read.parquet(layout.landing("top-spotify-songs-by-country") + ".parquet").count()
+    new = f"{tmp_dir}/landing/top-spotify-songs-by-country-2.csv"
+    _write_csv(new, [c.source for c in S.CHARTS_SPEC], [["n", "New", "Band", "9", "", "", "es", "2024-02-01", "1", "False", "1", "alb",
+               "2023-05-01", "0.5", "0.5", "1", "-5", "1", "0.1", "0.1", "0.0", "0.1", "0.5", "120", "4"]])
+    os.utime(new, (time.time() + 5,) * 2)
+    rep = zones.format_zone(spark, layout, update=True)
+    assert rep.counts["top-spotify-songs-by-country"]["rows_in"] == before + 1
+    charts = spark.read.parquet(layout.formatted("top-spotify-songs-by-country"))
+    assert charts.filter("track_name = 'New'").count() == 1
+
+
+def test_lyrics_forms_and_notebook_names(spark, tmp_dir):
+    import os
+    os.makedirs(f"{tmp_dir}/landing")
+    _write_csv(f"{tmp_dir}/landing/songs-lyrics.csv", ["song_href", "song_name", "song_id", "singer_name"], [["http://x", " T ", "3", " A "]])
+    layout = manifest.ZoneLayout(tmp_dir)
+    zones.format_zone(spark, layout)
+    assert [tuple(r) for r in spark.read.parquet(layout.formatted("songs-lyrics")).collect()] == [(3, "A", "T", "http://x")]
+    assert not zones.trusted_zone(spark, layout).written
+    zones.format_zone(spark, layout, variant="notebook")
+    assert spark.read.parquet(layout.formatted("songs-lyrics")).columns == ["song_id", "artist_name", "song_name", "song_url"]
+
+
+def test_results_with_quotes_read_back(spark, tmp_dir):
+    layout = manifest.ZoneLayout(tmp_dir)
+    names = ['"Weird Al" Yankovic, Jr', "two\nlines", "plain"]
+    rows_ = [(f"t{i}", f"s{i}", names[i % 3], 50 + i % 3, 200000) + (0.1 * i,) * 9 for i in range(18)]
+    schema = "track_id string, track_name string, artist_name string, popularity int, duration_ms bigint, " + ", ".join(
+        f"{f} double" for f in S.AUDIO_FEATURES)
+    spark.createDataFrame(rows_, schema).write.parquet(layout.formatted("spotify-tracks-dataset"))
+    zones.analytics_zone(spark, layout)
+    top = zones.read_back(spark, layout)["top_artists"].collect()
+    assert [(r["artist_name"], r["avg_popularity"], r["track_count"]) for r in top] == [
+        ("plain", 52.0, 6), ("two\nlines", 51.0, 6), ('"Weird Al" Yankovic, Jr', 50.0, 6)]

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tunelake import schemas as S
+from tunelake.functions.casts import lenient_cast
 from tunelake.functions.hashing import hash_order_key, stable_bucket
 from tunelake.session import shared_dir
 
@@ -24,8 +25,9 @@ SPLIT_BUCKETS = 10000
 
 def label_projection(df: DataFrame, text_col: str = "song_lyrics", label_col: str = "explicit",
                      label_name: str = "label") -> DataFrame:
-    """ML1: ``(text, label int)``."""
-    return df.select(F.col(text_col), F.col(label_col).cast("int").alias(label_name))
+    """ML1: ``(text, label int)``; a label that is text is read as a boolean
+    (``True``, ``false``, ``1``, ...), a bad one is NULL."""
+    return df.select(F.col(text_col), lenient_cast(label_col, "boolean").cast("int").alias(label_name))
 
 
 def split_column(id_col: str | Column, seed: int = S.SPLIT_SEED,

@@ -43,12 +43,9 @@ class ZoneReport:
 
 
 def _read_landing(spark: SparkSession, paths: Sequence[str], spec: manifest.DatasetSpec) -> DataFrame:
-    schema = manifest.LANDING_SCHEMAS[spec.kind]
     if all(p.endswith(".parquet") for p in paths):
         return readers.read_parquet(spark, list(paths))
-    if spec.text:
-        return readers.read_text_csv(spark, list(paths), schema)
-    return readers.read_csv(spark, list(paths), schema)
+    return readers.read_csv_by_name(spark, list(paths), manifest.landing_forms(spec.kind), multi_line=spec.text)
 
 
 def _format(df: DataFrame, kind: str, variant: str) -> DataFrame:
@@ -65,20 +62,29 @@ def _format(df: DataFrame, kind: str, variant: str) -> DataFrame:
             return C.format_charts(df, fill=None, required=())
         return C.format_charts(df, fill=None, country_col=None, required=())
     if kind == "lyrics":
+        spec = manifest.landing_spec(kind, df.columns)
         if variant == "script":
-            return C.format_lyrics(df)
-        return C.format_lyrics(df, trim_cols=(("artist_name", "track_name") if variant == "strict" else ()),
-                               required=())
+            return C.format_lyrics(df, spec)
+        out = C.format_lyrics(df, spec, required=())
+        return out.withColumnRenamed("track_name", "song_name") if variant == "notebook" else out
     raise ValueError(kind)
 
 
 def _landing_files(spark: SparkSession, layout: manifest.ZoneLayout) -> dict[str, list[str]]:
-    """Landing files per dataset; a converted Parquet copy wins over CSV."""
+    """Landing files per dataset. A converted Parquet copy stands for the CSVs
+    it was made from; when a CSV is newer than the copy, all CSVs are read."""
     routed = manifest.dispatch(readers.list_files(spark, posixpath_join(layout.root, "landing")))
     out = {}
     for name, paths in routed.items():
         parquet = [p for p in paths if p.endswith(".parquet")]
-        out[name] = parquet or paths
+        csvs = [p for p in paths if not p.endswith(".parquet")]
+        if parquet and csvs:
+            copied = max(readers.modified(spark, p) for p in parquet)
+            newer = [p for p in csvs if readers.modified(spark, p) > copied]
+            if newer:
+                log.warning("%s: %s newer than the Parquet copy; reading the CSV files", name, ", ".join(newer))
+                parquet = []
+        out[name] = parquet or csvs
     return out
 
 
@@ -140,7 +146,11 @@ def trusted_zone(spark: SparkSession, layout: manifest.ZoneLayout) -> ZoneReport
         src = layout.formatted(name)
         if not readers.path_exists(spark, src):
             continue
-        out, marks = Q.observed_chain(readers.read_parquet(spark, src), steps)
+        table = readers.rename_if_present(readers.read_parquet(spark, src), {"song_name": "track_name"})
+        if name == "songs-lyrics" and "song_lyrics" not in table.columns:
+            log.warning("%s holds links, not texts; no trusted table", src)
+            continue
+        out, marks = Q.observed_chain(table, steps)
         partition = ["snapshot_date"] if name.startswith("top-") else None
         sinks.write_parquet(out, layout.trusted(name), partition_by=partition)
         report.add(name, layout.trusted(name), marks[0][1], marks[-1][2])
@@ -150,19 +160,24 @@ def trusted_zone(spark: SparkSession, layout: manifest.ZoneLayout) -> ZoneReport
     return report
 
 
-def _zone_table(spark: SparkSession, layout: manifest.ZoneLayout, name: str) -> DataFrame | None:
-    for path in (layout.trusted(name), layout.formatted(name)):
+def _zone_table(spark: SparkSession, layout: manifest.ZoneLayout, name: str, zone: str) -> DataFrame | None:
+    """A table of the zone, or of the other one where that is missing."""
+    paths = [layout.formatted(name), layout.trusted(name)]
+    for path in paths if zone == "formatted" else paths[::-1]:
         if readers.path_exists(spark, path):
             return readers.read_parquet(spark, path)
     return None
 
 
-def analytics_zone(spark: SparkSession, layout: manifest.ZoneLayout) -> ZoneReport:
-    """JOB7-JOB11: every result as a headed CSV at ``analytics/<name>``."""
+def analytics_zone(spark: SparkSession, layout: manifest.ZoneLayout, zone: str = "formatted") -> ZoneReport:
+    """JOB7-JOB11: every result as a headed CSV at ``analytics/<name>``, over
+    the tables of ``zone`` (``formatted`` or ``trusted``)."""
+    if zone not in ("formatted", "trusted"):
+        raise ValueError("zone must be formatted or trusted")
     report = ZoneReport()
-    tracks = _zone_table(spark, layout, "spotify-tracks-dataset")
-    charts = _zone_table(spark, layout, "top-spotify-songs-by-country")
-    lyrics = _zone_table(spark, layout, "songs-lyrics")
+    tracks = _zone_table(spark, layout, "spotify-tracks-dataset", zone)
+    charts = _zone_table(spark, layout, "top-spotify-songs-by-country", zone)
+    lyrics = _zone_table(spark, layout, "songs-lyrics", zone)
     results: dict[str, DataFrame | None] = {}
     cached: list[DataFrame] = []
     if tracks is not None:
@@ -181,17 +196,24 @@ def analytics_zone(spark: SparkSession, layout: manifest.ZoneLayout) -> ZoneRepo
         results["top_countries_by_entries"] = A.top_countries_by_entries(charts)
         results["top_artists_global"] = A.top_artists_global(charts)
         results["top_songs_by_country"] = A.top_per_group(charts)
-        results["chart_trends_over_time"] = A.trends_over_time(charts)
+        dated = charts
+        if "snapshot_year" not in charts.columns and "snapshot_date" in charts.columns:
+            dated = C.add_date_parts(charts)
+        results["chart_trends_over_time"] = A.trends_over_time(dated)
     for name, df in results.items():
         if df is None:  # FLT7: a guarded analysis whose columns are absent
+            log.warning("analysis %s skipped: its columns are absent", name)
             continue
         report.add(name, sinks.write_csv(df, layout.analytics(name)))
     for df in cached:
         df.unpersist()
-    if lyrics is not None and tracks is not None and "track_name" in lyrics.columns:
-        joined, matches = A.with_match_count(A.lyrics_tracks_join(lyrics, tracks))
+    if lyrics is not None and tracks is not None:
+        lyrics = readers.rename_if_present(lyrics, {"song_name": "track_name"})
         path = layout.analytics("lyrics_tracks_combined")
-        if sinks.write_if_rows(joined, path):
+        matches = sinks.write_if_rows(A.lyrics_tracks_join(lyrics, tracks), path)
+        report.counts["lyrics_tracks_combined"] = {"rows_out": matches}
+        log.info("lyrics_tracks_combined: %d matches", matches)
+        if matches:
             report.add("lyrics_tracks_combined", path)
     return report
 
@@ -204,17 +226,21 @@ def exploitation_zone(spark: SparkSession, layout: manifest.ZoneLayout,
     def zones_of(name: str) -> list[str]:
         return [layout.trusted(name), layout.formatted(name), layout.landing(name) + ".parquet"]
 
-    # Renames apply to the landing copy only (raw column names).
-    lyrics, _ = readers.read_with_fallback(
-        spark, zones_of("songs-lyrics"), [None, None, {"artist": "artist_name", "lyrics": "song_lyrics"}])
-    tracks, _ = readers.read_with_fallback(
-        spark, zones_of("spotify-tracks-dataset"), [None, None, {"artists": "artist_name"}])
-    title = "song_name" if "song_name" in lyrics.columns else "track_name"
-    explicit = X.explicit_prediction(lyrics, tracks, on=[("artist_name", "artist_name"), (title, "track_name")],
-                                     normalise_keys=normalise_keys)
-    report.add("explicit_prediction", sinks.write_parquet(explicit, layout.exploitation("explicit_prediction")))
-    charts, _ = readers.read_with_fallback(spark, zones_of("top-spotify-songs-by-country"),
-                                           [None, None, {"name": "track_name", "artists": "artist_name"}])
+    def table(name: str, kind: str) -> DataFrame:
+        """SRC6: the first readable zone; a landing copy (raw names, text
+        values) is typed and renamed as the formatter does."""
+        df, path = readers.read_with_fallback(spark, zones_of(name))
+        return _format(df, kind, "notebook") if path == layout.landing(name) + ".parquet" else df
+
+    lyrics, tracks = table("songs-lyrics", "lyrics"), table("spotify-tracks-dataset", "tracks")
+    if "song_lyrics" in lyrics.columns:
+        title = "song_name" if "song_name" in lyrics.columns else "track_name"
+        explicit = X.explicit_prediction(lyrics, tracks, on=[("artist_name", "artist_name"), (title, "track_name")],
+                                         normalise_keys=normalise_keys)
+        report.add("explicit_prediction", sinks.write_parquet(explicit, layout.exploitation("explicit_prediction")))
+    else:
+        log.warning("lyrics hold links, not texts; no classifier set")
+    charts = table("top-spotify-songs-by-country", "charts")
     vis = X.visualisation_set(charts)
     report.add("data_visualization", sinks.write_parquet(vis, layout.exploitation("data_visualization")))
     return report
@@ -254,28 +280,29 @@ def read_back(spark: SparkSession, layout: manifest.ZoneLayout, artists: int = 2
     out: dict[str, DataFrame] = {}
     top = layout.analytics("top_artists")
     if readers.path_exists(spark, top):
-        df = readers.read_csv(spark, top, S.TOP_ARTISTS_SCHEMA)
+        df = readers.read_text_csv(spark, top, S.TOP_ARTISTS_SCHEMA)
         out["top_artists"] = sinks.preview(df.orderBy(F.desc_nulls_last("avg_popularity"), "artist_name"),
                                            artists)
     entries = layout.analytics("top_countries_by_entries")
     if readers.path_exists(spark, entries):
-        df = readers.read_csv(spark, entries, infer=True)
+        df = readers.read_text_csv(spark, entries, infer=True)
         out["top_countries_by_entries"] = sinks.preview(
             df.orderBy(F.desc_nulls_last("chart_entries"), df.columns[0]), countries)
     corr = layout.analytics("feature_correlations")
     if readers.path_exists(spark, corr):
-        df = readers.read_csv(spark, corr, infer=True)
+        df = readers.read_text_csv(spark, corr, infer=True)
         out["feature_correlations"] = A.rank_by_abs(df)
     return out
 
 
 def run_all(spark: SparkSession, layout: manifest.ZoneLayout, variant: str = "script",
-            update: bool = False) -> dict[str, ZoneReport]:
-    """JOB16: the whole batch flow over one zone layout."""
+            update: bool = False, zone: str = "formatted") -> dict[str, ZoneReport]:
+    """JOB16: the whole batch flow over one zone layout; ``zone`` is what the
+    analyses read."""
     return {
         "formatted": format_zone(spark, layout, variant, update),
         "trusted": trusted_zone(spark, layout),
-        "analytics": analytics_zone(spark, layout),
+        "analytics": analytics_zone(spark, layout, zone),
         "exploitation": exploitation_zone(spark, layout),
     }
 
@@ -291,13 +318,15 @@ def main(argv: Sequence[str] | None = None) -> int:
     ap.add_argument("root")
     ap.add_argument("--variant", choices=VARIANTS, default="script")
     ap.add_argument("--update", action="store_true", help="refresh only the daily chart")
+    ap.add_argument("--zone", choices=("formatted", "trusted"), default="formatted",
+                    help="tables that the analyses read")
     ap.add_argument("--preview", type=int, default=0, metavar="N",
                     help="print the schema and first N rows of the read-back results (SNK5)")
     args = ap.parse_args(argv)
     spark = build_session()
     try:
         layout = manifest.ZoneLayout(args.root)
-        reports = run_all(spark, layout, args.variant, args.update)
+        reports = run_all(spark, layout, args.variant, args.update, args.zone)
         print(json.dumps({zone: {"written": r.written, "counts": r.counts} for zone, r in reports.items()},
                          indent=2))
         if args.preview:

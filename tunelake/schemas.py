@@ -135,11 +135,6 @@ def raw_string_schema(spec: list[ColumnSpec]) -> T.StructType:
     return T.StructType([T.StructField(s.source, T.StringType(), True) for s in spec])
 
 
-CHARTS_LANDING_SCHEMA = T.StructType(
-    [T.StructField(s.source, T.StringType(), True) for s in CHARTS_SPEC[:19]]
-    + [T.StructField(s.source, T.DoubleType(), True) for s in CHARTS_SPEC[19:]]
-)
-
 # Analysis results read back by the charts (declared, not inferred).
 TOP_ARTISTS_SCHEMA = T.StructType([
     T.StructField("artist_name", T.StringType(), True),

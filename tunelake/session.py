@@ -6,7 +6,6 @@ Library code never sets cluster-wide options on a session it did not create;
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -49,31 +48,35 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A fresh folder under the cluster's shared checkpoint folder.
 
     The folder comes from ``spark.checkpoint.dir`` (or the context's current
-    checkpoint dir). Only when neither is set -- a laptop or a test -- a
-    folder under the system temp dir is created and registered, so later
-    calls and ``DataFrame.checkpoint()`` use the same place.
+    checkpoint dir). Where neither is set, a ``local`` master (a laptop or a
+    test) gets a folder under the system temp dir, which is registered so
+    that later calls and ``DataFrame.checkpoint()`` use the same place; on a
+    cluster, where executors would each see their own folder, this raises.
+    The folder is removed when the session ends.
     """
+    base = _checkpoint_base(spark).rstrip("/")
+    path = "/".join([base, "tunelake", *parts, uuid.uuid4().hex])
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(p)
+    fs.deleteOnExit(p)
+    return path
+
+
+def _checkpoint_base(spark: SparkSession) -> str:
     sc = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not base:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="tunelake-ckpt-")
         sc.setCheckpointDir(base)
-    base = base.rstrip("/")
-    return "/".join([base, "tunelake", *parts, uuid.uuid4().hex])
+    return base
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Make sure ``DataFrame.checkpoint()`` has a reliable target."""
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="tunelake-ckpt-")
-    sc.setCheckpointDir(base)
-    return sc.getCheckpointDir() or base
-
-
-def is_local_path(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:") or os.path.isabs(path)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(_checkpoint_base(spark))
+    return sc.getCheckpointDir()

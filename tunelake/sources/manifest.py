@@ -30,13 +30,27 @@ MANIFEST = [
 # Auxiliary files shipped next to the datasets that are not converted.
 LANDING_DENY = ("songs_details.csv", "album_details.csv")
 
-LANDING_SCHEMAS = {
-    "tracks": S.raw_string_schema(S.TRACKS_SPEC),
-    "charts": S.CHARTS_LANDING_SCHEMA,
-    "lyrics": S.raw_string_schema(S.LYRICS_TEXT_SPEC),
+# The forms a landing file of each kind may have (found by header name).
+LANDING_SPECS = {
+    "tracks": [S.TRACKS_SPEC],
+    "charts": [S.CHARTS_SPEC],
+    "lyrics": [S.LYRICS_TEXT_SPEC, S.LYRICS_URL_SPEC],
 }
 
 
+def landing_forms(kind: str) -> list[list[str]]:
+    return [[c.source for c in spec] for spec in LANDING_SPECS[kind]]
+
+
+def landing_spec(kind: str, columns: Iterable[str]) -> list[S.ColumnSpec]:
+    """The column spec that fits a landing table."""
+    have = set(columns)
+    for spec in LANDING_SPECS[kind]:
+        if {c.source for c in spec} <= have:
+            return spec
+    raise ValueError(f"no {kind} form has the columns {sorted(have)}")
+
+
 @dataclass(frozen=True)
 class ZoneLayout:
     """Base folders of the zones; every table is ``<zone>/<dataset>``."""

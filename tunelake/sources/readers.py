@@ -1,23 +1,30 @@
 """Scans (SRC1-SRC6, SRC9).
 
-CSV is read with a declared schema by default: inference costs a full
-extra pass over the input and may differ between files. Inference stays
-available for profiling.
+Landing CSVs are read by header name, as text: a declared schema would bind
+columns by position, and inference costs an extra pass over the input. Own
+results are read with a declared schema. Inference stays available for
+profiling.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 
+# How CSV text is written and read back unchanged; both directions use it.
+CSV_OPTIONS = {"encoding": "utf-8", "escape": '"', "ignoreLeadingWhiteSpace": "false",
+               "ignoreTrailingWhiteSpace": "false"}
+
+
 def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | None = None,
              infer: bool = False, **options) -> DataFrame:
     """SRC1/SRC3/SRC4: headed CSV, declared schema unless ``infer``."""
-    reader = spark.read.option("header", "true")
+    reader = spark.read.options(**CSV_OPTIONS).option("header", "true")
     if schema is not None:
         reader = reader.schema(schema)
     elif infer:
@@ -30,8 +37,64 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
 def read_text_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | None = None,
                   infer: bool = False) -> DataFrame:
     """SRC2: quoted multi-line text, UTF-8, ``"`` escaping ``"``."""
-    return read_csv(spark, path, schema, infer, encoding="utf-8", multiLine="true", escape='"',
-                    ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false")
+    return read_csv(spark, path, schema, infer, multiLine="true")
+
+
+def read_csv_by_name(spark: SparkSession, paths: Sequence[str], forms: Sequence[Sequence[str]],
+                     multi_line: bool = False) -> DataFrame:
+    """SRC1/SRC2 of landing files: the columns of one of ``forms`` by header
+    name, as text. Further columns and any order are fine, also from file to
+    file: files of equal header are read together and the groups are united.
+
+    ``forms`` lists the sets of names the dataset may have; all files must
+    have the same one. A file with none of them raises.
+    """
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for path in paths:
+        for file in _csv_files(spark, path):
+            header = tuple(read_csv(spark, file, multiLine=str(multi_line).lower()).columns)
+            groups.setdefault(header, []).append(file)
+    parts, used = [], set()
+    for header, files in groups.items():
+        form = next((tuple(f) for f in forms if set(f) <= set(header)), None)
+        if form is None:
+            missing = min((sorted(set(f) - set(header)) for f in forms), key=len)
+            raise ValueError(f"{files[0]}: no column {', '.join(missing)} in the header")
+        used.add(form)
+        df = read_csv(spark, files, multiLine=str(multi_line).lower())
+        parts.append(df.select(*[df["`" + c + "`"] for c in form]))
+    if len(used) > 1:
+        raise ValueError(f"files of different forms: {sorted(used)}")
+    if not parts:
+        raise FileNotFoundError(f"no CSV file in {list(paths)}")
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _csv_files(spark: SparkSession, path: str) -> list[str]:
+    """The file itself, or the data files inside a folder."""
+    p, fs = _hadoop(spark, path)
+    if not fs.getFileStatus(p).isDirectory():
+        return [path]
+    names = [(st.getPath().getName(), st.getPath().toString(), st.getLen()) for st in fs.listStatus(p)]
+    return sorted(full for name, full, size in names if not name.startswith(("_", ".")) and size)
+
+
+def _hadoop(spark: SparkSession, path: str):
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path, hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def modified(spark: SparkSession, path: str) -> int:
+    """Time of the last change (ms); of a folder, that of its newest entry."""
+    p, fs = _hadoop(spark, path)
+    status = fs.getFileStatus(p)
+    inside = [st.getModificationTime() for st in fs.listStatus(p)] if status.isDirectory() else []
+    return max([status.getModificationTime(), *inside])
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    p, fs = _hadoop(spark, path)
+    fs.delete(p, True)
 
 
 def read_parquet(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
@@ -43,18 +106,14 @@ def read_parquet(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the Hadoop file system of the path (works for
     local, HDFS and object stores alike)."""
-    jvm = spark.sparkContext._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    hadoop_path, fs = _hadoop(spark, path)
     return bool(fs.exists(hadoop_path))
 
 
 def list_files(spark: SparkSession, folder: str, suffixes: Sequence[str] = (".csv", ".parquet")) -> list[str]:
     """Files (or Parquet folders) directly inside ``folder`` whose name ends
     with one of ``suffixes``; empty when the folder does not exist."""
-    jvm = spark.sparkContext._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(folder)
-    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    hadoop_path, fs = _hadoop(spark, folder)
     if not fs.exists(hadoop_path):
         return []
     out = []

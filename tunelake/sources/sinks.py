@@ -9,9 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
-from tunelake.sources.readers import read_csv
+from tunelake.sources.readers import CSV_OPTIONS, delete_path
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
@@ -38,27 +39,22 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     """SNK2: headed CSV; text is quoted and kept byte for byte (no space
     trimming), so it reads back with ``read_text_csv``."""
-    (df.write.mode(mode)
-       .option("header", "true").option("escape", '"')
-       .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
-       .csv(path))
+    df.write.mode(mode).options(**CSV_OPTIONS).option("header", "true").csv(path)
     return path
 
 
-def write_if_rows(df: DataFrame, path: str | None, fmt: str = "csv") -> bool:
-    """SNK3: write only when a path is given and the frame has a row.
-    ``isEmpty`` stops at the first row found."""
-    if not path or df.isEmpty():
-        return False
-    (write_csv if fmt == "csv" else write_parquet)(df, path)
-    return True
-
-
-def csv_to_parquet(spark: SparkSession, src: str, dst: str, schema=None, text: bool = False) -> str:
-    """SNK4: one landing CSV file or folder -> Parquet, as a Spark job."""
-    from tunelake.sources.readers import read_text_csv
-    df = read_text_csv(spark, src, schema) if text else read_csv(spark, src, schema)
-    return write_parquet(df, dst)
+def write_if_rows(df: DataFrame, path: str | None, fmt: str = "csv") -> int:
+    """SNK3/JN4: write when a path is given and count the rows in the same
+    pass; an output without rows is removed again. Returns the row count."""
+    if not path:
+        return 0
+    rows = Observation()
+    counted = df.observe(rows, F.count(F.lit(1)).alias("rows"))
+    (write_csv if fmt == "csv" else write_parquet)(counted, path)
+    n = int(rows.get["rows"])
+    if not n:
+        delete_path(df.sparkSession, path)
+    return n
 
 
 def preview(df: DataFrame, n: int = 20) -> DataFrame:
