@@ -50,7 +50,7 @@ def test_group_counts_hot_key_partial_aggregate(spark):
 
 def test_oversample_hot_class_is_exact(spark):
     df = _skewed(spark).select("id", "label")
-    out = M.oversample(df, "label", id_col="id", buckets=64)
+    out = M.oversample(df, "label", id_col="id", bucket_rows=200)
     sizes = Counter(r["label"] for r in out.select("label").collect())
     before = Counter(r["label"] for r in df.select("label").collect())
     assert sizes == {c: max(before.values()) for c in before}
@@ -75,4 +75,12 @@ def test_top_per_group_hot_group(spark):
     vals = sorted({r["daily_rank"] for r in df.filter("country = 0").collect()})[:5]
     assert sorted({r["daily_rank"] for r in hot}) == vals
     assert len(hot) == df.filter(F.col("country") == 0).filter(F.col("daily_rank").isin(vals)).count()
-    assert "Partial" in plan_text(out)
+    # no exchange that carries whole rows is keyed by the group alone
+    big = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        df.sparkSession.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        exchanges = [line for line in plan_text(A.top_per_group(df)).splitlines() if "hashpartitioning(" in line]
+    finally:
+        df.sparkSession.conf.set("spark.sql.autoBroadcastJoinThreshold", big)
+    whole = [line for line in exchanges if "__key0" not in line]
+    assert exchanges and whole and all("daily_rank" in line for line in whole)

@@ -11,9 +11,10 @@ SCHEMA = "spotify_id string, track_name string, artist_name string, daily_rank i
 
 def test_refresh_equals_batch_and_replay_is_idempotent(spark):
     data = [("a", "T", "A", 1, "ES", D1), ("b", "U", "A", 1, "ES", D1), ("c", "T", "A", 2, "ES", D1),
-            ("d", "V", "B", 1, "ES", D2), ("e", "V", "B", 2, "ES", D2), ("f", "W", "C", 1, "FR", D2)]
+            ("d", "V", "B", 1, "ES", D2), ("e", "V", "B", 2, "ES", D2), ("f", "W", "C", 1, "FR", D2),
+            ("g", "X", "C", 1, "FR", None), ("h", "Y", "C", 1, "FR", None)]
     df = spark.createDataFrame(data, SCHEMA)
-    got = refresh.replay_refresh(spark, df, files=3)
+    got = refresh.replay_refresh(spark, df, deliveries=3)
     assert rows(got) == rows(refresh.trusted_rebuild(df))
 
     root = shared_dir(spark, "refresh-test")

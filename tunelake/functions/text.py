@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-import unicodedata
-
-import pandas as pd
-import regex
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -63,36 +60,16 @@ def song_key(title: Column | str, artist: Column | str) -> Column:
     return F.concat(_as_col(title), F.lit(SONG_KEY_SEPARATOR), _as_col(artist))
 
 
-def _make_fold_udf():
-    """Build the accent-folding pandas UDF.
-
-    The function is a closure, so it is shipped to the Python workers by
-    value: executors need pandas and ``regex``, not this package.
-    """
-    marks = regex.compile(r"\p{M}+")
-    normalize = unicodedata.normalize
-
-    def fold_one(value):
-        if value is None or value.isascii():
-            return value
-        return marks.sub("", normalize("NFD", value))
-
-    def fold(s: pd.Series) -> pd.Series:
-        return s.map(fold_one, na_action="ignore")
-
-    return F.pandas_udf(fold, T.StringType())
-
-
-_FOLD_UDF = None
+def _fold(texts: pa.Array) -> pa.Array:
+    """Whole Arrow arrays at a time; the imports travel with the function, so
+    executors need pyarrow, not this package."""
+    import pyarrow.compute as pc
+    return pc.replace_substring_regex(pc.utf8_normalize(texts, form="NFD"), pattern=r"\p{M}+", replacement="")
 
 
 def fold_accents(c: Column | str) -> Column:
     """Canonical decomposition with combining marks removed (``é -> e``).
 
-    An Arrow-batched pandas UDF: Spark SQL has no Unicode normaliser. ASCII
-    values pass through untouched.
+    An Arrow UDF over whole columns: Spark SQL has no Unicode normaliser.
     """
-    global _FOLD_UDF
-    if _FOLD_UDF is None:
-        _FOLD_UDF = _make_fold_udf()
-    return _FOLD_UDF(_as_col(c))
+    return F.arrow_udf(_fold, T.StringType())(_as_col(c))

@@ -10,6 +10,7 @@ ordering carries a tie-break so top-k and dedup results are deterministic.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
@@ -85,19 +86,25 @@ def top_per_group(df: DataFrame, group: str = "country", order: str = "daily_ran
                   date_col: str = "snapshot_date", min_order_value=None) -> DataFrame:
     """WIN1/FLT4: ``dense_rank`` of ``order`` within each group, ranks <= k.
 
-    Without ``per_snapshot`` the window has no date key, so every row whose
+    Without ``per_snapshot`` the ranking has no date key, so every row whose
     value is among the k best of its group over all dates is kept. NULLs
     sort first when ascending (and a filled rank of 0 wins); pass
-    ``min_order_value=1`` to drop such rows first. ``rank <= k`` lets Spark
-    push a partial group limit below the shuffle.
+    ``min_order_value=1`` to drop such rows first.
+
+    Only the distinct (group, value) pairs are ranked; the rows are then
+    joined to the pairs that made the cut, so a group that holds much of the
+    table is neither sorted nor gathered in one task.
     """
     if min_order_value is not None:
         df = df.filter(F.col(order) >= F.lit(min_order_value))
     keys = [group] + ([date_col] if per_snapshot else [])
-    o = F.col(order).asc_nulls_first() if ascending else F.col(order).desc_nulls_last()
-    w = Window.partitionBy(*keys).orderBy(o)
-    return (df.withColumn(rank_name, F.dense_rank().over(w))
-              .filter(F.col(rank_name) <= k)
+    o = F.col("__value").asc_nulls_first() if ascending else F.col("__value").desc_nulls_last()
+    names = {k: f"__key{i}" for i, k in enumerate(keys)} | {order: "__value"}
+    pairs = df.select(*[F.col(k).alias(n) for k, n in names.items()]).distinct()
+    best = (pairs.withColumn(rank_name, F.dense_rank().over(Window.partitionBy(*[names[k] for k in keys]).orderBy(o)))
+                 .filter(F.col(rank_name) <= k))
+    same = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(n)) for c, n in names.items()])
+    return (df.join(best, same)
               .select(*columns, rank_name)
               .orderBy(_asc(group), _asc(rank_name)))
 

@@ -99,18 +99,23 @@ def chart_history(df: DataFrame, country, start, end, slots: int = S.CHART_SLOTS
 def new_entries(df: DataFrame, date_col: str = "snapshot_date", song_col: str = "song_id") -> DataFrame:
     """WIN6: songs present in a snapshot but not in the previous snapshot.
 
-    The first snapshot flags nothing. The previous snapshot of each date
-    comes from ``lag`` over the distinct dates (one row per calendar day, so
-    that window is bounded by the day count, not the data). The absence test
-    is an anti-join on (song, previous date): both sides hash-partition on
-    the pair, so no song or date is gathered in one task.
+    The first snapshot flags nothing. Dates are numbered over the distinct
+    dates (one row per calendar day, so that window is bounded by the day
+    count, not the data). A song is new on a date when its own previous date
+    is not the one before: one ``lag`` per song, which has at most one row a
+    day.
     """
     present = (df.filter(F.col(song_col).isNotNull() & (F.col(song_col).cast("string") != ""))
                  .select(F.col(date_col).alias("snapshot_date"), F.col(song_col).alias("song_id"))
                  .distinct())
-    dates = present.select("snapshot_date").distinct()
-    prev = dates.withColumn("prev_date", F.lag("snapshot_date").over(Window.orderBy("snapshot_date")))
-    candidates = present.join(prev, "snapshot_date").filter(F.col("prev_date").isNotNull())
-    before = present.select(F.col("snapshot_date").alias("prev_date"), "song_id")
-    return (candidates.join(before, ["prev_date", "song_id"], "left_anti")
-                      .select("snapshot_date", "song_id", "prev_date"))
+    in_order = Window.orderBy("snapshot_date")
+    dates = (df.filter(F.col(song_col).isNotNull() & (F.col(song_col).cast("string") != ""))
+               .select(F.col(date_col).alias("snapshot_date")).distinct()
+               .select("snapshot_date", F.lag("snapshot_date").over(in_order).alias("prev_date"),
+                       F.row_number().over(in_order).alias("__nth")))
+    by_song = Window.partitionBy("song_id").orderBy("__nth")
+    return (present.join(dates, "snapshot_date")
+                   .withColumn("__last", F.lag("__nth").over(by_song))
+                   .filter(F.col("prev_date").isNotNull()
+                           & (F.col("__last").isNull() | (F.col("__last") < F.col("__nth") - 1)))
+                   .select("snapshot_date", "song_id", "prev_date"))

@@ -3,8 +3,9 @@
 Splits and samples hash a stable id with md5, so they do not move when the
 cluster or the partitioning changes. Oversampling is exact (every class
 reaches the majority size) and distributed: rows are numbered inside
-(class, hash bucket) groups and offset by a prefix sum over the small
-(class x bucket) count table, so no class is gathered in one task.
+(class, hash range) groups and offset by a prefix sum over the small
+(class x range) count table, so no class is gathered in one task. The text
+classifier balances its classes by weights, which copies no text.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tunelake import schemas as S
 from tunelake.functions.casts import lenient_cast
-from tunelake.functions.hashing import hash_order_key, stable_bucket
+from tunelake.functions.hashing import hash_order_key, null_safe_id, stable_bucket
 from tunelake.session import shared_dir
 
 SPLIT_BUCKETS = 10000
@@ -43,8 +44,9 @@ def split_column(id_col: str | Column, seed: int = S.SPLIT_SEED,
 
 def stable_split(df: DataFrame, id_col: str, seed: int = S.SPLIT_SEED,
                  fractions: Sequence[float] = S.SPLIT_FRACTIONS, split_col: str = "split") -> DataFrame:
-    """ML2: tag each row with its split; sizes are approximately the fractions."""
-    return df.withColumn(split_col, split_column(id_col, seed, fractions))
+    """ML2: tag each row with its split; sizes are approximately the fractions.
+    A row without an id is placed by its other columns."""
+    return df.withColumn(split_col, split_column(null_safe_id(df, id_col), seed, fractions))
 
 
 def class_counts(df: DataFrame, label_col: str = "label") -> DataFrame:
@@ -53,48 +55,65 @@ def class_counts(df: DataFrame, label_col: str = "label") -> DataFrame:
 
 
 def require_classes(df: DataFrame, label_col: str = "label", classes: Sequence = (0, 1)) -> dict:
-    """ML3: raise unless every class occurs. Collects one row per class."""
-    found = {r[0]: r[1] for r in class_counts(df, label_col).collect()}
+    """ML3: raise unless every class occurs. Only the classes are counted, so
+    at most one row each is collected."""
+    wanted = df.filter(F.col(label_col).isin(*classes))
+    found = {r[0]: r[1] for r in class_counts(wanted, label_col).collect()}
     missing = [c for c in classes if found.get(c, 0) == 0]
     if missing:
         raise ValueError(f"split lacks classes {missing}: {found}")
     return found
 
 
+MAX_CLASSES = 1000
+BUCKET_ROWS = 50_000
+
+
+def class_sizes(df: DataFrame, label_col: str) -> dict:
+    """Rows per class (NULL is no class); more than MAX_CLASSES raise."""
+    rows = class_counts(df.filter(F.col(label_col).isNotNull()), label_col).limit(MAX_CLASSES + 1).collect()
+    if len(rows) > MAX_CLASSES:
+        raise ValueError(f"{label_col} has over {MAX_CLASSES} values; it is no class label")
+    return {r[0]: r[1] for r in rows}
+
+
 def oversample(df: DataFrame, label_col: str = "label", id_col: str | None = None,
-               seed: int = S.SPLIT_SEED, buckets: int = 1024, replica_col: str = "replica") -> DataFrame:
+               seed: int = S.SPLIT_SEED, replica_col: str = "replica", bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """ML4: replicate every class cyclically up to the majority class size.
 
     Rows of a class are ordered by ``md5(seed:id)`` (then the other columns);
     with ``n`` rows and target ``N`` the first ``N mod n`` rows get
     ``N div n + 1`` copies and the rest ``N div n``, so each class ends with
-    exactly ``N`` rows. ``replica`` numbers the copies of a row from 1.
+    exactly ``N`` rows. ``replica`` numbers the copies of a row from 1. Rows
+    are numbered in ranges of the hash, as many as the class sizes ask for.
+    A row without an id is ordered by its other columns; a row without a
+    label belongs to no class and is kept once.
     """
     id_col = id_col or df.columns[0]
-    key = hash_order_key(id_col, seed)
-    tagged = df.withColumns({"__key": key,
-                             "__bucket": F.pmod(F.conv(F.substring(key, 1, 8), 16, 10).cast("bigint"),
-                                                F.lit(buckets))})
-    per_bucket = tagged.groupBy(label_col, "__bucket").agg(F.count(F.lit(1)).alias("__n"))
+    sizes = class_sizes(df, label_col)
+    once = df.withColumn(replica_col, F.lit(1))
+    if not sizes:
+        return once
+    target = max(sizes.values())
+    buckets = -(-target // bucket_rows)
+    size_of = F.create_map(*[F.lit(x) for pair in sizes.items() for x in pair])
+    key = hash_order_key(null_safe_id(df, id_col), seed)
+    head = F.conv(F.substring("__key", 1, 8), 16, 10).cast("bigint")
+    tagged = (df.filter(F.col(label_col).isNotNull()).withColumn("__key", key)
+                .withColumn("__bucket", F.floor(head * F.lit(buckets) / F.lit(1 << 32))))
     running = Window.partitionBy(label_col).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(label_col)
-    # classes x buckets rows: small, so the windows and the join back are cheap.
-    offsets = per_bucket.select(
-        label_col, "__bucket",
-        F.coalesce(F.sum("__n").over(running), F.lit(0)).alias("__offset"),
-        F.sum("__n").over(whole).alias("__class_n"))
-    target = offsets.groupBy(label_col).agg(F.max("__class_n").alias("__class_n"))
-    target = target.withColumn("__target", F.max("__class_n").over(Window.partitionBy()))
-    offsets = offsets.join(target.select(label_col, "__target"), label_col)
+    offsets = (tagged.groupBy(label_col, "__bucket").agg(F.count(F.lit(1)).alias("__n"))
+                     .select(label_col, "__bucket", F.coalesce(F.sum("__n").over(running), F.lit(0)).alias("__offset")))
     tie = [F.col(c).asc_nulls_first() for c in df.columns if c != label_col]
     numbered = tagged.withColumn(
         "__rn", F.row_number().over(Window.partitionBy(label_col, "__bucket").orderBy("__key", *tie)))
     numbered = numbered.join(offsets, [label_col, "__bucket"])
-    idx = F.col("__offset") + F.col("__rn")
-    copies = (F.floor(F.col("__target") / F.col("__class_n"))
-              + F.when(idx <= F.pmod(F.col("__target"), F.col("__class_n")), 1).otherwise(0)).cast("int")
+    class_n = size_of[F.col(label_col)]
+    copies = (F.floor(F.lit(target) / class_n)
+              + F.when(F.col("__offset") + F.col("__rn") <= F.pmod(F.lit(target), class_n), 1).otherwise(0)).cast("int")
     return (numbered.withColumn(replica_col, F.explode(F.sequence(F.lit(1), copies)))
-                    .select(*df.columns, replica_col))
+                    .select(*df.columns, replica_col)
+                    .unionByName(once.filter(F.col(label_col).isNull())))
 
 
 def sample_rows(df: DataFrame, n: int = 5, id_col: str | None = None, seed: int = S.SPLIT_SEED) -> DataFrame:
@@ -145,13 +164,18 @@ def confusion_matrix(df: DataFrame, label_col: str = "label", pred_col: str = "p
     )).alias("c")).select("c.label", "c.prediction", "c.count")
 
 
+# Words in any script: Java's \\W is ASCII without the flag.
+TOKEN_GAPS = r"(?U)\W+"
+
+
 def text_classifier(text_col: str = "song_lyrics", label_col: str = "label",
                     num_features: int = 1 << 18, model: str = "naive_bayes",
-                    max_iter: int = 20, reg_param: float = 0.0):
+                    max_iter: int = 20, reg_param: float = 0.0, smoothing: float = 1.0,
+                    weight_col: str | None = None):
     """ML6: tokens -> hashed term counts -> classifier.
 
-    ``model="naive_bayes"``: multinomial naive Bayes on raw term counts
-    (Laplace smoothing), trained in one aggregation pass.
+    ``model="naive_bayes"``: multinomial naive Bayes on raw term counts,
+    trained in one aggregation pass.
     ``model="logistic"``: IDF weighting, then ``max_iter`` distributed
     L-BFGS iterations of logistic regression.
     """
@@ -159,12 +183,13 @@ def text_classifier(text_col: str = "song_lyrics", label_col: str = "label",
     from pyspark.ml.classification import LogisticRegression, NaiveBayes
     from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
 
-    tokens = RegexTokenizer(inputCol=text_col, outputCol="__tokens", pattern=r"\W+", toLowercase=True)
+    weight = {"weightCol": weight_col} if weight_col else {}
+    tokens = RegexTokenizer(inputCol=text_col, outputCol="__tokens", pattern=TOKEN_GAPS, toLowercase=True)
     if model == "naive_bayes":
         return Pipeline(stages=[
             tokens,
             HashingTF(inputCol="__tokens", outputCol="features", numFeatures=num_features),
-            NaiveBayes(featuresCol="features", labelCol=label_col, modelType="multinomial", smoothing=1.0),
+            NaiveBayes(featuresCol="features", labelCol=label_col, modelType="multinomial", smoothing=smoothing, **weight),
         ])
     if model == "logistic":
         return Pipeline(stages=[
@@ -172,45 +197,80 @@ def text_classifier(text_col: str = "song_lyrics", label_col: str = "label",
             HashingTF(inputCol="__tokens", outputCol="__tf", numFeatures=num_features),
             IDF(inputCol="__tf", outputCol="features"),
             LogisticRegression(featuresCol="features", labelCol=label_col, maxIter=max_iter,
-                               regParam=reg_param),
+                               regParam=reg_param, **weight),
         ])
     raise ValueError("model must be 'naive_bayes' or 'logistic'")
 
 
+# Settings compared on the validation split, by model.
+CANDIDATES = {
+    "naive_bayes": ({"smoothing": 1.0}, {"smoothing": 0.1}),
+    "logistic": ({"reg_param": 0.0}, {"reg_param": 0.01}),
+}
+
+
 def train_and_evaluate(df: DataFrame, text_col: str = "song_lyrics", label_col: str = "label",
                        id_col: str | None = None, seed: int = S.SPLIT_SEED, balance: bool = True,
                        eval_split: str = "test", model: str = "naive_bayes",
-                       model_dir: str | None = None) -> tuple[object, DataFrame, DataFrame]:
-    """JOB15 end to end: split, oversample the training split, fit, predict
-    on ``eval_split``; returns ``(model, predictions, metrics)``.
-
-    With ``model_dir`` the fitted pipeline is stored there and the stored
-    copy is used. A logistic model is always stored (in the shared folder
-    when no ``model_dir`` is given): its training summary holds a session
-    reference that cannot be shipped to executors once the session has
-    served an ``Observation``, and the stored copy has no summary.
+                       model_dir: str | None = None,
+                       candidates: Sequence[dict] | None = None) -> tuple[object, DataFrame, DataFrame]:
+    """JOB15 end to end: split, weigh the classes of the training split
+    equally, fit each candidate setting, keep the one with the best F1 on the
+    validation split, predict on ``eval_split``; returns ``(model,
+    predictions, metrics)``.
+
+    Rows without a label take no part in the training; empty and NULL texts
+    have no tokens. The predictions are written once (in the shared folder)
+    and read from there. With ``model_dir`` the fitted pipeline is stored
+    there and the stored copy is used. A logistic model is always stored (in
+    the shared folder when no ``model_dir`` is given): its training summary
+    holds a session reference that cannot be shipped to executors once the
+    session has served an ``Observation``, and the stored copy has no summary.
     """
+    from pyspark.ml import PipelineModel
+    spark = df.sparkSession
     id_col = id_col or text_col
     keep = list(dict.fromkeys([id_col, text_col, label_col]))
-    data = stable_split(df.select(*keep), id_col, seed)
-    train = data.filter(F.col("split") == "train").drop("split")
+    data = stable_split(df.select(*keep), id_col, seed).withColumn(text_col, F.coalesce(F.col(text_col), F.lit("")))
+    train = data.filter((F.col("split") == "train") & F.col(label_col).isNotNull()).drop("split")
+    weight_col = None
     if balance:
-        train = oversample(train, label_col, id_col=id_col, seed=seed).drop("replica")
+        sizes = class_sizes(train, label_col)
+        if sizes:
+            weight_col, most = "__weight", max(sizes.values())
+            weights = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, most / n)])
+            train = train.withColumn(weight_col, weights[F.col(label_col)])
     # Every training pass reads these rows: rebalance them into partitions
-    # sized by bytes (AQE) and keep them (spillable) instead of recomputing
-    # the split and the oversampling per pass.
+    # sized by bytes (AQE) and keep them (spillable).
     train = train.hint("rebalance").persist(StorageLevel.MEMORY_AND_DISK)
+
+    def predict(fitted, split: str) -> DataFrame:
+        return (fitted.transform(data.filter(F.col("split") == split).drop("split"))
+                      .select(*keep, F.col("prediction").cast("int").alias("prediction")))
+
+    def score(fitted) -> float:
+        return binary_metrics(predict(fitted, "validation").drop(text_col) if id_col != text_col
+                              else predict(fitted, "validation"), label_col, "prediction").first()["f1"]
+
+    def fit(setting: dict):
+        fitted = text_classifier(text_col, label_col, model=model, weight_col=weight_col, **setting).fit(train)
+        if model == "logistic":
+            path = shared_dir(spark, "models")
+            fitted.write().overwrite().save(path)
+            fitted = PipelineModel.load(path)
+        return fitted
+
     try:
-        fitted = text_classifier(text_col, label_col, model=model).fit(train)
+        tried = [fit(s) for s in (candidates or CANDIDATES[model])]
     finally:
         train.unpersist()
-    fitted_model = fitted
-    if model_dir or model == "logistic":
-        from pyspark.ml import PipelineModel
-        path = model_dir or shared_dir(df.sparkSession, "models")
-        fitted.write().overwrite().save(path)
-        fitted_model = PipelineModel.load(path)
-    held = data.filter(F.col("split") == eval_split).drop("split")
-    preds = (fitted_model.transform(held)
-                         .select(*keep, F.col("prediction").cast("int").alias("prediction")))
-    return fitted_model, preds, binary_metrics(preds, label_col, "prediction")
+    scores = [score(m) for m in tried] if len(tried) > 1 else [0.0]
+    chosen = tried[scores.index(max(scores))]
+    if model_dir:
+        chosen.write().overwrite().save(model_dir)
+        chosen = PipelineModel.load(model_dir)
+    path = shared_dir(spark, "predictions")
+    out = predict(chosen, eval_split)
+    out.write.mode("overwrite").parquet(path)
+    preds = spark.read.schema(out.schema).parquet(path)
+    return chosen, preds, binary_metrics(preds, label_col, "prediction")

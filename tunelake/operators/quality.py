@@ -22,17 +22,24 @@ from tunelake.operators.clean import drop_nulls
 _RN = "__keep_first_rn"
 
 
-def _sortable(df: DataFrame, name: str) -> bool:
-    return not isinstance(df.schema[name].dataType, T.MapType)
-
-
 def keep_first(df: DataFrame, keys: Sequence[str | Column], order: Sequence[str | Column],
-               tie_break: bool = True) -> DataFrame:
-    """One row per key: the first by ``order`` (WIN2, WIN3, WIN4, WIN7)."""
+               tie_break: bool = True, hashed_keys: bool = False) -> DataFrame:
+    """One row per key: the first by ``order`` (WIN2, WIN3, WIN4, WIN7).
+
+    The tie-break orders by all remaining columns; a map column cannot be
+    ordered, so it raises. ``hashed_keys`` groups by the SHA-256 of the
+    (string) keys, for keys that are long texts.
+    """
     order_cols = [F.col(o).asc() if isinstance(o, str) else o for o in order]
     if tie_break:
         used = {k for k in keys if isinstance(k, str)} | {o for o in order if isinstance(o, str)}
-        order_cols += [F.col(c).asc() for c in df.columns if c not in used and _sortable(df, c)]
+        rest = [c for c in df.columns if c not in used]
+        maps = [c for c in rest if isinstance(df.schema[c].dataType, T.MapType)]
+        if maps:
+            raise TypeError(f"map columns {maps} cannot break ties; order by a canonical form of them instead")
+        order_cols += [F.col(c).asc() for c in rest]
+    if hashed_keys:
+        keys = [F.sha2(F.col(k) if isinstance(k, str) else k, 256) for k in keys]
     w = Window.partitionBy(*keys).orderBy(*order_cols)
     return df.withColumn(_RN, F.row_number().over(w)).filter(F.col(_RN) == 1).drop(_RN)
 

@@ -14,6 +14,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tunelake import schemas as S
 from tunelake.functions.casts import DECIMAL_TEXT
@@ -24,8 +25,9 @@ from tunelake.operators import exploit as X
 from tunelake.operators import ml as M
 from tunelake.operators import quality as Q
 from tunelake.plans import roles as R
+from tunelake.plans import zones
 from tunelake.session import shared_dir
-from tunelake.sources import readers, sinks
+from tunelake.sources import manifest, readers, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -229,7 +231,7 @@ def q_unique_rank_then_title(spark, sf):
 
 
 def q_unique_id(spark, sf):
-    return Q.keep_first(_t(spark, sf, "documents"), ["text"], ["doc_id"])
+    return Q.keep_first(_t(spark, sf, "documents"), ["text"], ["doc_id"], hashed_keys=True)
 
 
 def q_violation_report(spark, sf):
@@ -261,11 +263,18 @@ def q_class_balance(spark, sf):
 
 
 def q_stable_split(spark, sf):
-    return M.stable_split(_t(spark, sf, "documents").select("doc_id"), "doc_id")
+    # documents of one language lose their id: they are placed by the rest
+    docs = _t(spark, sf, "documents").select(
+        F.when(F.col("lang") != "de", F.col("doc_id")).alias("doc_id"), "lang", "source", "n_chars")
+    return M.stable_split(docs, "doc_id")
 
 
 def q_oversample(spark, sf):
-    return M.oversample(_t(spark, sf, "labels").select("doc_id", "toxic"), "toxic", id_col="doc_id")
+    # bad rows without an id, ids of one range without a label: all are kept
+    labels = _t(spark, sf, "labels").select(
+        F.when(F.col("quality") == 1, F.col("doc_id")).alias("doc_id"),
+        F.when(F.col("doc_id") >= 10, F.col("toxic")).alias("toxic"), F.col("doc_id").alias("row_id"))
+    return M.oversample(labels, "toxic", id_col="doc_id")
 
 
 def _predictions(spark, sf):
@@ -340,8 +349,105 @@ def q_formatted_then_trusted(spark, sf):
 
 
 def q_refresh_charts(spark, sf):
+    # one event type has no date: such rows reach silver like others
     from tunelake.streaming.refresh import replay_refresh
-    return replay_refresh(spark, _event_charts(spark, sf), files=4)
+    charts = _event_charts(spark, sf).withColumn(
+        "snapshot_date", F.when(F.col("country") != HISTORY_COUNTRY, F.col("snapshot_date")))
+    return replay_refresh(spark, charts)
+
+
+# Whole tables as landing files, through the zone jobs: two folders per
+# dataset, of different column order, one with an extra column.
+def _landing_files(spark, layout, name: str, raw: DataFrame, key: str) -> None:
+    first = F.coalesce(F.pmod(F.xxhash64(key), F.lit(2)), F.lit(0)) == 0
+    columns = [f"`{c}`" for c in raw.columns]
+    sinks.write_csv(raw.filter(first).select(F.lit("x").alias("extra"), *columns[::-1]), layout.landing(f"{name}.csv"))
+    sinks.write_csv(raw.filter(~first).select(*columns[2:], *columns[:2]), layout.landing(f"{name}-2.csv"))
+
+
+def _formatted(spark, name: str, raw: DataFrame, key: str, variant: str = "script") -> DataFrame:
+    layout = manifest.ZoneLayout(shared_dir(spark, "zones"))
+    _landing_files(spark, layout, name, raw, key)
+    zones.format_zone(spark, layout, variant, partition_charts=False)
+    return spark.read.parquet(layout.formatted(name))
+
+
+def q_landing_tracks(spark, sf):
+    return _formatted(spark, "spotify-tracks-dataset", R.landing_tracks_from_part(_t(spark, sf, "part")), "track_id")
+
+
+def q_landing_charts(spark, sf):
+    return _formatted(spark, "top-spotify-songs-by-country", R.landing_charts_from_orders(_t(spark, sf, "orders")), "spotify_id")
+
+
+def q_landing_lyrics_text(spark, sf):
+    return _formatted(spark, "songs-lyrics", R.raw_lyrics_from_documents(_t(spark, sf, "documents")), "lyrics")
+
+
+def q_landing_lyrics_url(spark, sf):
+    return _formatted(spark, "songs-lyrics", R.landing_lyric_links_from_documents(_t(spark, sf, "documents")), "song_id",
+                      variant="notebook")
+
+
+# The whole flow (JOB16) over part, orders and documents as the datasets.
+def _pipeline(spark, sf):
+    layout = manifest.ZoneLayout(shared_dir(spark, "zones"))
+    tracks = R.landing_tracks_from_part(_t(spark, sf, "part"))
+    # songs and lyrics meet on (artist, title): a brand and a type
+    tracks = tracks.withColumn("track_name", F.concat(F.lit('"'), F.col("album_name"), F.lit('"')))
+    lyrics = _t(spark, sf, "part").select(
+        F.col("p_partkey").cast("string").alias("Unnamed: 0"), F.col("p_brand").alias("artist"),
+        F.concat(F.lit(' "'), F.col("p_type"), F.lit('" ')).alias("song_name"), F.lit('one\ntwo "three"').alias("lyrics"))
+    _landing_files(spark, layout, "spotify-tracks-dataset", tracks, "track_id")
+    _landing_files(spark, layout, "top-spotify-songs-by-country", R.landing_charts_from_orders(_t(spark, sf, "orders")), "spotify_id")
+    _landing_files(spark, layout, "songs-lyrics", lyrics, "`Unnamed: 0`")
+    zones.format_zone(spark, layout, partition_charts=False)
+    return layout, zones.analytics_zone(spark, layout)
+
+
+def q_pipeline_trends(spark, sf):
+    layout, _ = _pipeline(spark, sf)
+    return readers.read_text_csv(spark, layout.analytics("chart_trends_over_time"), T.StructType.fromDDL(
+        "snapshot_year int, snapshot_month int, chart_entries bigint, unique_tracks bigint"))
+
+
+def q_pipeline_match_count(spark, sf):
+    layout, report = _pipeline(spark, sf)
+    written = readers.read_text_csv(spark, layout.analytics("lyrics_tracks_combined")).agg(F.count(F.lit(1)).alias("rows_written"))
+    return written.select("rows_written", F.lit(report.counts["lyrics_tracks_combined"]["rows_out"]).cast("bigint").alias("match_count"))
+
+
+def q_pipeline_top_artists_readback(spark, sf):
+    layout, _ = _pipeline(spark, sf)
+    return zones.read_back(spark, layout)["top_artists"]
+
+
+def q_join_string_keys(spark, sf):
+    # many lyrics and many tracks per (artist, title); the artist carries the
+    # suffix that JN3/FN5 removes from the join key
+    part = _t(spark, sf, "part")
+    lyrics = part.select(F.concat(F.col("p_brand"), F.lit(S.LYRICS_ARTIST_SUFFIX)).alias("artist_name"),
+                         F.col("p_name").alias("track_name"), F.col("p_partkey").cast("string").alias("song_lyrics"))
+    tracks = part.select(F.upper("p_brand").alias("artist_name"), F.col("p_name").alias("track_name"),
+                         (F.col("p_size") > 25).alias("explicit"))
+    return X.explicit_prediction(lyrics, tracks, on=[("artist_name", "artist_name"), ("track_name", "track_name")], normalise_keys=True)
+
+
+def q_argmax_labels(spark, sf):
+    # FN16 on two scores, ML1 on labels kept as text
+    li = _t(spark, sf, "labels")
+    text = li.select("doc_id", F.when(F.col("toxic") == 1, "True").when(F.col("quality") == 1, "false").otherwise("n/a").alias("explicit"),
+                     F.col("quality").cast("double").alias("s0"), F.col("toxic").cast("double").alias("s1"))
+    scored = text.select("doc_id", M.argmax_prediction("s0", "s1").alias("prediction"))
+    return M.label_projection(text, "doc_id", "explicit").join(scored, "doc_id")
+
+
+def q_trusted_lyrics(spark, sf):
+    # JOB6 over documents as lyrics: required columns, one row per id
+    docs = _t(spark, sf, "documents").select(
+        (F.col("n_chars") % 1000).cast("int").alias("song_id"), F.col("source").alias("artist_name"),
+        F.col("lang").alias("track_name"), F.when(F.col("lang") != "es", F.col("text")).alias("song_lyrics"))
+    return Q.trust_lyrics(docs)
 
 
 QUERIES: dict[str, Query] = {
@@ -390,6 +496,16 @@ QUERIES: dict[str, Query] = {
     "chart_top_songs_by_country": q_chart_top_songs_by_country,
     "chart_top_songs_per_day": q_chart_top_songs_per_day,
     "formatted_then_trusted": q_formatted_then_trusted,
+    "landing_tracks": q_landing_tracks,
+    "landing_charts": q_landing_charts,
+    "landing_lyrics_text": q_landing_lyrics_text,
+    "landing_lyrics_url": q_landing_lyrics_url,
+    "pipeline_trends": q_pipeline_trends,
+    "pipeline_match_count": q_pipeline_match_count,
+    "pipeline_top_artists_readback": q_pipeline_top_artists_readback,
+    "join_string_keys": q_join_string_keys,
+    "argmax_labels": q_argmax_labels,
+    "trusted_lyrics": q_trusted_lyrics,
 }
 
 
@@ -444,6 +560,13 @@ def _md5_bucket(id_expr: str, buckets: int) -> str:
     return f"(('0x' || substr(md5('{S.SPLIT_SEED}:' || CAST({id_expr} AS VARCHAR)), 1, 8))::BIGINT % {buckets})"
 
 
+def _typed(spec) -> str:
+    """The casts of the last columns of a spec, names kept."""
+    duck = {"double": "DOUBLE", "boolean": "BOOLEAN"}
+    return ", ".join(f"{_lenient_int(c.source, 'BIGINT' if c.dtype == 'bigint' else 'INTEGER')} AS {c.target}"
+                     if c.dtype in ("int", "bigint") else f"TRY_CAST({c.source} AS {duck[c.dtype]}) AS {c.target}" for c in spec)
+
+
 _FORMATTED_CHARTS_CTES = f"""
         raw AS ({R.RAW_CHARTS_FROM_ORDERS_SQL}),
         p AS (
@@ -606,19 +729,25 @@ ORACLE_SQL: dict[str, str] = {
     "history_new_entries": _new_entries_sql(f"({_CHART_HISTORY})", "snapshot_date", "song_id"),
     "class_balance": "SELECT toxic, count(*) AS count FROM labels GROUP BY toxic",
     "stable_split": f"""
-        SELECT doc_id, CASE WHEN {_md5_bucket('doc_id', M.SPLIT_BUCKETS)} < 7000 THEN 'train'
-                            WHEN {_md5_bucket('doc_id', M.SPLIT_BUCKETS)} < 8500 THEN 'validation'
-                            ELSE 'test' END AS split
-        FROM documents""",
+        WITH d AS (SELECT CASE WHEN lang <> 'de' THEN doc_id END AS doc_id, lang, source, n_chars FROM documents),
+        k AS (SELECT *, coalesce(CAST(doc_id AS VARCHAR), concat_ws(chr(31), 'null', lang, source, n_chars)) AS id FROM d)
+        SELECT doc_id, lang, source, n_chars,
+               CASE WHEN {_md5_bucket('id', M.SPLIT_BUCKETS)} < 7000 THEN 'train'
+                    WHEN {_md5_bucket('id', M.SPLIT_BUCKETS)} < 8500 THEN 'validation'
+                    ELSE 'test' END AS split
+        FROM k""",
     "oversample": f"""
-        WITH t AS (SELECT doc_id, toxic, md5('{S.SPLIT_SEED}:' || CAST(doc_id AS VARCHAR)) AS k,
-                          {_md5_bucket('doc_id', 1024)} AS b FROM labels),
-        n AS (SELECT *, row_number() OVER (PARTITION BY toxic ORDER BY b, k, doc_id) AS idx,
-                     count(*) OVER (PARTITION BY toxic) AS class_n FROM t),
+        WITH l AS (SELECT CASE WHEN quality = 1 THEN doc_id END AS doc_id, CASE WHEN doc_id >= 10 THEN toxic END AS toxic,
+                          doc_id AS row_id FROM labels),
+        t AS (SELECT *, md5('{S.SPLIT_SEED}:' || coalesce(CAST(doc_id AS VARCHAR),
+                                concat_ws(chr(31), 'null', toxic, row_id))) AS k FROM l),
+        n AS (SELECT *, row_number() OVER (PARTITION BY toxic ORDER BY k, doc_id NULLS FIRST, row_id) AS idx,
+                     count(*) OVER (PARTITION BY toxic) AS class_n FROM t WHERE toxic IS NOT NULL),
         m AS (SELECT *, max(class_n) OVER () AS target FROM n),
-        c AS (SELECT doc_id, toxic, CAST(floor(target / class_n) AS BIGINT)
+        c AS (SELECT doc_id, toxic, row_id, CAST(floor(target / class_n) AS BIGINT)
                      + CASE WHEN idx <= target % class_n THEN 1 ELSE 0 END AS copies FROM m)
-        SELECT doc_id, toxic, CAST(unnest(generate_series(1, copies)) AS INTEGER) AS replica FROM c""",
+        SELECT doc_id, toxic, row_id, CAST(unnest(generate_series(1, copies)) AS INTEGER) AS replica FROM c
+        UNION ALL SELECT doc_id, toxic, row_id, 1 FROM t WHERE toxic IS NULL""",
     "binary_metrics": f"""
         WITH {_PREDICTIONS}, {_CONFUSION}
         SELECT {_rnd(_ratio('tp + tn', 'tp + tn + fp + fn'), METRIC_DIGITS)} AS accuracy,
@@ -639,7 +768,9 @@ ORACLE_SQL: dict[str, str] = {
         LIMIT 5""",
     "csv_roundtrip": f"SELECT {', '.join(DOC_COLUMNS)} FROM documents",
     "parquet_roundtrip": "SELECT * FROM lineitem",
-    "refresh_charts": _UNIQUE_RANK_THEN_TITLE,
+    "refresh_charts": _UNIQUE_RANK_THEN_TITLE.replace(
+        _EVENT_CHARTS, f"c AS (SELECT * REPLACE (CASE WHEN country <> '{HISTORY_COUNTRY}' THEN snapshot_date END "
+                       f"AS snapshot_date) FROM ({R.CHARTS_FROM_EVENTS_SQL}))"),
     "chart_top_countries": f"""
         WITH {_EVENT_CHARTS}
         SELECT country, count(*) AS chart_entries, count(DISTINCT track_name) AS unique_tracks
@@ -672,4 +803,54 @@ ORACLE_SQL: dict[str, str] = {
                  ORDER BY track_name ASC NULLS FIRST, spotify_id ASC NULLS FIRST, daily_rank ASC NULLS FIRST,
                           popularity ASC NULLS FIRST, duration_ms ASC NULLS FIRST,
                           acousticness ASC NULLS FIRST) = 1""",
+    "landing_tracks": f"""
+        WITH raw AS ({R.LANDING_TRACKS_SQL})
+        SELECT track_id, track_name, artists AS artist_name, album_name, {_typed(S.TRACKS_SPEC[4:])}
+        FROM raw WHERE track_id IS NOT NULL AND track_name IS NOT NULL""",
+    "landing_charts": f"""
+        WITH raw AS ({R.LANDING_CHARTS_SQL}),
+        p AS (
+          SELECT spotify_id, name AS track_name, artists AS artist_name, COALESCE({_lenient_int('daily_rank')}, 0) AS daily_rank,
+                 daily_movement, weekly_movement, upper(trim(regexp_replace(country, '\\s+', ' ', 'g'))) AS country,
+                 CAST(try_strptime(snapshot_date, '%Y-%m-%d') AS DATE) AS snapshot_date,
+                 COALESCE({_lenient_int('popularity')}, 0) AS popularity, is_explicit,
+                 COALESCE({_lenient_int('duration_ms', 'BIGINT')}, 0) AS duration_ms, album_name,
+                 CAST(try_strptime(album_release_date, '%Y-%m-%d') AS DATE) AS album_release_date,
+                 danceability, energy, key, loudness, mode, speechiness,
+                 {", ".join(f"COALESCE(TRY_CAST({c} AS DOUBLE), 0.0) AS {c}" for c in
+                            ("acousticness", "instrumentalness", "liveness", "valence", "tempo", "time_signature"))}
+          FROM raw)
+        SELECT *, CAST(year(snapshot_date) AS INTEGER) AS snapshot_year, CAST(month(snapshot_date) AS INTEGER) AS snapshot_month,
+               CAST(day(snapshot_date) AS INTEGER) AS snapshot_day
+        FROM p WHERE track_name IS NOT NULL""",
+    "landing_lyrics_text": f"""
+        WITH raw AS ({R.RAW_LYRICS_FROM_DOCUMENTS_SQL}),
+        p AS (SELECT {_lenient_int('"Unnamed: 0"')} AS song_id, trim(artist) AS artist_name,
+                     trim(song_name) AS track_name, lyrics AS song_lyrics FROM raw)
+        SELECT * FROM p WHERE song_id IS NOT NULL AND track_name IS NOT NULL""",
+    "landing_lyrics_url": f"""
+        WITH raw AS ({R.RAW_LYRICS_FROM_DOCUMENTS_SQL})
+        SELECT {_lenient_int('"Unnamed: 0"')} AS song_id, trim(artist) AS artist_name, trim(song_name) AS song_name,
+               'http://x/?q="' || artist || '",' AS song_url FROM raw""",
+    "pipeline_trends": f"""
+        WITH {_FORMATTED_CHARTS_CTES}
+        SELECT snapshot_year, snapshot_month, count(*) AS chart_entries, count(DISTINCT track_name) AS unique_tracks
+        FROM f GROUP BY 1, 2""",
+    "pipeline_match_count": """
+        WITH n AS (SELECT p_brand, p_type, count(*) AS n FROM part GROUP BY 1, 2)
+        SELECT CAST(sum(n * n) AS BIGINT) AS rows_written, CAST(sum(n * n) AS BIGINT) AS match_count FROM n""",
+    "pipeline_top_artists_readback": f"""
+        WITH raw AS ({R.RAW_TRACKS_FROM_PART_SQL}), t AS (SELECT artists AS artist_name, {_lenient_int('popularity')} AS popularity FROM raw)
+        SELECT artist_name, {_rnd('avg(popularity)', 2)} AS avg_popularity, count(*) AS track_count
+        FROM t GROUP BY 1 HAVING count(*) >= {S.MIN_TRACKS_PER_ARTIST} ORDER BY avg_popularity DESC NULLS LAST, artist_name LIMIT 20""",
+    "join_string_keys": """
+        SELECT CAST(a.p_partkey AS VARCHAR) AS song_lyrics, b.p_size > 25 AS explicit
+        FROM part a JOIN part b ON a.p_brand = b.p_brand AND a.p_name = b.p_name""",
+    "argmax_labels": """
+        SELECT doc_id, CASE WHEN toxic = 1 THEN 1 WHEN quality = 1 THEN 0 END AS label,
+               CASE WHEN toxic > quality THEN 1 ELSE 0 END AS prediction FROM labels""",
+    "trusted_lyrics": """
+        SELECT CAST(n_chars % 1000 AS INTEGER) AS song_id, source AS artist_name, lang AS track_name, text AS song_lyrics
+        FROM documents WHERE lang <> 'es' AND text IS NOT NULL AND source IS NOT NULL AND n_chars IS NOT NULL
+        QUALIFY row_number() OVER (PARTITION BY n_chars % 1000 ORDER BY source, lang, text) = 1""",
 }

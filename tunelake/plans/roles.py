@@ -150,3 +150,48 @@ RAW_LYRICS_FROM_DOCUMENTS_SQL = """
 SELECT CASE WHEN lang = 'de' THEN 'n/a' ELSE CAST(doc_id AS VARCHAR) END AS "Unnamed: 0",
        ' ' || source || '  ' AS artist, lang || ' ' AS song_name, text AS lyrics
 FROM documents"""
+
+
+# part and orders as landing files with all columns of the dataset specs.
+def landing_tracks_from_part(part: DataFrame) -> DataFrame:
+    size = F.col("p_size").cast("string")
+    base = raw_tracks_from_part(part).withColumn(
+        "track_name", F.concat(F.lit('"'), F.col("track_name"), F.lit('", live')))
+    names = ["track_id", "track_name", "artists", "album_name", "popularity", "duration_ms", "explicit", "danceability", "key"]
+    rest = ["energy", "loudness", "mode", "speechiness", "acousticness", "instrumentalness", "liveness", "valence", "tempo"]
+    raw = part.select(F.col("p_partkey").cast("string").alias("__id"), size.alias("__size"), F.col("p_type").alias("__type"))
+    raw = base.join(raw, base["track_id"] == raw["__id"])
+    return raw.select(*names, *[F.when(F.col("__type") == "PROMO", F.lit(None)).otherwise(F.col("__size")).alias(c) for c in rest])
+
+
+LANDING_TRACKS_SQL = f"""
+SELECT r.* REPLACE ('"' || track_name || '", live' AS track_name),
+       {", ".join(f"CASE WHEN p_type = 'PROMO' THEN NULL ELSE CAST(p_size AS VARCHAR) END AS {c}" for c in
+                  ["energy", "loudness", "mode", "speechiness", "acousticness", "instrumentalness", "liveness", "valence", "tempo"])}
+FROM ({RAW_TRACKS_FROM_PART_SQL}) r JOIN part ON track_id = CAST(p_partkey AS VARCHAR)"""
+
+
+def landing_charts_from_orders(orders: DataFrame) -> DataFrame:
+    raw = raw_charts_from_orders(orders)
+    text = {c: F.col("spotify_id") for c in ("daily_movement", "weekly_movement", "is_explicit", "danceability",
+                                             "energy", "key", "loudness", "mode", "speechiness")}
+    number = {c: F.when(F.col("artists") == "O", F.lit(None)).otherwise(F.col("spotify_id"))
+              for c in ("instrumentalness", "liveness", "valence", "tempo", "time_signature")}
+    return (raw.withColumn("acousticness", F.col("duration_ms"))
+               .withColumn("album_name", F.concat(F.lit('a "b", '), F.col("artists")))
+               .withColumns({**text, **number}))
+
+
+LANDING_CHARTS_SQL = f"""
+SELECT * REPLACE (duration_ms AS acousticness), 'a "b", ' || artists AS album_name,
+       {", ".join(f"spotify_id AS {c}" for c in ("daily_movement", "weekly_movement", "is_explicit", "danceability",
+                                                  "energy", "key", "loudness", "mode", "speechiness"))},
+       {", ".join(f"CASE WHEN artists = 'O' THEN NULL ELSE spotify_id END AS {c}" for c in
+                  ("instrumentalness", "liveness", "valence", "tempo", "time_signature"))}
+FROM ({RAW_CHARTS_FROM_ORDERS_SQL})"""
+
+
+def landing_lyric_links_from_documents(documents: DataFrame) -> DataFrame:
+    return raw_lyrics_from_documents(documents).select(
+        F.col("`Unnamed: 0`").alias("song_id"), F.col("artist").alias("singer_name"), "song_name",
+        F.concat(F.lit('http://x/?q="'), F.col("artist"), F.lit('",')).alias("song_href"))

@@ -5,14 +5,16 @@ Here new landing files are picked up by a file-source stream run with
 ``trigger(availableNow=True)`` (a bounded, restartable batch), and each
 micro-batch goes through ``foreachBatch``:
 
-1. the raw rows are written to a bronze table partitioned by
-   (``snapshot_date``, ``batch_id``) with dynamic partition overwrite, so a
-   replayed batch replaces exactly its own partitions (idempotent);
-2. the bronze rows of the dates this batch touched are re-read (a semi-join
-   on the partition column, so dynamic partition pruning skips other dates)
-   and the trusted rebuild runs over *all* rows of those dates, because the
+1. the rows are written to a bronze table partitioned by (``batch_id``,
+   ``snapshot_date``) with dynamic partition overwrite, so a replayed batch
+   replaces exactly its own partitions (idempotent);
+2. when the run has taken in all files, the dates that its batches touched
+   are rebuilt once: the bronze rows of those dates (found by partition
+   pruning, NULL dates included) go through the trusted rebuild, because the
    uniqueness constraints need every row of a date;
-3. those date partitions of the silver table are overwritten.
+3. those date partitions of the silver table are overwritten, and the last
+   batch that silver includes is noted beside it. A run that was lost between
+   two of these steps is made up for by the next one.
 
 Before each partitioned write a ``rebalance`` hint lets AQE group rows by
 date into few files per date while still splitting an oversized date.
@@ -54,22 +56,10 @@ def refresh_charts(spark: SparkSession, landing: str, bronze: str, silver: str,
     stream = reader.parquet(landing)
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        batch = batch.persist()  # read twice: the bronze write and the touched dates
-        try:
-            (batch.withColumn(BATCH_COL, F.lit(batch_id).cast("bigint"))
-                  .hint("rebalance", date_col)
-                  .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                  .partitionBy(date_col, BATCH_COL).parquet(bronze))
-            touched = batch.select(date_col).distinct()
-            rows = (session.read.schema(bronze_schema).parquet(bronze)
-                           .join(touched, date_col, "left_semi")
-                           .select(*data_cols))
-            (rebuild(rows).hint("rebalance", date_col)
-                          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                          .partitionBy(date_col).parquet(silver))
-        finally:
-            batch.unpersist()
+        (batch.withColumn(BATCH_COL, F.lit(batch_id).cast("bigint"))
+              .hint("rebalance", date_col)
+              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+              .partitionBy(BATCH_COL, date_col).parquet(bronze))
 
     query = (stream.writeStream.foreachBatch(process)
                    .option("checkpointLocation", checkpoint)
@@ -78,6 +68,32 @@ def refresh_charts(spark: SparkSession, landing: str, bronze: str, silver: str,
     query.awaitTermination()
     if query.exception():
         raise query.exception()
+    if not path_exists(spark, bronze):
+        return
+    rows = spark.read.schema(bronze_schema).parquet(bronze)
+    done = _included(spark, silver)
+    new = rows.filter(F.col(BATCH_COL) > done)
+    last = new.agg(F.max(BATCH_COL)).first()[0]
+    if last is None:
+        return
+    touched = new.select(F.col(date_col).alias("__date")).distinct()
+    affected = rows.join(touched, F.col(date_col).eqNullSafe(F.col("__date")), "left_semi").select(*data_cols)
+    (rebuild(affected).hint("rebalance", date_col)
+                      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                      .partitionBy(date_col).parquet(silver))
+    spark.range(1).select(F.lit(last).cast("bigint").alias(BATCH_COL)).write.mode("overwrite").json(_mark(silver))
+
+
+def _mark(silver: str) -> str:
+    return silver.rstrip("/") + "_included"
+
+
+def _included(spark: SparkSession, silver: str) -> int:
+    """The last batch that silver includes; -1 before the first."""
+    if not path_exists(spark, _mark(silver)):
+        return -1
+    row = spark.read.schema(f"{BATCH_COL} bigint").json(_mark(silver)).first()
+    return -1 if row is None else row[0]
 
 
 def read_silver(spark: SparkSession, silver: str, schema: T.StructType) -> DataFrame:
@@ -87,16 +103,23 @@ def read_silver(spark: SparkSession, silver: str, schema: T.StructType) -> DataF
     return spark.read.schema(schema).parquet(silver).select(*[f.name for f in schema.fields])
 
 
-def replay_refresh(spark: SparkSession, charts: DataFrame, files: int = 4,
+def replay_refresh(spark: SparkSession, charts: DataFrame, deliveries: int = 4,
                    date_col: str = "snapshot_date", key_col: str = "spotify_id") -> DataFrame:
-    """Land ``charts`` as ``files`` files whose rows of one date are spread
-    over all files (every batch brings late rows for every date), run the
-    refresh one file per micro-batch, and return the silver table."""
+    """Land ``charts`` in ``deliveries``, each with rows of every date (late
+    rows for all), as many files as the table has partitions, run the refresh
+    after each delivery pair, and return the silver table."""
     root = shared_dir(spark, "refresh")
     landing, bronze, silver = f"{root}/landing", f"{root}/bronze", f"{root}/silver"
-    charts.repartition(files, key_col).write.mode("overwrite").parquet(landing)
-    refresh_charts(spark, landing, bronze, silver, f"{root}/_checkpoint", charts.schema,
-                   date_col=date_col, max_files_per_trigger=1)
+    part = F.pmod(F.xxhash64(key_col), F.lit(deliveries))
+    # one write deals out all deliveries; their folders are the stream's files
+    charts.withColumn("__part", part).write.mode("overwrite").partitionBy("__part").parquet(f"{root}/parts")
+    for k in range(deliveries):
+        here = f"{root}/parts/__part={k}"
+        if path_exists(spark, here):
+            spark.read.schema(charts.schema).parquet(here).write.mode("append").parquet(landing)
+        if k % 2 or k == deliveries - 1:
+            if path_exists(spark, landing):
+                refresh_charts(spark, landing, bronze, silver, f"{root}/_checkpoint", charts.schema, date_col=date_col)
     return read_silver(spark, silver, charts.schema)
 
 
