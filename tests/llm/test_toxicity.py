@@ -30,10 +30,11 @@ def test_later_links_use_earlier_probabilities():
     most rows, so a model without the first probability could not tell."""
     rng = np.random.default_rng(2)
     y = rng.integers(0, 2, 300)
-    features = [({b"bad"} if t else {b"good"}) | {f"w{rng.integers(50)}".encode()} for t in y]
-    chain = toxicity.Chain.fit(["one", "two"], features, np.stack([y, y], axis=1), np.arange(300) % 3, least_rows=2, most_words=50)
+    present = [np.array([0 if t else 1, rng.integers(2, 20)]) for t in y]
+    words = [b"bad", b"good", *(f"w{i}".encode() for i in range(18))]
+    chain = toxicity.Chain.fit(["one", "two"], words, present, np.stack([y, y], axis=1), np.arange(300) % 3)
     assert chain.weights[1, len(chain.vocabulary)] > 0 and chain.weights[0, len(chain.vocabulary)] == 0
-    p = chain.predict([b"bad w1", b"good w2", b""])
+    p = chain.predict([b"bad w1", b"good w2", b""], 3)
     assert (p[0] > 0.8).all() and (p[1] < 0.2).all()
 
 

@@ -9,7 +9,7 @@ calibrated on all labelled rows.
 
 from __future__ import annotations
 
-from collections import Counter
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tunelake.llm.common import fresh, quoted, ship, store
+from tunelake.llm.common import fresh, quoted, ship, smallest_by_hash, store
 from tunelake.llm.quality import SCORE_BINS, pick_cut
 
 # Seed words that tell which kind of toxicity a toxic row has; a
@@ -88,39 +88,30 @@ class Chain:
     cut: float = 2.0
 
     @classmethod
-    def fit(cls, names: list[str], features: list[set[bytes]], y: np.ndarray, fold: np.ndarray, *, least_rows: int, most_words: int,
-            least_chi2: float = 12.0, ridge: float = 1e-4, steps: int = 200) -> Chain:
-        """features: of each training text; y: one 0/1 column per link; fold: 0, 1, ..."""
-        seen = Counter(w for ws in features for w in ws)
-        hit = Counter(w for ws, t in zip(features, y[:, -1]) if t for w in ws)
-        n, pos = len(features), max(1, int(y[:, -1].sum()))
-        # features unevenly spread over the classes (chi-squared), ties by name
-        uneven = {w: (hit[w] / pos - (c - hit[w]) / max(1, n - pos)) ** 2 * pos * (n - pos) / n / (c / n * (1 - c / n) + 1e-9)
-                  for w, c in seen.items() if c >= least_rows}
-        chosen = sorted(sorted((w for w, v in uneven.items() if v >= least_chi2), key=lambda w: (-uneven[w], w))[:most_words])
-        vocabulary = {w: i for i, w in enumerate(chosen)}
-        x = np.zeros((n, len(chosen) + len(names) - 1), np.float64)
-        for i, ws in enumerate(features):
-            x[i, [vocabulary[w] for w in ws if w in vocabulary]] = 1
+    def fit(cls, names: list[str], vocabulary: list[bytes], present: list[np.ndarray], y: np.ndarray, fold: np.ndarray, *,
+            ridge: float = 1e-4, steps: int = 200) -> Chain:
+        """present: numbers of the features of each training text; y: one 0/1
+        column per link; fold: 0, 1, ..."""
+        size = len(vocabulary)
+        x = np.zeros((len(present), size + len(names) - 1), np.float32)
+        for i, numbers in enumerate(present):
+            x[i, numbers] = 1
         weights, bias = np.zeros((len(names), x.shape[1])), np.zeros(len(names))
         for k in range(len(names)):
-            used = x[:, :len(chosen) + k]
+            used = x[:, :size + k]
             w, bias[k] = fit_logistic(used, y[:, k], ridge, steps)
             weights[k, :len(w)] = w
             if k + 1 < len(names):
                 for f in np.unique(fold):
                     out = fold == f
-                    if out.all():
-                        wf, bf = w, bias[k]
-                    else:
-                        wf, bf = fit_logistic(used[~out], y[~out, k], ridge, steps)
-                    x[out, len(chosen) + k] = _probability(used[out] @ wf + bf)
-        return cls(names, vocabulary, weights, bias)
-
-    def predict(self, texts: list[bytes]) -> np.ndarray:
+                    wf, bf = (w, bias[k]) if out.all() else fit_logistic(used[~out], y[~out, k], ridge, steps)
+                    x[out, size + k] = _probability(used[out] @ wf + bf)
+        return cls(names, {w: i for i, w in enumerate(vocabulary)}, weights, bias)
+
+    def predict(self, texts: Iterable[bytes], n: int) -> np.ndarray:
         """Probabilities, a row per text and a column per link."""
         size = len(self.vocabulary)
-        out = np.zeros((len(texts), len(self.names)))
+        out = np.zeros((n, len(self.names)))
         get = self.vocabulary.get
         for i, data in enumerate(texts):
             mine = sorted(k for w in features_of(data) if (k := get(w)) is not None)
@@ -130,39 +121,65 @@ class Chain:
         return out
 
 
-def _features_udf():
-    return F.arrow_udf(lambda texts: pa.array([sorted(features_of(t or b"")) for t in texts.to_pylist()], pa.list_(pa.binary())), "array<binary>")
+def _features(texts: pa.Array) -> pa.Array:
+    """One text's features at a time, so that a batch holds Arrow data only."""
+    rows = [pa.array(sorted(features_of(t.as_py() or b"")), pa.binary()) for t in texts]
+    ends = np.concatenate(([0], np.cumsum([len(r) for r in rows]))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.concat_arrays([pa.array([], pa.binary()), *rows]))
+
+
+def _encoder(shared):
+    seeds = [{w.encode() for w in ws} for ws in CATEGORIES.values()]
+
+    def encode(texts: pa.Array) -> pa.Array:
+        get, present, seen = shared.value.get, [], []
+        for t in texts:
+            found = features_of(t.as_py() or b"")
+            present.append(sorted(k for w in found if (k := get(w)) is not None))
+            seen.append([not found.isdisjoint(s) for s in seeds])
+        return pa.StructArray.from_arrays([pa.array(present, pa.list_(pa.int32())), pa.array(seen, pa.list_(pa.bool_()))], ["present", "seeds"])
+
+    return F.arrow_udf(encode, "struct<present: array<int>, seeds: array<boolean>>")
+
+
+def choose_features(texts: DataFrame, least_rows: int, least_chi2: float, most: int) -> list[bytes]:
+    """Features most unevenly spread over the classes of a stored table (text
+    binary, toxic), by the chi-squared statistic; ties by name."""
+    n, pos = texts.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
+    counts = (texts.select("toxic", F.explode(F.arrow_udf(_features, "array<binary>")("text")).alias("feature"))
+              .groupBy("feature").agg(F.count(F.lit(1)).alias("c"), F.sum("toxic").alias("hit")))
+    share = F.col("c") / n
+    gap = F.col("hit") / max(1, pos) - (F.col("c") - F.col("hit")) / max(1, n - pos)
+    chi2 = gap * gap * (pos * (n - pos) / max(1, n)) / (share * (1 - share) + 1e-9)
+    best = counts.filter(F.col("c") >= least_rows).select("feature", chi2.alias("chi2")).filter(F.col("chi2") >= least_chi2)
+    return sorted(bytes(r[0]) for r in best.orderBy(F.desc("chi2"), "feature").limit(most).collect())
 
 
 def train_chain(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", fit_rows: int = 2000,
-                folds: int = 3, least_rows: int = 4, most_words: int = 800, seed: int = 7) -> Chain | None:
+                folds: int = 3, least_rows: int = 4, least_chi2: float = 12.0, most_words: int = 800, seed: int = 7) -> Chain | None:
     """A chain fitted on at most ``fit_rows`` toxic and as many other labelled
     rows of ``docs`` (those with the smallest hash of their id), whole texts,
-    exact copies once. None where a class has no row."""
-    ship(docs.sparkSession)
-    rows = docs.select(quoted(id_col).alias("doc_id"), quoted(text_col).alias("text")).filter("doc_id is not null")
-    known = _known(labels).join(rows.select("doc_id"), "doc_id", "left_semi")
-    order = [F.xxhash64(F.lit(seed), "doc_id"), F.col("doc_id")]
-    picked = known.filter("toxic = 1").orderBy(*order).limit(fit_rows).unionByName(
-        known.filter("toxic = 0").orderBy(*order).limit(fit_rows))
+    exact copies once. None where a class has no row. The driver receives
+    ``most_words`` features and, per training row, the numbers of its own."""
+    spark = docs.sparkSession
+    ship(spark)
+    rows = docs.select(quoted(id_col).alias("doc_id"), quoted(text_col).cast("binary").alias("text")).filter("doc_id is not null")
+    known = store(_known(labels).join(rows.select("doc_id"), "doc_id", "left_semi"), "known")
+    picked = smallest_by_hash(known.filter("toxic = 1"), seed, "doc_id", fit_rows).unionByName(
+        smallest_by_hash(known.filter("toxic = 0"), seed, "doc_id", fit_rows))
     picked = store(picked, "fit-rows")  # at most 2 * fit_rows ids
-    data = rows.join(F.broadcast(picked), "doc_id").select(
-        "toxic", F.xxhash64("text").alias("h"), _features_udf()(F.col("text").cast("binary")).alias("features")).collect()
-    by_text = {(r["h"], r["toxic"]): r for r in sorted(data, key=lambda r: (r["h"], r["toxic"]))}
-    rows_ = list(by_text.values())
-    if len({r["toxic"] for r in rows_}) < 2:
+    texts = rows.join(F.broadcast(picked), "doc_id").select("toxic", F.xxhash64("text").alias("h"), "text")
+    texts = store(texts.dropDuplicates(["h", "toxic"]), "fit-texts")
+    if texts.select("toxic").distinct().count() < 2:
         return None
-    features = [set(map(bytes, r["features"])) for r in rows_]
-    toxic = np.array([r["toxic"] for r in rows_], np.float64)
-    return Chain.fit(list(LINKS), features, kinds(features, toxic), np.array([r["h"] % folds for r in rows_]),
-                     least_rows=least_rows, most_words=most_words)
-
-
-def kinds(features: list[set[bytes]], toxic: np.ndarray) -> np.ndarray:
-    """0/1 of every link for training rows."""
-    seeds = [{w.encode() for w in ws} for ws in CATEGORIES.values()]
-    has = np.array([[bool(f & s) for s in seeds] for f in features], np.float64).reshape(len(features), len(seeds)) * toxic[:, None]
-    return np.column_stack([has, toxic * (has.sum(axis=1) == 0), toxic])
+    vocabulary = choose_features(texts, least_rows, least_chi2, most_words)
+    shared = spark.sparkContext.broadcast({w: i for i, w in enumerate(vocabulary)})
+    data = sorted(texts.select("h", "toxic", _encoder(shared)("text").alias("f")).select("h", "toxic", "f.*").collect())
+    toxic = np.array([r["toxic"] for r in data], np.float64)
+    has = np.array([r["seeds"] for r in data], np.float64) * toxic[:, None]
+    y = np.column_stack([has, toxic * (has.sum(axis=1) == 0), toxic])
+    return Chain.fit(list(LINKS), vocabulary, [np.array(r["present"], np.int64) for r in data], y,
+                     np.array([r["h"] % folds for r in data]))
 
 
 def _known(labels: DataFrame) -> DataFrame:
@@ -172,7 +189,7 @@ def _known(labels: DataFrame) -> DataFrame:
 
 def _predict(shared, names: list[str]) -> Column:
     def predict(texts: pa.Array) -> pa.Array:
-        table = np.round(shared.value.predict([t or b"" for t in texts.to_pylist()]), 6)
+        table = np.round(shared.value.predict((t.as_py() or b"" for t in texts), len(texts)), 6)
         return pa.StructArray.from_arrays([pa.array(c) for c in table.T], names)
 
     return F.arrow_udf(predict, "struct<" + ",".join(f"{n}: double" for n in names) + ">")
