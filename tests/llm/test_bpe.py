@@ -40,12 +40,19 @@ def test_odd_texts(code, library, text):
     assert code.decode(code.encode(text)) == library.decode(want, skip_special_tokens=False)
 
 
+@pytest.mark.parametrize("text", ODD)
+def test_compiled_merges_give_the_same(library, text):
+    got = bpe.library(bpe.read_spec(tokenizer_path())).encode(text)
+    assert got.dtype.str == "<u4" and got.tolist() == library.encode(text, add_special_tokens=False).ids
+
+
 def test_random_texts(code, library):
     rng = random.Random(3)
     letters = " \n\t aabetsstv'1.,!é中<|endoftext|>  "
     for _ in range(4000):
         text = "".join(rng.choice(letters) for _ in range(rng.randrange(20))) + rng.choice(["", "<|endoftext|>", "   y", " \n  "])
         assert ids(code, text) == library.encode(text, add_special_tokens=False).ids, text
+        assert bpe.library(bpe.read_spec(tokenizer_path())).encode(text).tolist() == ids(code, text), text
 
 
 def test_arcs_are_the_pairs_the_library_keeps(code, library):

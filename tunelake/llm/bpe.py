@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import json
 import re
+import struct
 import unicodedata
 from functools import lru_cache
 from itertools import groupby
@@ -26,9 +27,10 @@ from itertools import groupby
 import numpy as np
 import pyarrow as pa
 import regex
+import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from tokenizers import pre_tokenizers
+from tokenizers import Tokenizer, pre_tokenizers
 
 from tunelake.llm.common import quoted, ship
 
@@ -39,7 +41,7 @@ WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 FIRST_DISPUTED = "\u0530"
 
 # Entries a cache may hold before its older half goes.
-CACHE_ROWS = 250_000
+CACHE_ROWS = 200_000
 
 
 def byte_symbols() -> dict[str, int]:
@@ -63,15 +65,15 @@ def recent_letters() -> re.Pattern:
 class Recent(dict):
     """A cache of ``make``; when full, what was not used lately is dropped."""
 
-    def __init__(self, make):
+    def __init__(self, make, share: int = 1):
         super().__init__()
-        self.make, self.older = make, {}
+        self.make, self.share, self.older = make, share, {}
 
     def __missing__(self, key):
         value = self.older.get(key)
         if value is None:
             value = self.make(key)
-        if len(self) >= CACHE_ROWS:
+        if self.share * len(self) >= CACHE_ROWS:
             self.older = dict(self)
             self.clear()
         self[key] = value
@@ -126,7 +128,7 @@ class BpeAutomaton:
         self.uneven = re.compile(r"\s (?:\s|\Z)")
         self.disputed, self.splitter = recent_letters(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=True)
         self.arcs: dict[int, bool] = {}
-        self.of_word = Recent(self._word_ids)
+        self.of_word = Recent(self._word_ids, share=4)
         self.of_chunk = Recent(self._chunk_ids)
 
     def compile(self, merges: list[tuple[int, int, int]]) -> None:
@@ -155,52 +157,50 @@ class BpeAutomaton:
 
     def path(self, word: bytes) -> list[int]:
         """Labels of the accepted path that spells ``word``."""
-        arcs, n = self.arcs, len(word)
         found = self.token.get(word)
         if found is not None:
             return [found]
+        arcs, sizes, step, n = self.arcs, self.size, self.step, len(word)
         path: list[int] = []
         tries: list[list[int]] = []  # per step taken: the shorter steps not yet tried
         at, last, dead = 0, self.START, set()
-        options = self._spelled(word, 0)
         while at < n:
-            while options:
-                t = options.pop()
-                key = last << 32 | t
-                ok = last < 0 or arcs.get(key)
-                if ok is None:
-                    if len(arcs) >= 4 * CACHE_ROWS:
-                        arcs.clear()
-                    ok = arcs[key] = self._arc(last, t)
-                if ok and (not dead or (at, t) not in dead):
+            # tokens that begin here, shortest first
+            options, node = [], 0
+            for byte in word[at:at + self.longest]:
+                node = step(node << 8 | byte)
+                if node is None:
                     break
-            else:  # no arc goes on from here: take a shorter step before
-                last = path.pop()
-                at -= self.size[last]
-                dead.add((at, last))
-                last = path[-1] if path else self.START
-                options = tries.pop()
-                continue
+                if node > 0:
+                    options.append(node - 1)
+            while True:
+                if options:
+                    t = options.pop()
+                    if last < 0:
+                        ok = True
+                    else:
+                        ok = arcs.get(last << 32 | t)
+                        if ok is None:
+                            if len(arcs) >= CACHE_ROWS:
+                                arcs.clear()
+                            ok = arcs[last << 32 | t] = self._arc(last, t)
+                    if ok and (not dead or (at, t) not in dead):
+                        break
+                else:  # no arc goes on from here: take a shorter step before
+                    t = path.pop()
+                    at -= sizes[t]
+                    dead.add((at, t))
+                    last = path[-1] if path else self.START
+                    options = tries.pop()
             path.append(t)
             tries.append(options)
-            at += self.size[t]
+            at += sizes[t]
             last = t
-            options = self._spelled(word, at)
         return path
 
-    def _spelled(self, word: bytes, at: int) -> list[int]:
-        """Tokens that begin at ``at``, shortest first."""
-        found, node, step = [], 0, self.step
-        for byte in word[at:at + self.longest]:
-            node = step(node << 8 | byte)
-            if node is None:
-                break
-            if node > 0:
-                found.append(node - 1)
-        return found
-
     def _word_ids(self, word: str) -> bytes:
-        return np.array(self.path(word.encode()), "<u4").tobytes()
+        path = self.path(word.encode())
+        return struct.pack(f"<{len(path)}I", *path)
 
     def _split(self, text: str) -> list[str]:
         if text and max(text) >= FIRST_DISPUTED and self.disputed.search(text):
@@ -241,6 +241,37 @@ class BpeAutomaton:
         return b"".join(map(self.label.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
 
 
+class LibraryEncoder:
+    """The ids of the same tokenizer file from tiktoken's compiled merges, for
+    steps that only need the ids. Texts with characters about which Unicode
+    tables differ go through the tokenizers library itself."""
+
+    def __init__(self, spec: str):
+        data = json.loads(spec)
+        if data["normalizer"] or data["post_processor"] or data["model"].get("ignore_merges"):
+            raise ValueError("only plain byte-level BPE files are read")
+        symbol, ids = byte_symbols(), data["model"]["vocab"]
+        merged = [ids["".join(m if isinstance(m, list) else m.split(" "))] for m in data["model"]["merges"]]
+        if merged != sorted(merged):
+            raise ValueError("ids do not follow the order of the merges")
+        ranks = {bytes(symbol[c] for c in t): i for t, i in ids.items()}
+        self.fast = tiktoken.Encoding("file", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={})
+        self.whole = Tokenizer.from_str(spec)
+        self.special = {t["content"] for t in data["added_tokens"]}
+        self.disputed = recent_letters()
+
+    def encode(self, text: str) -> np.ndarray:
+        """Token ids as little-endian unsigned 32-bit integers."""
+        if any(s in text for s in self.special) or self.disputed.search(text):
+            return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4")
+        return np.array(self.fast.encode_ordinary(text), "<u4")
+
+
+@lru_cache(maxsize=4)
+def library(spec: str) -> LibraryEncoder:
+    return LibraryEncoder(spec)
+
+
 @lru_cache(maxsize=4)
 def automaton(spec: str) -> BpeAutomaton:
     """One automaton per vocabulary and process."""
@@ -256,7 +287,7 @@ def read_spec(path: str) -> str:
 def _encode_udf(shared):
     def encode(texts: pa.Array) -> pa.Array:
         code = automaton(shared.value).encode
-        return pa.array([code(t) if t is not None else b"" for t in texts.to_pylist()], pa.binary())
+        return pa.array((code(t.as_py() or "") for t in texts), pa.binary())
 
     return F.arrow_udf(encode, "binary")
 
@@ -264,11 +295,20 @@ def _encode_udf(shared):
 def _decode_udf(shared):
     def decode(ids: pa.Array) -> pa.Array:
         text = automaton(shared.value).decode
-        return pa.array([text(i) if i is not None else None for i in ids.to_pylist()], pa.string())
+        return pa.array((text(i.as_py()) if i.is_valid else None for i in ids), pa.string())
 
     return F.arrow_udf(decode, "string")
 
 
+def _codec_udf(shared):
+    def codec(texts: pa.Array) -> pa.Array:
+        code = automaton(shared.value)
+        ids = pa.array((code.encode(t.as_py() or "") for t in texts), pa.binary())
+        return pa.StructArray.from_arrays([ids, pa.array((code.decode(i.as_py()) for i in ids), pa.string())], ["ids", "decoded"])
+
+    return F.arrow_udf(codec, "struct<ids: binary, decoded: string>")
+
+
 def share(spark: SparkSession, tokenizer_path: str):
     """The vocabulary as a broadcast value; its size is the file's."""
     ship(spark)
@@ -289,3 +329,10 @@ def with_decoded(tokens: DataFrame, tokenizer_path: str, name: str = "decoded",
     ids give null."""
     decode = _decode_udf(share(tokens.sparkSession, tokenizer_path))
     return tokens.withColumn(name, decode(quoted(ids_col)))
+
+
+def with_round_trip(docs: DataFrame, tokenizer_path: str, name: str = "codec", *, text_col: str = "text") -> DataFrame:
+    """``docs`` with a struct of the ids of the text and of the text that these
+    ids give, both by one Python worker. Nulls as in ``with_ids``."""
+    codec = _codec_udf(share(docs.sparkSession, tokenizer_path))
+    return docs.withColumn(name, codec(quoted(text_col)))

@@ -25,7 +25,7 @@ from tunelake.llm import bpe
 from tunelake.llm.common import quoted, ship, store
 
 # Pieces that one task numbers, about; the number of buckets follows the data.
-BUCKET_ROWS = 50_000
+BUCKET_ROWS = 5_000
 
 
 def shortest_pack_first(histogram: dict[int, int], size: int) -> list[tuple[tuple[int, ...], int]]:
@@ -118,16 +118,15 @@ def cut(lengths: int, size: int) -> list[tuple[int, int]]:
 
 
 def _cutter(shared, size: int, end_id: int):
-    last = np.array([end_id], "<u4").tobytes()
+    last = np.array([end_id], "<u4")
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code = bpe.automaton(shared.value).encode
+        code = bpe.library(shared.value).encode
         for batch in batches:
             rows = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = code(text or "") + last
-                total = len(ids) // 4
-                rows += [(doc, a, n, zlib.crc32(ids[4 * a:4 * (a + n)]), total) for a, n in cut(total, size)]
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                ids = np.concatenate((code(text.as_py() or ""), last))
+                rows += [(doc, a, n, zlib.crc32(ids[a:a + n].tobytes()), len(ids)) for a, n in cut(len(ids), size)]
             cols = list(zip(*rows)) if rows else [[]] * 5
             yield pa.record_batch([pa.array(c, pa.int64()) for c in cols],
                                   names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])

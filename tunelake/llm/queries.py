@@ -28,8 +28,7 @@ def tokenizer_path() -> str:
 
 def op2_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    tokens = bpe.with_ids(docs, tokenizer_path(), "ids").drop("text")
-    back = bpe.with_decoded(tokens, tokenizer_path(), "decoded", ids_col="ids")
+    back = bpe.with_round_trip(docs, tokenizer_path(), "codec").select("doc_id", "codec.*")
     return back.select("doc_id", F.floor(F.octet_length("ids") / 4).alias("n_tokens"),
                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
