@@ -259,17 +259,20 @@ def simhash_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
 def one_per_group(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
                   max_bits: int = 4) -> DataFrame:
     """The rows of ``docs`` (all columns) that stay: the document with the
-    smallest id of each group, once. Rows without an id stay."""
-    name = fresh(docs.columns, "fingerprint")
-    rows = store(with_fingerprint(docs, name, text_col=text_col, shingle=shingle), "printed")
-    prints = rows.select(quoted(id_col).alias("doc_id"), quoted(name).alias("fingerprint"))
+    smallest id of each group, once. Rows without an id stay. Only ids and
+    hashes are stored; the texts move once, to meet the ids that stay."""
+    h = fresh(docs.columns, "text_hash")
+    rows = docs.withColumn(h, F.xxhash64(F.coalesce(quoted(text_col), F.lit(""))))
+    prints = with_fingerprint(rows.select(quoted(id_col).alias("doc_id"), quoted(h).alias("h"), quoted(text_col).alias("text"))
+                              .filter("doc_id is not null"), "fingerprint", shingle=shingle)
+    prints = store(prints.select("doc_id", "h", "fingerprint"), "prints")
     groups = near_duplicates(prints, max_bits=max_bits)
-    stays = (prints.filter("doc_id is not null").groupBy("doc_id", "fingerprint").count()
+    stays = (prints.groupBy("doc_id", "h", "fingerprint").count()
              .join(groups, "fingerprint").filter("doc_id = component_id"))
-    its_id, its_print = fresh(rows.columns, "stays_id"), fresh(rows.columns, "stays_print")
-    stays = store(stays.select(F.col("doc_id").alias(its_id), F.col("fingerprint").alias(its_print), "count"), "stays")
+    its_id, its_h = fresh(rows.columns, "stays_id"), fresh(rows.columns, "stays_hash")
+    stays = store(stays.select(F.col("doc_id").alias(its_id), F.col("h").alias(its_h), "count"), "stays")
     kept = rows.filter(quoted(id_col).isNotNull()).join(
-        stays.drop("count"), (quoted(id_col) == F.col(its_id)) & (quoted(name) == F.col(its_print)), "left_semi")
+        stays.drop("count"), (quoted(id_col) == F.col(its_id)) & (quoted(h) == F.col(its_h)), "left_semi")
     if not stays.filter("count > 1").isEmpty():
-        kept = kept.dropDuplicates([id_col, name])
+        kept = kept.dropDuplicates([id_col, h])
     return kept.unionByName(rows.filter(quoted(id_col).isNull())).select(*map(quoted, docs.columns))
