@@ -259,10 +259,11 @@ class LibraryEncoder:
         self.whole = Tokenizer.from_str(spec)
         self.special = {t["content"] for t in data["added_tokens"]}
         self.disputed = recent_letters()
+        self.beyond = re.compile(f"[{FIRST_DISPUTED}-\U0010FFFF]")
 
     def encode(self, text: str) -> np.ndarray:
         """Token ids as little-endian unsigned 32-bit integers."""
-        if any(s in text for s in self.special) or self.disputed.search(text):
+        if any(s in text for s in self.special) or self.beyond.search(text) and self.disputed.search(text):
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4")
         return np.array(self.fast.encode_ordinary(text), "<u4")
 
