@@ -3,8 +3,7 @@ and joins on an id that may be null."""
 
 from __future__ import annotations
 
-import os
-import tempfile
+import io
 import zipfile
 from pathlib import Path
 
@@ -68,18 +67,22 @@ def store(df: DataFrame, label: str) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package's code to the executors, once per context, so that
-    Python workers can import it wherever the driver found it."""
+    """Send this package's code to the executors, once per context and by way
+    of the shared folder, so that Python workers can import it wherever the
+    driver found it."""
     sc = spark.sparkContext
     if getattr(sc, "_tunelake_shipped", False):
         return
-    root = Path(__file__).resolve().parents[1]
-    handle, name = tempfile.mkstemp(prefix="tunelake-", suffix=".zip")
-    os.close(handle)
-    with zipfile.ZipFile(name, "w") as z:
+    root, packed = Path(__file__).resolve().parents[1], io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as z:
         for p in sorted(root.rglob("*.py")):
             z.write(p, p.relative_to(root.parent))
-    sc.addPyFile(name)
+    path = new_folder(spark, "code") + "/tunelake.zip"
+    p, fs = hadoop_path(spark, path)
+    out = fs.create(p)
+    out.write(bytearray(packed.getvalue()))
+    out.close()
+    sc.addPyFile(path)
     sc._tunelake_shipped = True
 
 
