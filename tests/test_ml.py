@@ -136,3 +136,9 @@ def test_classifier_beats_the_majority_guess(spark):
     _, preds, metrics = M.train_and_evaluate(labels.join(docs, "doc_id"), id_col="doc_id")
     positives = preds.filter("label = 1").count() / preds.count()
     assert metrics.first()["f1"] > 2 * positives / (1 + positives) + 0.2     # guessing 1 everywhere
+
+
+def test_missing_predictions_count_as_not_positive(spark):
+    df = spark.createDataFrame([(1, 1), (1, None), (0, None), (0, 1), (None, 1)], "label int, prediction int")
+    m = M.binary_metrics(df).first()
+    assert (m["accuracy"], m["precision"], m["recall"]) == (0.5, 0.5, 0.5)

@@ -130,7 +130,8 @@ def argmax_prediction(logit0: str | Column, logit1: str | Column) -> Column:
 
 
 def _confusion_counts(label: Column, pred: Column, positive) -> list[Column]:
-    pos_l, pos_p = label == F.lit(positive), pred == F.lit(positive)
+    # a row without a label is not judged; a missing prediction is not positive
+    pos_l, pos_p = label == F.lit(positive), F.coalesce(pred == F.lit(positive), F.lit(False))
     return [F.count_if(pos_l & pos_p).alias("tp"), F.count_if(~pos_l & pos_p).alias("fp"),
             F.count_if(pos_l & ~pos_p).alias("fn"), F.count_if(~pos_l & ~pos_p).alias("tn")]
 
