@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tunelake.llm.common import quoted, ship, store
+from tunelake.llm.common import quoted, ship, smallest_by_hash, store
 from tunelake.llm.components import components
 from tunelake.llm.simhash import _union
 
@@ -141,7 +141,7 @@ def tile_links(nodes: DataFrame, threshold: float) -> DataFrame:
     spark = nodes.sparkSession
     theta = math.acos(threshold)
     count = nodes.count()
-    pivots = nodes.orderBy(F.xxhash64("embedding"), "node").limit(max(1, min(MOST_PIVOTS, -(-count // TILE_ROWS)))).select("embedding").collect()
+    pivots = smallest_by_hash(nodes, 3, "node", max(1, min(MOST_PIVOTS, -(-count // TILE_ROWS)))).select("embedding").collect()
     shared = spark.sparkContext.broadcast(unit_rows(np.array([p[0] for p in pivots])))
     homes = store(nodes.withColumn("home", _home_udf(shared)(F.col("embedding"))).select("node", "mult", "embedding", "home.*"), "homes")
     cells = {r["cell"]: r for r in homes.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("angle").alias("far")).collect()}  # a row per pivot
