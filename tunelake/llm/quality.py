@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tunelake.llm.common import fresh, quoted, ship, store
+from tunelake.llm.common import fresh, quoted, ship, smallest_by_hash, store
 
 # Characters counted as symbols, and base rules.
 SYMBOLS = b"#*$%&|<>"
@@ -62,7 +62,7 @@ def rule_counts(data: bytes) -> tuple[int, ...]:
 
 
 def _counts(texts: pa.Array) -> pa.Array:
-    rows = [rule_counts(t or b"") for t in texts.to_pylist()]
+    rows = [rule_counts(t.as_py() or b"") for t in texts]
     return pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in (zip(*rows) if rows else [[]] * len(COUNTS))], list(COUNTS))
 
 
@@ -202,7 +202,7 @@ def fit_rules(counted: DataFrame, labels: DataFrame, *, id_col: str = "doc_id",
               .agg(F.min("quality").cast("int").alias("quality")))
     rows = counted.select(quoted(id_col).alias("doc_id"), quoted(counts_col).alias("counts"))
     known = rows.filter(~base_failed(F.col("counts"))).join(labels, "doc_id")
-    sample = known.orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id").limit(fit_rows).select("counts.*").collect()
+    sample = smallest_by_hash(known, seed, "doc_id", fit_rows).select("counts.*").collect()
     if not sample:
         return RuleModel(None, 2.0)
     forest = IsolationForest.grow(statistics(np.array(sample, np.int64)), trees, subset, seed)
