@@ -117,6 +117,8 @@ def trigram_counts(docs: DataFrame, target_ids: DataFrame, *, id_col: str = "doc
     ship(docs.sparkSession)
     rows = docs.select(quoted(id_col).alias("doc_id"), quoted(text_col).cast("binary").alias("text"))
     wanted = target_ids.select("doc_id").filter("doc_id is not null").distinct().withColumn("wanted", F.lit(True))
+    # the same plan at every size: the narrow side is hashed, the texts move once, unsorted
+    wanted = wanted.hint("shuffle_hash")
     parts = join_by_id(rows, wanted, "doc_id").select("text", "wanted").mapInArrow(_count, "gram long, target long, background long")
     return store(parts.groupBy("gram").agg(F.sum("target").alias("target"), F.sum("background").alias("background")), "trigrams")
 
