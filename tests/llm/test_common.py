@@ -34,3 +34,16 @@ def test_smallest_by_hash_is_bounded_and_stable(spark):
     assert a == b and len(a) == 100
     assert common.smallest_by_hash(rows.limit(30), 1, "id", 100).count() == 30
     assert common.smallest_by_hash(rows.limit(0), 1, "id", 100).count() == 0
+
+
+def test_smallest_by_hash_never_gives_fewer(spark):
+    """Rows with the largest hashes of many, so that none is below a bound made from their number."""
+    place = F.pmod(F.xxhash64(F.lit(3), "node"), F.lit(1 << 40))
+    late = [r[0] for r in spark.range(3000).toDF("node").orderBy(place.desc()).limit(300).collect()]
+    for size in (1, 5, 50, 300):
+        rows = spark.createDataFrame([(i,) for i in late[:size]], "node long")
+        for n in (1, 2, 40):
+            got = [r[0] for r in common.smallest_by_hash(rows, 3, "node", n).collect()]
+            assert got == late[:size][::-1][:n]
+    same = spark.range(500).select(F.lit(7).alias("node"))
+    assert common.smallest_by_hash(same, 3, "node", 2).count() == 2

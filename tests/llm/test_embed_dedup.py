@@ -4,6 +4,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tunelake.llm import embed_dedup
 from tunelake.llm.queries import ORACLE_SQL, op3_embedding_dedup
@@ -79,3 +80,14 @@ def test_odd_rows(spark):
                    (11, 1, 11, True), (12, 1, 11, False)]
     assert embed_dedup.embedding_groups(docs.limit(0)).count() == 0
     assert embed_dedup.embedding_groups(docs.filter("vec_id = 5")).count() == 1
+
+
+def test_few_vectors_with_late_hashes_have_a_pivot(spark):
+    """Node numbers of which none falls below a hash bound made from their count."""
+    place = F.pmod(F.xxhash64(F.lit(3), "node"), F.lit(1 << 40))
+    late = [r[0] for r in spark.range(3000).toDF("node").orderBy(place.desc()).limit(60).collect()]
+    x = cloud(5, 60, 3)
+    nodes = spark.createDataFrame([(i, 1, v.tolist()) for i, v in zip(late, x)], "node long, mult long, embedding array<double>")
+    links = embed_dedup.tile_links(nodes, 0.95).filter("b = -1").groupBy("a").agg(F.sum("n").alias("n")).collect()
+    degree = np.bincount(brute(x).ravel(), minlength=len(x))
+    assert degree.any() and {r["a"]: r["n"] for r in links if r["n"]} == {late[i]: n for i, n in enumerate(degree) if n}

@@ -100,13 +100,19 @@ def join_by_id(left: DataFrame, right: DataFrame, key: str, how: str = "left") -
 
 
 def smallest_by_hash(rows: DataFrame, seed: int, key: str, n: int) -> DataFrame:
-    """The (about) ``n`` rows with the smallest hash of ``key``, never more.
+    """The ``n`` rows with the smallest hash of ``key`` (all, if there are fewer).
 
-    A hash bound that lets about twice as many through comes first, so that
-    what reaches the driver does not grow with the number of partitions.
+    Rows are counted per bit length of the hash first; only those up to the
+    length at which ``n`` are reached are sorted (about twice as many, more
+    where keys repeat), so that what reaches the driver does not grow with the
+    number of partitions.
     """
-    count = rows.count()
     place = F.pmod(F.xxhash64(F.lit(seed), key), F.lit(1 << 40))
-    if count > 4 * n:
-        rows = rows.filter(place < F.lit((1 << 40) * 2 * n // count))
+    sizes = dict(rows.groupBy(F.length(F.bin(place))).count().collect())  # at most 40 rows
+    held = 0
+    for bits in sorted(sizes):
+        held += sizes[bits]
+        if held >= n:
+            rows = rows.filter(place < F.lit(1 << bits))
+            break
     return rows.orderBy(place, key).limit(n)
