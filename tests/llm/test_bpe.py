@@ -46,6 +46,13 @@ def test_compiled_merges_give_the_same(library, text):
     assert got.dtype.str == "<u4" and got.tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("run", [" " * 1_200_000, "\n" * 1_200_000, " \n\t" * 500_000, " " * 100_000, " " * 99_999])
+def test_long_white_space(library, run):
+    for text in (run, f"a b{run}c d", f"x{run}"):
+        got = bpe.library(bpe.read_spec(tokenizer_path())).encode(text)
+        assert got.dtype.str == "<u4" and got.tolist() == library.encode(text, add_special_tokens=False).ids
+
+
 def test_random_texts(code, library):
     rng = random.Random(3)
     letters = " \n\t aabetsstv'1.,!é中<|endoftext|>  "

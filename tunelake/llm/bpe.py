@@ -40,6 +40,10 @@ WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 # No character before this one is in doubt (see recent_letters).
 FIRST_DISPUTED = "\u0530"
 
+# Longest run of white space that compiled merges are given: beyond about a
+# million their pattern engine overflows its stack.
+LONGEST_BLANK = 100_000
+
 # Entries a cache may hold before its older half goes.
 CACHE_ROWS = 200_000
 
@@ -244,7 +248,8 @@ class BpeAutomaton:
 class LibraryEncoder:
     """The ids of the same tokenizer file from tiktoken's compiled merges, for
     steps that only need the ids. Texts with characters about which Unicode
-    tables differ go through the tokenizers library itself."""
+    tables differ, or with white space longer than ``LONGEST_BLANK``, go
+    through the tokenizers library itself."""
 
     def __init__(self, spec: str):
         data = json.loads(spec)
@@ -260,10 +265,12 @@ class LibraryEncoder:
         self.special = {t["content"] for t in data["added_tokens"]}
         self.disputed = recent_letters()
         self.beyond = re.compile(f"[{FIRST_DISPUTED}-\U0010FFFF]")
+        self.blank = re.compile(r"\s{%d}" % LONGEST_BLANK)
 
     def encode(self, text: str) -> np.ndarray:
         """Token ids as little-endian unsigned 32-bit integers."""
-        if any(s in text for s in self.special) or self.beyond.search(text) and self.disputed.search(text):
+        if (any(s in text for s in self.special) or self.beyond.search(text) and self.disputed.search(text)
+                or len(text) >= LONGEST_BLANK and self.blank.search(text)):
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4")
         return np.array(self.fast.encode_ordinary(text), "<u4")
 
