@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunelake.llm import bpe, chat, embed_dedup, lm_score, packing, quality, sharding, simhash, toxicity, warc
+from tunelake.llm import bpe, chat, embed_dedup, packing, quality, sharding, simhash, toxicity, warc, word_lm
 from tunelake.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -50,7 +50,7 @@ def op5_quality_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_lm_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     wanted = table(spark, sf_dir, "labels").filter("quality = 1 and toxic = 0").select("doc_id")
-    return lm_score.lm_scores(table(spark, sf_dir, "documents"), wanted)
+    return word_lm.word_scores(table(spark, sf_dir, "documents"), wanted)
 
 
 def op7_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:

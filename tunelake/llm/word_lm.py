@@ -1,0 +1,194 @@
+"""Cross-entropy difference of a target and a background word bigram model.
+
+Tokens are words, single characters of scripts without word spaces, marks of
+punctuation, and white space other than a single space. Both models are
+Witten-Bell bigram models that back off to single words and from there to the
+uniform distribution over one shared vocabulary, the tokens of the corpus and
+the closing mark. The background model counts every text, the target model
+those of the target rows. Counts cover whole texts and grow with the corpus:
+they, the losses and the bigrams of each document are Spark tables, joined by
+hash-partitioned keys; the driver receives one row of totals. Words and
+bigrams are told apart by 64-bit hashes.
+"""
+
+from __future__ import annotations
+
+import gc
+import hashlib
+import re
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tunelake.llm.bpe import Recent
+from tunelake.llm.common import forget, join_by_id, quoted, ship, store, store_at
+
+ALONE = "぀-ヿ㐀-鿿"  # scripts without spaces between words
+TOKEN = re.compile(rf"[{ALONE}]|[^\W{ALONE}]+|[^\w\s]| {{2,}}|[^\S ]")
+PLAIN = re.compile(r"\w+|[^\w\s]| {2,}|[^\S ]")  # the same for texts without such characters
+HAS_ALONE = re.compile(f"[{ALONE}]")
+# Rows a task holds before it passes them on, and words too long for the cache.
+HELD_ROWS = 1_000_000
+LONG_WORD = 64
+# Parts that the bigrams of one word are dealt to when they meet its counts.
+SALTS = 8
+
+
+def _hash(word: str) -> int:
+    return int.from_bytes(hashlib.blake2b(word.encode(), digest_size=8).digest(), "little", signed=True) or 1
+
+
+class Words:
+    """Codes of a text's tokens between two marks (0)."""
+
+    def __init__(self):
+        self.known = Recent(_hash)
+
+    def codes(self, text: bytes | None) -> np.ndarray:
+        chars = (text or b"").decode("utf-8", "replace")
+        found = (TOKEN if not chars.isascii() and HAS_ALONE.search(chars) else PLAIN).findall(chars)
+        out = np.zeros(len(found) + 2, np.int64)
+        if max(map(len, found), default=0) <= LONG_WORD:
+            out[1:-1] = list(map(self.known.__getitem__, found))
+        else:
+            out[1:-1] = [self.known[w] if len(w) <= LONG_WORD else _hash(w) for w in found]
+        return out
+
+
+def grams(codes: np.ndarray) -> np.ndarray:
+    """One code per pair of neighbours, to fold equal pairs within a task."""
+    with np.errstate(over="ignore"):
+        u = codes.view(np.uint64)
+        x = u[:-1] * np.uint64(0x9E3779B97F4A7C15) ^ (u[:-1] >> np.uint64(29))
+        x = (x + u[1:]) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
+        return (x ^ (x >> np.uint64(29))).view(np.int64)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of finished steps now, not at some later collection."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def _folded(held: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    gram, first, second, target, background = (np.concatenate(c) for c in zip(*held))
+    keys, at, inverse = np.unique(gram, return_index=True, return_inverse=True)
+    return (keys, first[at], second[at], *(np.bincount(inverse, n, len(keys)).astype(np.int64) for n in (target, background)))
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    words, held, size = Words(), [], 0
+
+    def out():
+        order = np.argsort(held[0][1])  # equal words together, which pack well
+        return pa.record_batch(dict(zip(("w1", "w2", "target", "background"), (pa.array(c[order]) for c in held.pop()[1:]))))
+
+    for batch in batches:
+        for text, wanted in zip(batch.column(0), batch.column(1).to_pylist()):
+            codes = words.codes(text.as_py())
+            ones = np.ones(len(codes) - 1, np.int64)
+            held.append((grams(codes), codes[:-1], codes[1:], ones * bool(wanted), ones))
+            size += len(ones)
+            if size > 2 * HELD_ROWS:
+                held = [_folded(held)]
+                size = len(held[0][0])
+                if size > HELD_ROWS:
+                    yield out()
+                    size = 0
+    if held:
+        held = [_folded(held)]
+        yield out()
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per text: its distinct bigrams with counts; ``first`` is 1 in one row of each text."""
+    words = Words()
+    names = ("doc_id", "h", "w1", "w2", "n", "first")
+
+    def out(held):
+        ids, hashes, w1, w2, counts = zip(*held)
+        sizes = [len(c) for c in counts]
+        first = np.zeros(sum(sizes), np.int32)
+        first[np.cumsum([0, *sizes[:-1]])] = 1
+        at = pa.array(np.repeat(np.arange(len(held)), sizes))
+        return pa.record_batch([pa.array(ids).cast(kind).take(at), pa.array(hashes, pa.int64()).take(at), pa.array(np.concatenate(w1)),
+                                pa.array(np.concatenate(w2)), pa.array(np.concatenate(counts).astype(np.int32)), pa.array(first)], names=names)
+
+    for batch in batches:
+        kind, held, size = batch.schema.field(0).type, [], 0
+        for doc, h, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+            codes = words.codes(text.as_py())
+            _, at, n = np.unique(grams(codes), return_index=True, return_counts=True)
+            held.append((doc, h, codes[at], codes[at + 1], n))
+            size += len(n)
+            if size > HELD_ROWS // 4:
+                yield out(held)
+                held, size = [], 0
+        if held:
+            yield out(held)
+
+
+def bigram_counts(rows: DataFrame, target_ids: DataFrame) -> DataFrame:
+    """Table w1, w2, target, background over all ``rows`` (doc_id, text)."""
+    wanted = target_ids.select("doc_id").filter("doc_id is not null").distinct().withColumn("wanted", F.lit(True)).hint("shuffle_hash")
+    parts = join_by_id(rows, wanted, "doc_id").select("text", "wanted").mapInArrow(
+        _count, "w1 long, w2 long, target long, background long")
+    return parts.groupBy("w1", "w2").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
+
+
+def bigram_losses(counts: DataFrame) -> DataFrame:
+    """gram, target_loss, background_loss (natural log) from a stored table of counts."""
+    models = ("target", "background")
+    kinds = [F.sum(F.col(m)).alias(f"{m}_n") for m in models] + [F.count_if(F.col(m) > 0).alias(f"{m}_kinds") for m in models]
+    words = store(counts.groupBy("w2").agg(*[F.sum(m).alias(m) for m in models]), "words")
+    total = words.agg(*kinds, F.count(F.lit(1)).alias("size")).first()
+    one = words.select("w2", *[
+        ((F.col(m) + F.lit(total[f"{m}_kinds"] / total["size"])) / F.lit(total[f"{m}_n"] + total[f"{m}_kinds"]) if total[f"{m}_n"]
+         else F.lit(1 / max(1, total["size"]))).alias(f"{m}_one") for m in models])
+    before = counts.groupBy("w1").agg(*kinds)
+
+    def salted(side: DataFrame) -> DataFrame:
+        return side.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).hint("merge")
+
+    rows = counts.withColumn("salt", F.pmod(F.xxhash64("w1", "w2"), F.lit(SALTS)).cast("int"))
+    rows = rows.join(salted(before), ["w1", "salt"]).join(salted(one), ["w2", "salt"])
+
+    def loss(m: str):
+        n, k = F.col(f"{m}_n"), F.col(f"{m}_kinds")
+        return (-F.log(F.when(n > 0, (F.col(m) + k * F.col(f"{m}_one")) / (n + k)).otherwise(F.col(f"{m}_one")))).alias(f"{m}_loss")
+
+    return rows.select(F.xxhash64("w1", "w2").alias("gram"), *map(loss, models))
+
+
+def word_scores(docs: DataFrame, target_ids: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row of ``docs``: id, n_tokens (tokens and the closing mark), mean
+    target_loss and background_loss per token, score (their difference).
+
+    Null text counts as empty: its one token is the closing mark. Null ids are
+    scored and are never target rows; repeated rows count as often as they
+    come. Without target rows the target model is uniform. An empty table
+    gives no rows.
+    """
+    ship(docs.sparkSession)
+    rows = docs.select(quoted(id_col).alias("doc_id"), quoted(text_col).cast("binary").alias("text"))
+    counts, at = store_at(bigram_counts(rows, target_ids), "bigrams")
+    release(docs.sparkSession)
+    losses = store(bigram_losses(counts), "bigram-losses")
+    forget(docs.sparkSession, at)
+    release(docs.sparkSession)
+    kind = docs.select(quoted(id_col)).schema[0].dataType.simpleString()
+    own = rows.select("doc_id", F.xxhash64("text").alias("h"), "text").mapInArrow(_rows, f"doc_id {kind}, h long, w1 long, w2 long, n int, first int")
+    own = own.select("doc_id", "h", F.xxhash64("w1", "w2").alias("gram"), "n", "first")
+    # the same plan at every size; rows of a bigram that very many texts hold are split by the skew join
+    met = own.join(losses.hint("merge"), "gram")
+    sums = met.groupBy("doc_id", "h").agg(F.sum("first").alias("copies"), F.sum("n").alias("n"), *[
+        F.sum(F.col("n") * F.col(f"{m}_loss")).alias(m) for m in ("target", "background")])
+    mean = {m: F.round(F.col(m) / F.col("n"), 9) for m in ("target", "background")}
+    one_each = sums.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return one_each.select(F.col("doc_id").alias(id_col), (F.col("n") / F.col("copies")).cast("long").alias("n_tokens"),
+                           mean["target"].alias("target_loss"), mean["background"].alias("background_loss"),
+                           F.round((F.col("target") - F.col("background")) / F.col("n"), 9).alias("score"))
