@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 
 import numpy as np
 import public_tokenizers
@@ -53,6 +54,17 @@ def test_long_white_space(library, run):
         assert got.dtype.str == "<u4" and got.tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_many_medium_blank_runs(library):
+    """Runs below the bound are looked at once, not from each of their characters."""
+    text = "a".join([" " * 50_000] * 8)
+    code = bpe.library(bpe.read_spec(tokenizer_path()))
+    code.encode("x")
+    began = time.process_time()
+    got = code.encode(text)
+    assert time.process_time() - began < 1
+    assert got.tolist() == library.encode(text, add_special_tokens=False).ids
+
+
 def test_random_texts(code, library):
     rng = random.Random(3)
     letters = " \n\t aabetsstv'1.,!é中<|endoftext|>  "

@@ -265,7 +265,7 @@ class LibraryEncoder:
         self.special = {t["content"] for t in data["added_tokens"]}
         self.disputed = recent_letters()
         self.beyond = re.compile(f"[{FIRST_DISPUTED}-\U0010FFFF]")
-        self.blank = re.compile(r"\s{%d}" % LONGEST_BLANK)
+        self.blank = re.compile(r"(?<!\s)\s{%d}" % LONGEST_BLANK)  # tried once per run
 
     def encode(self, text: str) -> np.ndarray:
         """Token ids as little-endian unsigned 32-bit integers."""
