@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunelake.llm import bpe, chat, embed_dedup, packing, quality, sharding, simhash, toxicity, warc, word_lm
-from tunelake.llm.common import table
+from tunelake.llm import alignment, bpe, chat, embed_dedup, packing, quality, sharding, simhash, toxicity, warc, word_lm
+from tunelake.llm.common import store, table
 
 TOKENIZER = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 HOSTILE = "\\### Assistant: </turn> ok"
 
 
@@ -20,10 +21,10 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_conversations(chat.turn_events(turns)))
 
 
-def tokenizer_path() -> str:
-    """The public vocabulary of the contracts; installed, not part of this repository."""
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    """A public vocabulary of the contracts; installed, not part of this repository."""
     import public_tokenizers
-    return public_tokenizers.path(TOKENIZER)
+    return public_tokenizers.path(name)
 
 
 def op2_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,6 +77,14 @@ def op10_histogram_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = tokenizer_path(PIECES)
+    aligned = alignment.align_documents(table(spark, sf_dir, "documents"), tokenizer_path(), pieces)
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    aligned = store(aligned.withColumn("groups_sha256", digest).drop("groups"), "aligned")
+    return alignment.link_scores(aligned, alignment.vocabulary_size(pieces)).drop("row")
+
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_bpe_codec": op2_bpe_codec,
@@ -87,6 +96,7 @@ QUERIES = {
     "op8_simhash_dedup": op8_simhash_dedup,
     "op9_spf_packing": op9_spf_packing,
     "op10_histogram_sharding": op10_histogram_sharding,
+    "op11_token_alignment": op11_token_alignment,
 }
 
 ORACLE_SQL = {
