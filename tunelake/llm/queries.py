@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunelake.llm import alignment, bpe, chat, embed_dedup, packing, quality, sharding, simhash, toxicity, warc, word_lm
+from tunelake.llm import alignment, bpe, chat, embed_dedup, packing, quality, repair, sharding, simhash, toxicity, warc, word_lm
 from tunelake.llm.common import store, table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -85,6 +85,11 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.link_scores(aligned, alignment.vocabulary_size(pieces)).drop("row")
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    return repair.repair_report(repair.damage(turns), ids=turns)
+
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_bpe_codec": op2_bpe_codec,
@@ -97,6 +102,7 @@ QUERIES = {
     "op9_spf_packing": op9_spf_packing,
     "op10_histogram_sharding": op10_histogram_sharding,
     "op11_token_alignment": op11_token_alignment,
+    "op12_conversation_repair": op12_conversation_repair,
 }
 
 ORACLE_SQL = {
@@ -139,4 +145,61 @@ SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes,
     CASE WHEN page_id < keeper THEN 'revisit' ELSE 'response' END AS record_type,
     CASE WHEN page_id < keeper THEN keeper END AS refers_to
 FROM hashed""",
+    "op12_conversation_repair": r"""
+WITH RECURSIVE
+turns AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS name FROM conversations),
+hashed AS (
+    SELECT *, xor(4294967295, list_reduce(
+        list_transform(range(8 * length(name)), lambda i: (ascii(substr(name, i // 8 + 1, 1)) >> CAST(i % 8 AS INTEGER)) & 1),
+        lambda crc, bit: xor(crc >> 1, 3988292384 * (xor(crc, bit) & 1)), 4294967295)) % 20 AS hit FROM turns),
+copies AS (
+    SELECT conv_id, turn, CASE WHEN hit = 4 THEN 'user' ELSE role END AS role,
+        CASE hit WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+        unnest(range(CASE hit WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM hashed),
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+            sha256(length(role) || ':' || role || text), copy) AS pos,
+        rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare, role[1] AS initial FROM copies),
+faulty AS (
+    SELECT *, CASE WHEN bare = '' THEN 'b'
+            WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 'd'
+            WHEN bare[-1] NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS fault,
+        lag(initial) OVER (PARTITION BY conv_id ORDER BY pos) || initial NOT IN ('su', 'ua', 'au') AS illegal FROM placed),
+counts AS (
+    SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+        count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate,
+        count(*) FILTER (fault = 't') AS truncated, count(*) FILTER (illegal) AS illegal FROM faulty GROUP BY conv_id),
+-- 0: nothing yet, 1: after the system row, 2: an assistant is due, 3: complete
+inserted(a, b, letters, roles) AS (VALUES (0, 0, '', []), (1, 1, '', []), (2, 2, '', []), (3, 3, '', []), (0, 2, 'I', ['user:']),
+    (1, 2, 'I', ['user:']), (2, 3, 'I', ['assistant:']), (3, 2, 'I', ['user:']),
+    (0, 3, 'II', ['user:', 'assistant:']), (1, 3, 'II', ['user:', 'assistant:'])),
+renamed(a, b, role) AS (VALUES (0, 2, 'user'), (1, 2, 'user'), (2, 3, 'assistant'), (3, 2, 'user')),
+kept(a, b, initial) AS (VALUES (0, 1, 's'), (0, 2, 'u'), (1, 2, 'u'), (2, 3, 'a'), (3, 2, 'u')),
+edits AS (
+    SELECT conv_id, pos, 'D' AS letter, 2 AS cost, a, a AS b, [] AS said FROM faulty, (VALUES (0), (1), (2), (3)) s(a)
+    UNION ALL
+    SELECT conv_id, pos, 'R', CASE fault WHEN 't' THEN 6 ELSE 1 END, a, b, [renamed.role || ':' || text]
+    FROM faulty, renamed WHERE fault NOT IN ('b', 'd')
+    UNION ALL
+    SELECT conv_id, pos, 'K', CASE fault WHEN 't' THEN 5 ELSE 0 END, a, b, [role || ':' || text]
+    FROM faulty JOIN kept USING (initial) WHERE fault NOT IN ('b', 'd')),
+walk AS (
+    SELECT conv_id, CAST(0 AS BIGINT) AS pos, 0 AS state, {'cost': 0, 'audit': '', 'said': CAST([] AS VARCHAR[])} AS best FROM counts
+    UNION ALL
+    SELECT w.conv_id, w.pos + 1, e.b, min({'cost': CAST(w.best.cost + 5 * length(i.letters) + e.cost AS INTEGER),
+        'audit': w.best.audit || i.letters || e.letter, 'said': w.best.said || i.roles || e.said})
+    FROM walk w JOIN inserted i ON i.a = w.state
+        JOIN edits e ON e.conv_id IS NOT DISTINCT FROM w.conv_id AND e.pos = w.pos + 1 AND e.a = i.b
+    GROUP BY w.conv_id, w.pos, e.b),
+ended AS (
+    SELECT w.conv_id, min({'cost': w.best.cost + 5 * length(i.letters), 'audit': w.best.audit || i.letters, 'said': w.best.said || i.roles}) AS best
+    FROM walk w JOIN counts c ON c.conv_id IS NOT DISTINCT FROM w.conv_id AND c.n = w.pos
+        JOIN inserted i ON i.a = w.state AND i.b IN (0, 3) GROUP BY w.conv_id)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+    coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(best.cost, 0) AS BIGINT) AS cost,
+    coalesce(best.audit, '') AS audit, sha256(coalesce(array_to_string(best.said, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM o.conv_id""",
 }
