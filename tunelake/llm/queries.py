@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunelake.llm import alignment, bpe, chat, embed_dedup, packing, quality, repair, sharding, simhash, toxicity, warc, word_lm
+from tunelake.llm import alignment, bpe, chat, embed_dedup, licenses, packing, quality, repair, sharding, simhash, toxicity, warc, word_lm
 from tunelake.llm.common import store, table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -90,6 +90,12 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repair_report(repair.damage(turns), ids=turns)
 
 
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = licenses.license_scan(table(spark, sf_dir, "documents").select("doc_id", "text"), "found")
+    fields = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
+    return out.select("doc_id", *[F.col(f"found.{c}").alias(c) for c in fields])
+
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_bpe_codec": op2_bpe_codec,
@@ -103,6 +109,7 @@ QUERIES = {
     "op10_histogram_sharding": op10_histogram_sharding,
     "op11_token_alignment": op11_token_alignment,
     "op12_conversation_repair": op12_conversation_repair,
+    "op13_license_scan": op13_license_scan,
 }
 
 ORACLE_SQL = {
@@ -202,4 +209,5 @@ SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coales
     coalesce(best.audit, '') AS audit, sha256(coalesce(array_to_string(best.said, chr(10)), '')) AS repaired_sha256
 FROM (SELECT DISTINCT conv_id FROM conversations) o
 LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM o.conv_id""",
+    "op13_license_scan": licenses.oracle_sql(),
 }
