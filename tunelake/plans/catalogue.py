@@ -389,6 +389,74 @@ def q_landing_lyrics_url(spark, sf):
                       variant="notebook")
 
 
+# Deliveries of the whole order chart as landing folders: a quarter that was
+# converted and has gone, one that came with rows of another and comes again
+# without, one with an old time stamp, a new one. Months stand for days.
+CHARTS = "top-spotify-songs-by-country"
+
+
+def _monthly_charts(spark, sf):
+    raw, date = R.landing_charts_from_orders(_t(spark, sf, "orders")), F.col("snapshot_date")
+    return raw.withColumn("snapshot_date", F.when(F.length(date) == 10, F.concat(F.substring(date, 1, 8), F.lit("01"))).otherwise(date))
+
+
+def _deliver_charts(spark, sf, layout, take_in) -> None:
+    raw = _monthly_charts(spark, sf).withColumn("part", F.coalesce(F.pmod(F.xxhash64("spotify_id"), F.lit(4)), F.lit(0)))
+
+    def deliver(part: int, *parts: int) -> str:
+        rows = raw.filter(F.col("part").isin(part, *parts)).drop("part")
+        return sinks.write_csv(rows, layout.landing(f"{CHARTS}-{part}.csv"))
+
+    first = deliver(0)
+    deliver(1, 2)
+    take_in()
+    readers.delete_path(spark, first)
+    deliver(1)
+    p, fs = readers.hadoop(spark, deliver(2))
+    for status in fs.listStatus(p):
+        fs.setTimes(status.getPath(), 1_000_000_000_000, -1)
+    deliver(3)
+
+
+def q_landing_increment(spark, sf):
+    layout = manifest.ZoneLayout(shared_dir(spark, "zones"))
+    _deliver_charts(spark, sf, layout, lambda: zones.landing_to_parquet(spark, layout, update=True))
+    zones.format_zone(spark, layout, update=True, partition_charts=False)
+    return readers.read_parquet(spark, layout.formatted(CHARTS))
+
+
+def q_refresh_raw_charts(spark, sf):
+    layout = manifest.ZoneLayout(shared_dir(spark, "zones"))
+    _deliver_charts(spark, sf, layout, lambda: zones.refresh_charts_zone(spark, layout))
+    zones.refresh_charts_zone(spark, layout)
+    return readers.read_parquet(spark, layout.formatted(CHARTS))
+
+
+def q_bootstrap_charts(spark, sf):
+    # no zone yet; a trusted zone whose first run was lost after some tables; both zones whole
+    layout = manifest.ZoneLayout(shared_dir(spark, "zones"))
+    sinks.write_csv(_monthly_charts(spark, sf), layout.landing(f"{CHARTS}.csv"))
+    ran = ["+".join(zones.bootstrap(spark, layout))]
+    readers.delete_path(spark, f"{layout.root}/trusted/_SUCCESS")
+    sinks.write_parquet(readers.read_parquet(spark, layout.formatted(CHARTS)).limit(0), layout.trusted(CHARTS))
+    ran += ["+".join(zones.bootstrap(spark, layout)) for _ in range(2)]
+    return readers.read_parquet(spark, layout.trusted(CHARTS)).withColumn("first_runs", F.lit("; ".join(ran)))
+
+
+def q_fallback_zone(spark, sf):
+    # landing alone; landing, formatted, and a trusted table whose write was lost
+    layout = manifest.ZoneLayout(shared_dir(spark, "zones"))
+    sinks.write_csv(_monthly_charts(spark, sf), layout.landing(f"{CHARTS}.csv"))
+    zones.landing_to_parquet(spark, layout, update=True)
+    seen = [zones.exploitable(spark, layout, CHARTS, "charts")]
+    zones.format_zone(spark, layout, update=True)
+    sinks.write_parquet(readers.read_parquet(spark, layout.formatted(CHARTS)).limit(5), layout.trusted(CHARTS))
+    readers.delete_path(spark, f"{layout.trusted(CHARTS)}/_SUCCESS")
+    seen.append(zones.exploitable(spark, layout, CHARTS, "charts"))
+    first, second = (X.visualisation_set(df).withColumn("zone", F.lit(zone)) for df, zone in seen)
+    return first.unionByName(second)
+
+
 # The whole flow (JOB16) over part, orders and documents as the datasets.
 def _pipeline(spark, sf):
     layout = manifest.ZoneLayout(shared_dir(spark, "zones"))
@@ -506,6 +574,10 @@ QUERIES: dict[str, Query] = {
     "join_string_keys": q_join_string_keys,
     "argmax_labels": q_argmax_labels,
     "trusted_lyrics": q_trusted_lyrics,
+    "landing_increment": q_landing_increment,
+    "refresh_raw_charts": q_refresh_raw_charts,
+    "bootstrap_charts": q_bootstrap_charts,
+    "fallback_zone": q_fallback_zone,
 }
 
 
@@ -632,6 +704,36 @@ def _new_entries_sql(source: str, date_expr: str, song_expr: str) -> str:
                                                      AND q.song_id = c.song_id)"""
 
 
+def _landing_charts_sql(raw: str) -> str:
+    return f"""
+        WITH raw AS ({raw}),
+        p AS (
+          SELECT spotify_id, name AS track_name, artists AS artist_name, COALESCE({_lenient_int('daily_rank')}, 0) AS daily_rank,
+                 daily_movement, weekly_movement, upper(trim(regexp_replace(country, '\\s+', ' ', 'g'))) AS country,
+                 CAST(try_strptime(snapshot_date, '%Y-%m-%d') AS DATE) AS snapshot_date,
+                 COALESCE({_lenient_int('popularity')}, 0) AS popularity, is_explicit,
+                 COALESCE({_lenient_int('duration_ms', 'BIGINT')}, 0) AS duration_ms, album_name,
+                 CAST(try_strptime(album_release_date, '%Y-%m-%d') AS DATE) AS album_release_date,
+                 danceability, energy, key, loudness, mode, speechiness,
+                 {", ".join(f"COALESCE(TRY_CAST({c} AS DOUBLE), 0.0) AS {c}" for c in
+                            ("acousticness", "instrumentalness", "liveness", "valence", "tempo", "time_signature"))}
+          FROM raw)
+        SELECT *, CAST(year(snapshot_date) AS INTEGER) AS snapshot_year, CAST(month(snapshot_date) AS INTEGER) AS snapshot_month,
+               CAST(day(snapshot_date) AS INTEGER) AS snapshot_day
+        FROM p WHERE track_name IS NOT NULL"""
+
+
+_MONTHLY_CHARTS_SQL = f"""
+SELECT * REPLACE (CASE WHEN length(snapshot_date) = 10 THEN substr(snapshot_date, 1, 8) || '01' ELSE snapshot_date END AS snapshot_date)
+FROM ({R.LANDING_CHARTS_SQL})"""
+
+
+def _first_sql(keys: list[str], order: list[str], columns=S.TRUSTED_CHARTS_COLUMNS) -> str:
+    rest = order + [c for c in columns if c not in keys and c not in order]
+    return (f"QUALIFY row_number() OVER (PARTITION BY {', '.join(keys)} ORDER BY "
+            + ", ".join(f"{c} ASC NULLS FIRST" for c in rest) + ") = 1")
+
+
 ORACLE_SQL: dict[str, str] = {
     "top_artists": f"""
         SELECT l_suppkey, {_rnd('avg(l_quantity)', 2)} AS avg_popularity, count(l_orderkey) AS track_count
@@ -807,22 +909,22 @@ ORACLE_SQL: dict[str, str] = {
         WITH raw AS ({R.LANDING_TRACKS_SQL})
         SELECT track_id, track_name, artists AS artist_name, album_name, {_typed(S.TRACKS_SPEC[4:])}
         FROM raw WHERE track_id IS NOT NULL AND track_name IS NOT NULL""",
-    "landing_charts": f"""
-        WITH raw AS ({R.LANDING_CHARTS_SQL}),
-        p AS (
-          SELECT spotify_id, name AS track_name, artists AS artist_name, COALESCE({_lenient_int('daily_rank')}, 0) AS daily_rank,
-                 daily_movement, weekly_movement, upper(trim(regexp_replace(country, '\\s+', ' ', 'g'))) AS country,
-                 CAST(try_strptime(snapshot_date, '%Y-%m-%d') AS DATE) AS snapshot_date,
-                 COALESCE({_lenient_int('popularity')}, 0) AS popularity, is_explicit,
-                 COALESCE({_lenient_int('duration_ms', 'BIGINT')}, 0) AS duration_ms, album_name,
-                 CAST(try_strptime(album_release_date, '%Y-%m-%d') AS DATE) AS album_release_date,
-                 danceability, energy, key, loudness, mode, speechiness,
-                 {", ".join(f"COALESCE(TRY_CAST({c} AS DOUBLE), 0.0) AS {c}" for c in
-                            ("acousticness", "instrumentalness", "liveness", "valence", "tempo", "time_signature"))}
-          FROM raw)
-        SELECT *, CAST(year(snapshot_date) AS INTEGER) AS snapshot_year, CAST(month(snapshot_date) AS INTEGER) AS snapshot_month,
-               CAST(day(snapshot_date) AS INTEGER) AS snapshot_day
-        FROM p WHERE track_name IS NOT NULL""",
+    "landing_charts": _landing_charts_sql(R.LANDING_CHARTS_SQL),
+    "landing_increment": _landing_charts_sql(_MONTHLY_CHARTS_SQL),
+    "refresh_raw_charts": _landing_charts_sql(_MONTHLY_CHARTS_SQL),
+    "bootstrap_charts": f"""
+        WITH f AS ({_landing_charts_sql(_MONTHLY_CHARTS_SQL)}),
+        t AS (SELECT {', '.join(S.TRUSTED_CHARTS_COLUMNS)} FROM f WHERE track_name IS NOT NULL AND artist_name IS NOT NULL),
+        s1 AS (SELECT * FROM t {_first_sql(['snapshot_date', 'country', 'daily_rank'], ['track_name'])})
+        SELECT *, 'formatted+trusted; trusted; ' AS first_runs
+        FROM s1 {_first_sql(['artist_name', 'country', 'track_name', 'snapshot_date'], [])}""",
+    "fallback_zone": f"""
+        SELECT track_name, artist_name, daily_rank, snapshot_date, country, 'formatted' AS zone
+        FROM ({_landing_charts_sql(_MONTHLY_CHARTS_SQL)})
+        UNION ALL
+        SELECT name, artists, {_lenient_int('daily_rank')}, CAST(try_strptime(snapshot_date, '%Y-%m-%d') AS DATE),
+               upper(trim(regexp_replace(country, '\\s+', ' ', 'g'))), 'landing'
+        FROM ({_MONTHLY_CHARTS_SQL})""",
     "landing_lyrics_text": f"""
         WITH raw AS ({R.RAW_LYRICS_FROM_DOCUMENTS_SQL}),
         p AS (SELECT {_lenient_int('"Unnamed: 0"')} AS song_id, trim(artist) AS artist_name,

@@ -12,6 +12,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +23,7 @@ from tunelake.operators import clean as C
 from tunelake.operators import exploit as X
 from tunelake.operators import ml as M
 from tunelake.operators import quality as Q
-from tunelake.sources import manifest, readers, sinks
+from tunelake.sources import ledger, manifest, readers, sinks
 
 log = logging.getLogger(__name__)
 
@@ -42,13 +43,47 @@ class ZoneReport:
             log.info("%s: %d rows in, %d out, %d removed", name, n_in, n_out, n_in - n_out)
 
 
-def _read_landing(spark: SparkSession, paths: Sequence[str], spec: manifest.DatasetSpec) -> DataFrame:
-    if all(p.endswith(".parquet") for p in paths):
-        return readers.read_parquet(spark, list(paths))
-    return readers.read_csv_by_name(spark, list(paths), manifest.landing_forms(spec.kind), multi_line=spec.text)
-
-
-def _format(df: DataFrame, kind: str, variant: str) -> DataFrame:
+def _read_csvs(spark: SparkSession, files: Sequence[ledger.LandingFile], spec: manifest.DatasetSpec,
+               source_col: str | None = None) -> DataFrame:
+    return readers.read_csv_by_name(spark, [f.path for f in files], manifest.landing_forms(spec.kind),
+                                    multi_line=spec.text, source_col=source_col)
+
+
+def _copied(spark: SparkSession, layout: manifest.ZoneLayout, name: str, but: DataFrame | None = None) -> DataFrame | None:
+    """The rows of a dataset's Parquet copy that are in force: all of a copy
+    made elsewhere, of our own those with an entry in the ledger, ``but`` those
+    of the given files."""
+    path = layout.copy(name)
+    if not readers.path_exists(spark, path):
+        return None
+    copy = readers.read_parquet(spark, path)
+    if ledger.RUN_COL not in copy.columns:
+        return copy
+    rows = ledger.in_force(copy, layout.ledger(name))
+    if but is not None:
+        rows = rows.join(but.select(F.col("file").alias(ledger.FILE_COL)), ledger.FILE_COL, "left_anti")
+    return rows.drop(ledger.FILE_COL, ledger.RUN_COL)
+
+
+def _read_landing(spark: SparkSession, layout: manifest.ZoneLayout, paths: Sequence[str],
+                  spec: manifest.DatasetSpec) -> DataFrame:
+    """Every landing row of a dataset: those of its copy and those of the CSVs
+    that the ledger does not know (all, where there is none). A CSV whose entry
+    is out of date stands for itself."""
+    book, copy_path = layout.ledger(spec.name), ledger.plain_path(layout.copy(spec.name))
+    new, entries = ledger.changed(spark, book, [p for p in paths if not p.endswith(".parquet")])
+    parts = [_read_csvs(spark, new, spec)] if new else []
+    copy = _copied(spark, layout, spec.name, but=entries)
+    parts += [copy] if copy is not None else []
+    parts += [readers.read_parquet(spark, p) for p in paths
+              if p.endswith(".parquet") and ledger.plain_path(p.rstrip("/")) != copy_path]
+    if not parts:
+        raise FileNotFoundError(f"no landing rows of {spec.name}")
+    columns = parts[0].columns
+    return reduce(DataFrame.unionByName, [p.select(*[p["`" + c + "`"] for c in columns]) for p in parts])
+
+
+def _format(df: DataFrame, kind: str, variant: str, more: Sequence[S.ColumnSpec] = ()) -> DataFrame:
     if variant not in VARIANTS:
         raise ValueError(f"variant must be one of {VARIANTS}")
     if kind == "tracks":
@@ -57,10 +92,10 @@ def _format(df: DataFrame, kind: str, variant: str) -> DataFrame:
         return C.format_tracks(df, required=(), lower_names=(variant == "strict"))
     if kind == "charts":
         if variant == "script":
-            return C.format_charts(df)
+            return C.format_charts(df, [*S.CHARTS_SPEC, *more])
         if variant == "notebook":
-            return C.format_charts(df, fill=None, required=())
-        return C.format_charts(df, fill=None, country_col=None, required=())
+            return C.format_charts(df, [*S.CHARTS_SPEC, *more], fill=None, required=())
+        return C.format_charts(df, [*S.CHARTS_SPEC, *more], fill=None, country_col=None, required=())
     if kind == "lyrics":
         spec = manifest.landing_spec(kind, df.columns)
         if variant == "script":
@@ -70,36 +105,42 @@ def _format(df: DataFrame, kind: str, variant: str) -> DataFrame:
     raise ValueError(kind)
 
 
-def _landing_files(spark: SparkSession, layout: manifest.ZoneLayout) -> dict[str, list[str]]:
-    """Landing files per dataset. A converted Parquet copy stands for the CSVs
-    it was made from; when a CSV is newer than the copy, all CSVs are read."""
-    routed = manifest.dispatch(readers.list_files(spark, posixpath_join(layout.root, "landing")))
-    out = {}
-    for name, paths in routed.items():
-        parquet = [p for p in paths if p.endswith(".parquet")]
-        csvs = [p for p in paths if not p.endswith(".parquet")]
-        if parquet and csvs:
-            copied = max(readers.modified(spark, p) for p in parquet)
-            newer = [p for p in csvs if readers.modified(spark, p) > copied]
-            if newer:
-                log.warning("%s: %s newer than the Parquet copy; reading the CSV files", name, ", ".join(newer))
-                parquet = []
-        out[name] = parquet or csvs
-    return out
+def _adopt(spark: SparkSession, layout: manifest.ZoneLayout, name: str) -> None:
+    """Give a copy made elsewhere the form of our own, with an entry for itself."""
+    path, book, run = layout.copy(name), layout.ledger(name), ledger.new_run()
+    if not readers.path_exists(spark, path):
+        return
+    copy = readers.read_parquet(spark, path)
+    if ledger.RUN_COL not in copy.columns:
+        marked = copy.withColumns({ledger.FILE_COL: F.lit(ledger.plain_path(path)), ledger.RUN_COL: F.lit(run)})
+        sinks.write_parquet(marked, path, partition_by=[ledger.RUN_COL])
+    elif not readers.path_exists(spark, book):  # its run was lost before this entry
+        run = copy.agg(F.max(F.when(F.col(ledger.FILE_COL) == ledger.plain_path(path), F.col(ledger.RUN_COL)))).first()[0]
+    else:
+        return
+    if run:
+        ledger.record(spark.createDataFrame([(ledger.plain_path(path), 0, 0, "", run)], ledger.ENTRY), book)
 
 
 def landing_to_parquet(spark: SparkSession, layout: manifest.ZoneLayout, update: bool = False) -> ZoneReport:
-    """SNK4 as a Spark job: every landing CSV of a known dataset becomes
-    ``landing/<dataset>.parquet`` (all files of a dataset together; the
-    auxiliary files are skipped by the dispatch deny-list)."""
+    """SNK4 as a Spark job: the landing CSVs of every known dataset that are
+    not in its ledger, or have changed since, are added to
+    ``landing/<dataset>.parquet`` and entered. Rows of earlier files stay, also
+    where the CSV has gone; auxiliary files are skipped by the deny-list."""
     report = ZoneReport()
     routed = manifest.dispatch(readers.list_files(spark, posixpath_join(layout.root, "landing"), (".csv",)))
     for spec in manifest.datasets_to_refresh(update):
-        paths = routed.get(spec.name)
-        if not paths:
+        _adopt(spark, layout, spec.name)
+        new, fresh = ledger.changed(spark, layout.ledger(spec.name), routed.get(spec.name, []))
+        if fresh is None:
             continue
-        df = _read_landing(spark, paths, spec)
-        report.add(spec.name, sinks.write_parquet(df, layout.landing(spec.name) + ".parquet"))
+        run = ledger.new_run()
+        if new:  # rows first, under this run's id; the entries make them count
+            rows = _read_csvs(spark, new, spec, source_col=ledger.FILE_COL)
+            rows.write.parquet(f"{layout.copy(spec.name)}/{ledger.RUN_COL}={run}")
+        ledger.record(fresh.withColumn("run", F.lit(run)), layout.ledger(spec.name))
+        report.add(spec.name, layout.copy(spec.name))
+        report.counts[spec.name] = {"files": len(new)}
     return report
 
 
@@ -107,18 +148,20 @@ def format_zone(spark: SparkSession, layout: manifest.ZoneLayout, variant: str =
                 update: bool = False, partition_charts: bool = True) -> ZoneReport:
     """JOB1-JOB3 (+SRC8 dispatch, STR1 manifest filter)."""
     report = ZoneReport()
-    routed = _landing_files(spark, layout)
+    routed = manifest.dispatch(readers.list_files(spark, posixpath_join(layout.root, "landing")))
     for spec in manifest.datasets_to_refresh(update):
         paths = routed.get(spec.name)
         if not paths:
             log.warning("no landing file for %s", spec.name)
             continue
-        raw, before = Q.observe_counts(_read_landing(spark, paths, spec), f"{spec.name}_in")
+        raw, before = Q.observe_counts(_read_landing(spark, layout, paths, spec), f"{spec.name}_in")
         out, after = Q.observe_counts(_format(raw, spec.kind, variant), f"{spec.name}_out")
         partition = ["snapshot_date"] if (spec.kind == "charts" and partition_charts) else None
         path = layout.formatted(spec.name)
         sinks.write_parquet(out, path, partition_by=partition)
         report.add(spec.name, path, before, after)
+    if not update and report.written:
+        sinks.mark_committed(spark, posixpath_join(layout.root, "formatted"))
     return report
 
 
@@ -157,16 +200,62 @@ def trusted_zone(spark: SparkSession, layout: manifest.ZoneLayout) -> ZoneReport
         if len(marks) > 1:
             for step, before, after in marks:
                 report.add(f"{name}:{step}", layout.trusted(name), before, after)
+    if report.written:
+        sinks.mark_committed(spark, posixpath_join(layout.root, "trusted"))
     return report
 
 
+CHARTS = "top-spotify-songs-by-country"
+
+
+def refresh_charts_zone(spark: SparkSession, layout: manifest.ZoneLayout, variant: str = "script") -> ZoneReport:
+    """STR1 on raw files: take in the chart CSVs that are new or have changed,
+    and rebuild the formatted and trusted dates that they touch. A file that
+    came again in another form replaces its earlier rows, also where these had
+    dates of their own. Equal to a full run over all files in force."""
+    from tunelake.streaming import refresh
+    report = landing_to_parquet(spark, layout, update=True)
+    if not readers.path_exists(spark, layout.ledger(CHARTS)):
+        return report
+
+    def formatted_rows(taken: DataFrame) -> DataFrame:
+        runs = [r[0] for r in taken.select("run").distinct().collect()]  # conversions since the last refresh
+        copy = readers.read_parquet(spark, layout.copy(CHARTS)).filter(F.col(ledger.RUN_COL).isin(runs))
+        keys = [F.col("file").alias(ledger.FILE_COL), F.col("run").alias(ledger.RUN_COL)]
+        marks = [ledger.FILE_COL, ledger.RUN_COL]
+        mine = copy.join(taken.select(*keys), marks, "left_semi")
+        return _format(mine, "charts", variant, more=[S.ColumnSpec(c, c) for c in marks])
+
+    targets = {layout.formatted(CHARTS): lambda df: df, layout.trusted(CHARTS): Q.trust_charts}
+    dates = refresh.refresh_versions(spark, layout.ledger(CHARTS), formatted_rows,
+                                     posixpath_join(layout.root, "refresh", CHARTS), targets)
+    for path in targets:
+        report.add(f"{CHARTS}:{path.split('/')[-2]}", path)
+    report.counts["dates_rebuilt"] = {"rows_out": dates}
+    return report
+
+
+def bootstrap(spark: SparkSession, layout: manifest.ZoneLayout, variant: str = "script") -> dict[str, ZoneReport]:
+    """STR2: the first run of every zone that is not there as a whole. A zone
+    counts once its job has ended; tables that a lost first run has left do
+    not make one."""
+    jobs = {"formatted": lambda: format_zone(spark, layout, variant), "trusted": lambda: trusted_zone(spark, layout)}
+    reports: dict[str, ZoneReport] = {}
+    for zone, job in jobs.items():
+        if reports or not sinks.is_committed(spark, posixpath_join(layout.root, zone)):
+            log.info("first run of the %s zone", zone)
+            reports[zone] = job()
+    return reports
+
+
 def _zone_table(spark: SparkSession, layout: manifest.ZoneLayout, name: str, zone: str) -> DataFrame | None:
-    """A table of the zone, or of the other one where that is missing."""
+    """A table of the zone, or (logged) of the other one where that is missing
+    or not committed."""
     paths = [layout.formatted(name), layout.trusted(name)]
-    for path in paths if zone == "formatted" else paths[::-1]:
-        if readers.path_exists(spark, path):
-            return readers.read_parquet(spark, path)
-    return None
+    paths = paths if zone == "formatted" else paths[::-1]
+    if not any(readers.path_exists(spark, p) for p in paths):
+        return None
+    return readers.read_with_fallback(spark, paths, own=[True, True])[0]
 
 
 def analytics_zone(spark: SparkSession, layout: manifest.ZoneLayout, zone: str = "formatted") -> ZoneReport:
@@ -218,19 +307,24 @@ def analytics_zone(spark: SparkSession, layout: manifest.ZoneLayout, zone: str =
     return report
 
 
+def exploitable(spark: SparkSession, layout: manifest.ZoneLayout, name: str, kind: str) -> tuple[DataFrame, str]:
+    """SRC6: a dataset's table from the first committed zone, and that zone's
+    name; a landing copy (raw names, text values) is typed and renamed (PRJ7)
+    as the formatter does."""
+    zone_of = {layout.trusted(name): "trusted", layout.formatted(name): "formatted", layout.copy(name): "landing"}
+    df, path = readers.read_with_fallback(spark, list(zone_of), own=[True, True, False])
+    if zone_of[path] == "landing":
+        df = _format(_copied(spark, layout, name), kind, "notebook")
+    return df, zone_of[path]
+
+
 def exploitation_zone(spark: SparkSession, layout: manifest.ZoneLayout,
                       normalise_keys: bool = True) -> ZoneReport:
     """JOB12 (SRC6 fallback to landing with renames, JN3, JN2) and JOB13."""
     report = ZoneReport()
 
-    def zones_of(name: str) -> list[str]:
-        return [layout.trusted(name), layout.formatted(name), layout.landing(name) + ".parquet"]
-
     def table(name: str, kind: str) -> DataFrame:
-        """SRC6: the first readable zone; a landing copy (raw names, text
-        values) is typed and renamed as the formatter does."""
-        df, path = readers.read_with_fallback(spark, zones_of(name))
-        return _format(df, kind, "notebook") if path == layout.landing(name) + ".parquet" else df
+        return exploitable(spark, layout, name, kind)[0]
 
     lyrics, tracks = table("songs-lyrics", "lyrics"), table("spotify-tracks-dataset", "tracks")
     if "song_lyrics" in lyrics.columns:
@@ -299,10 +393,13 @@ def read_back(spark: SparkSession, layout: manifest.ZoneLayout, artists: int = 2
 def run_all(spark: SparkSession, layout: manifest.ZoneLayout, variant: str = "script",
             update: bool = False, zone: str = "formatted") -> dict[str, ZoneReport]:
     """JOB16: the whole batch flow over one zone layout; ``zone`` is what the
-    analyses read."""
-    return {
-        "formatted": format_zone(spark, layout, variant, update),
-        "trusted": trusted_zone(spark, layout),
+    analyses read. An update run refreshes the daily chart alone, once there
+    has been a first run."""
+    if update and not (reports := bootstrap(spark, layout, variant)):
+        reports = {"refreshed": refresh_charts_zone(spark, layout, variant)}
+    elif not update:
+        reports = {"formatted": format_zone(spark, layout, variant), "trusted": trusted_zone(spark, layout)}
+    return reports | {
         "analytics": analytics_zone(spark, layout, zone),
         "exploitation": exploitation_zone(spark, layout),
     }

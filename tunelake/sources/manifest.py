@@ -62,6 +62,14 @@ class ZoneLayout:
     def landing(self, name: str) -> str:
         return self._zone("landing", name)
 
+    def copy(self, name: str) -> str:
+        """The landing files of a dataset as Parquet."""
+        return self.landing(name) + ".parquet"
+
+    def ledger(self, name: str) -> str:
+        """The entries of the files that the copy holds."""
+        return self._zone("landing/ledger", name)
+
     def formatted(self, name: str) -> str:
         return self._zone("formatted", name)
 

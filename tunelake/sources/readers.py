@@ -8,13 +8,16 @@ profiling.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+log = logging.getLogger(__name__)
 
 # How CSV text is written and read back unchanged; both directions use it.
 CSV_OPTIONS = {"encoding": "utf-8", "escape": '"', "ignoreLeadingWhiteSpace": "false",
@@ -41,59 +44,48 @@ def read_text_csv(spark: SparkSession, path: str | Sequence[str], schema: T.Stru
 
 
 def read_csv_by_name(spark: SparkSession, paths: Sequence[str], forms: Sequence[Sequence[str]],
-                     multi_line: bool = False) -> DataFrame:
+                     multi_line: bool = False, source_col: str | None = None) -> DataFrame:
     """SRC1/SRC2 of landing files: the columns of one of ``forms`` by header
     name, as text. Further columns and any order are fine, also from file to
     file: files of equal header are read together and the groups are united.
 
     ``forms`` lists the sets of names the dataset may have; all files must
-    have the same one. A file with none of them raises.
+    have the same one. A file with none of them raises. One job finds the
+    first lines of all files, and one more per different header its columns.
+    ``source_col`` adds the file's name. Multi-line files are one task each:
+    only their parser knows where a row begins.
     """
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for path in paths:
-        for file in _csv_files(spark, path):
-            header = tuple(read_csv(spark, file, multiLine=str(multi_line).lower()).columns)
-            groups.setdefault(header, []).append(file)
+    from tunelake.sources import ledger
+    files = [f for path in paths for f in ledger.data_files(spark, path)]
+    if not files:
+        raise FileNotFoundError(f"no CSV file in {list(paths)}")
+    by_name = {ledger.plain_path(f.path): f.path for f in files}
+    groups: dict[str, list[str]] = {}
+    for row in ledger.survey(spark, files).select("file", "header").collect():  # one row per file listed above
+        groups.setdefault(row["header"].rstrip("\r"), []).append(by_name[row["file"]])
     parts, used = [], set()
-    for header, files in groups.items():
+    for line in sorted(groups):
+        df = read_csv(spark, sorted(groups[line]), multiLine=str(multi_line).lower())
+        header = df.columns
         form = next((tuple(f) for f in forms if set(f) <= set(header)), None)
         if form is None:
             missing = min((sorted(set(f) - set(header)) for f in forms), key=len)
-            raise ValueError(f"{files[0]}: no column {', '.join(missing)} in the header")
+            raise ValueError(f"{min(groups[line])}: no column {', '.join(missing)} in the header")
         used.add(form)
-        df = read_csv(spark, files, multiLine=str(multi_line).lower())
-        parts.append(df.select(*[df["`" + c + "`"] for c in form]))
+        source = [ledger.file_name().alias(source_col)] if source_col else []
+        parts.append(df.select(*[df["`" + c + "`"] for c in form], *source))
     if len(used) > 1:
         raise ValueError(f"files of different forms: {sorted(used)}")
-    if not parts:
-        raise FileNotFoundError(f"no CSV file in {list(paths)}")
     return reduce(DataFrame.unionByName, parts)
 
 
-def _csv_files(spark: SparkSession, path: str) -> list[str]:
-    """The file itself, or the data files inside a folder."""
-    p, fs = _hadoop(spark, path)
-    if not fs.getFileStatus(p).isDirectory():
-        return [path]
-    names = [(st.getPath().getName(), st.getPath().toString(), st.getLen()) for st in fs.listStatus(p)]
-    return sorted(full for name, full, size in names if not name.startswith(("_", ".")) and size)
-
-
-def _hadoop(spark: SparkSession, path: str):
+def hadoop(spark: SparkSession, path: str):
     hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path, hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def modified(spark: SparkSession, path: str) -> int:
-    """Time of the last change (ms); of a folder, that of its newest entry."""
-    p, fs = _hadoop(spark, path)
-    status = fs.getFileStatus(p)
-    inside = [st.getModificationTime() for st in fs.listStatus(p)] if status.isDirectory() else []
-    return max([status.getModificationTime(), *inside])
-
-
 def delete_path(spark: SparkSession, path: str) -> None:
-    p, fs = _hadoop(spark, path)
+    p, fs = hadoop(spark, path)
     fs.delete(p, True)
 
 
@@ -106,14 +98,14 @@ def read_parquet(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the Hadoop file system of the path (works for
     local, HDFS and object stores alike)."""
-    hadoop_path, fs = _hadoop(spark, path)
+    hadoop_path, fs = hadoop(spark, path)
     return bool(fs.exists(hadoop_path))
 
 
 def list_files(spark: SparkSession, folder: str, suffixes: Sequence[str] = (".csv", ".parquet")) -> list[str]:
     """Files (or Parquet folders) directly inside ``folder`` whose name ends
     with one of ``suffixes``; empty when the folder does not exist."""
-    hadoop_path, fs = _hadoop(spark, folder)
+    hadoop_path, fs = hadoop(spark, folder)
     if not fs.exists(hadoop_path):
         return []
     out = []
@@ -130,20 +122,43 @@ def rename_if_present(df: DataFrame, renames: Mapping[str, str]) -> DataFrame:
     return df.withColumnsRenamed(present) if present else df
 
 
+def committed(spark: SparkSession, path: str) -> bool:
+    """Is there a whole table? A file is; a folder is when the job that wrote
+    it has left its mark, or, for copies made elsewhere, when nothing says
+    that a job is still at it or was lost."""
+    p, fs = hadoop(spark, path)
+    if not fs.exists(p):
+        return False
+    if not fs.getFileStatus(p).isDirectory():
+        return True
+    names = [st.getPath().getName() for st in fs.listStatus(p)]
+    if "_SUCCESS" in names:
+        return True
+    return bool(names) and not any(n == "_temporary" or n.startswith(".spark-staging") for n in names)
+
+
 def read_with_fallback(spark: SparkSession, paths: Sequence[str],
-                       renames: Sequence[Mapping[str, str] | None] | None = None) -> tuple[DataFrame, str]:
-    """SRC6: read the first zone that exists and can be read; apply that
-    zone's column renames. Returns the frame and the path used."""
-    renames = list(renames or [None] * len(paths))
+                       renames: Sequence[Mapping[str, str] | None] | None = None,
+                       own: Sequence[bool] | None = None) -> tuple[DataFrame, str]:
+    """SRC6: read the first zone that is committed and can be read; apply that
+    zone's column renames. Returns the frame and the path used, and logs the
+    zones passed over. ``own`` says which paths the zone jobs write: those
+    count only with the mark of a finished write."""
+    renames, own = list(renames or [None] * len(paths)), list(own or [False] * len(paths))
     errors = []
-    for path, rename in zip(paths, renames):
+    for path, rename, ours in zip(paths, renames, own):
         if not path_exists(spark, path):
             errors.append(f"{path}: missing")
             continue
+        if not (path_exists(spark, path.rstrip("/") + "/_SUCCESS") if ours else committed(spark, path)):
+            errors.append(f"{path}: not committed")
+            continue
         try:
             df = read_parquet(spark, path)
         except AnalysisException as exc:  # e.g. an empty folder
             errors.append(f"{path}: {exc}")
             continue
+        if errors:
+            log.warning("reading %s; passed over: %s", path, "; ".join(errors))
         return (rename_if_present(df, rename) if rename else df), path
     raise FileNotFoundError("no readable zone: " + "; ".join(errors))

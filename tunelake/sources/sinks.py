@@ -1,18 +1,97 @@
 """Writers (SNK1-SNK6).
 
-Writes are atomic per job through Spark's commit protocol; ``overwrite``
-with dynamic partition overwrite replaces only the partitions a run
-produced, so a retried or refreshed run is idempotent.
+A table that is replaced as a whole is written beside the old one and takes
+its name when the write is done (``publish``); until then readers see the old
+one, and a write that is lost leaves it as it was. Dynamic partition overwrite
+replaces only the partitions a run produced. Either way a retried run is
+idempotent.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import posixpath
+import uuid
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tunelake.sources.readers import CSV_OPTIONS, delete_path
+from tunelake.sources.readers import CSV_OPTIONS, delete_path, hadoop, path_exists
+
+
+def _beside(path: str, kind: str) -> str:
+    parent, name = posixpath.split(path.rstrip("/"))
+    return posixpath.join(parent, f".{name}.{kind}-{uuid.uuid4().hex}")
+
+
+def _left_over(spark: SparkSession, path: str, kind: str) -> list[str]:
+    parent, name = posixpath.split(path.rstrip("/"))
+    p, fs = hadoop(spark, parent)
+    if not fs.exists(p):
+        return []
+    return sorted(st.getPath().toString() for st in fs.listStatus(p) if st.getPath().getName().startswith(f".{name}.{kind}-"))
+
+
+def settle(spark: SparkSession, path: str) -> None:
+    """Finish or undo a swap that was lost half-way: a table whose old form was
+    moved aside, with nothing in its place, gets it back."""
+    for old in _left_over(spark, path, "old"):
+        p, fs = hadoop(spark, old)
+        if path_exists(spark, path):
+            fs.delete(p, True)
+        else:
+            fs.rename(p, hadoop(spark, path)[0])
+
+
+def publish(spark: SparkSession, path: str, write: Callable[[str], object]) -> str:
+    """``write`` a table to a folder beside ``path`` and put it there when done.
+
+    One writer per table at a time. On file systems whose rename is atomic
+    readers see the old table or the new one, but for the moment between two
+    renames; where a run is lost in that moment, the next ``settle`` (every
+    ``publish`` begins with one) brings the old table back.
+    """
+    settle(spark, path)
+    for lost in _left_over(spark, path, "next"):
+        delete_path(spark, lost)
+    new, old = _beside(path, "next"), _beside(path, "old")
+    write(new)
+    target, fs = hadoop(spark, path)
+    fs.mkdirs(target.getParent())
+    if fs.exists(target):
+        fs.rename(target, hadoop(spark, old)[0])
+    if not fs.rename(hadoop(spark, new)[0], target):
+        settle(spark, path)
+        raise OSError(f"{new} could not be renamed to {path}")
+    delete_path(spark, old)
+    return path
+
+
+def mark_committed(spark: SparkSession, folder: str) -> None:
+    """Leave the mark of a finished job in the folder."""
+    p, fs = hadoop(spark, posixpath.join(folder, "_SUCCESS"))
+    fs.create(p, True).close()
+
+
+def is_committed(spark: SparkSession, folder: str) -> bool:
+    return path_exists(spark, posixpath.join(folder, "_SUCCESS"))
+
+
+def replace_folders(spark: SparkSession, staged: str, path: str, names: Sequence[str]) -> None:
+    """Put the named partition folders of ``staged`` in the place of those of
+    ``path``; a name that ``staged`` lacks goes. Each is whole at any time but
+    for the moment between two renames; done again, it ends the same."""
+    for name in names:
+        new, fs = hadoop(spark, posixpath.join(staged, name))
+        target = hadoop(spark, posixpath.join(path, name))[0]
+        if fs.exists(new):
+            fs.mkdirs(target.getParent())
+            fs.delete(target, True)
+            fs.rename(new, target)
+        else:
+            fs.delete(target, True)
+    delete_path(spark, staged)
+    mark_committed(spark, path)
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
@@ -29,17 +108,28 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
     """
     if partition_by:
         df = df.hint("rebalance", *partition_by)
-    writer = df.write.mode(mode)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", replace_partitions)
-    writer.parquet(path)
+
+    def write(to: str) -> None:
+        writer = df.write.mode(mode)
+        if partition_by:
+            writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", replace_partitions)
+        writer.parquet(to)
+
+    if mode == "overwrite" and not (partition_by and replace_partitions == "dynamic"):
+        return publish(df.sparkSession, path, write)
+    write(path)
     return path
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     """SNK2: headed CSV; text is quoted and kept byte for byte (no space
     trimming), so it reads back with ``read_text_csv``."""
-    df.write.mode(mode).options(**CSV_OPTIONS).option("header", "true").csv(path)
+    def write(to: str) -> None:
+        df.write.mode(mode).options(**CSV_OPTIONS).option("header", "true").csv(to)
+
+    if mode == "overwrite":
+        return publish(df.sparkSession, path, write)
+    write(path)
     return path
 
 

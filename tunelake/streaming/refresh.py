@@ -1,4 +1,6 @@
-"""STR1/STR2: refresh of the daily chart.
+"""STR1: refresh of the daily chart, from formatted Parquet deliveries
+(``refresh_charts``) or from raw files by way of the landing ledger
+(``refresh_versions``).
 
 The reference refreshes by re-downloading the chart and rebuilding it whole.
 Here new landing files are picked up by a file-source stream run with
@@ -34,7 +36,9 @@ from pyspark.sql import types as T
 
 from tunelake.operators import quality as Q
 from tunelake.session import shared_dir
-from tunelake.sources.readers import path_exists
+from tunelake.sources.ledger import ENTRY, FILE_COL, RUN_COL, entries, in_force
+from tunelake.sources.readers import committed, path_exists
+from tunelake.sources.sinks import publish, replace_folders
 
 BATCH_COL = "batch_id"
 
@@ -123,9 +127,62 @@ def replay_refresh(spark: SparkSession, charts: DataFrame, deliveries: int = 4,
     return read_silver(spark, silver, charts.schema)
 
 
+def refresh_versions(spark: SparkSession, book: str, read_rows: Callable[[DataFrame], DataFrame], state: str,
+                     targets: dict[str, Callable[[DataFrame], DataFrame]], date_col: str = "snapshot_date") -> int:
+    """Bring tables partitioned by date up to a ledger of files; returns the
+    number of dates rebuilt.
+
+    A stream reads the entries appended to the ledger ``book`` since the last
+    run (``trigger(availableNow=True)``); ``read_rows`` gives the typed rows of
+    a batch of entries, with their file and run, which go to a bronze table
+    under ``state`` by (run, date), so that a replayed batch replaces itself.
+    Then the dates of the new rows, and those of the rows that they replace,
+    are rebuilt in every target from the bronze rows whose entry is in force; a
+    date left without rows goes. The last run included is noted at the end: a
+    refresh that was lost before is made up for by the next one.
+    """
+    bronze, note = f"{state}/bronze", f"{state}/included"
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        (read_rows(batch.select("file", "run")).hint("rebalance", RUN_COL, date_col)
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(RUN_COL, date_col).parquet(bronze))
+
+    query = (spark.readStream.schema(ENTRY).json(book).writeStream.foreachBatch(process)
+             .option("checkpointLocation", f"{state}/checkpoint").trigger(availableNow=True).start())
+    query.awaitTermination()
+    if query.exception():
+        raise query.exception()
+    done = ""
+    if path_exists(spark, note):
+        done = spark.read.schema("run string").json(note).agg(F.max("run")).first()[0] or ""
+    taken = entries(spark, book)
+    new = taken.filter(F.col("run") > done)
+    last = new.agg(F.max("run")).first()[0]
+    if last is None or not path_exists(spark, bronze):
+        return 0
+    rows = spark.read.parquet(bronze)
+    dates = rows.filter(F.col(RUN_COL) > done).select(date_col)
+    again = taken.filter(F.col("run") <= done).join(new.select("file").distinct(), "file", "left_semi")
+    if not again.isEmpty():
+        keys = again.select(F.col("file").alias(FILE_COL), F.col("run").alias(RUN_COL))
+        dates = dates.unionByName(rows.join(keys, [FILE_COL, RUN_COL], "left_semi").select(date_col))
+    touched = dates.distinct().withColumnRenamed(date_col, "__date")
+    affected = in_force(rows.join(touched, F.col(date_col).eqNullSafe(F.col("__date")), "left_semi"), book).drop(FILE_COL, RUN_COL)
+    names = [r[0] for r in touched.select(F.concat(F.lit(f"{date_col}="), F.coalesce(
+        F.col("__date").cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__")))).collect()]  # the dates to rebuild
+    for path, rebuild in targets.items():
+        staged = f"{state}/staged/{last}"
+        (rebuild(affected).hint("rebalance", date_col).write.mode("overwrite").partitionBy(date_col)
+         .option("partitionOverwriteMode", "static").parquet(staged))
+        replace_folders(spark, staged, path, names)
+    publish(spark, note, lambda to: spark.range(1).select(F.lit(last).alias("run")).coalesce(1).write.json(to))
+    return len(names)
+
+
 def bootstrap_if_missing(spark: SparkSession, path: str, load: Callable[[], object]) -> bool:
-    """STR2: run ``load`` only when ``path`` does not exist yet."""
-    if path_exists(spark, path):
+    """STR2: run ``load`` only when there is no whole table at ``path``; what a
+    lost run has left is none."""
+    if committed(spark, path):
         return False
     load()
     return True
