@@ -142,3 +142,75 @@ def test_missing_predictions_count_as_not_positive(spark):
     df = spark.createDataFrame([(1, 1), (1, None), (0, None), (0, 1), (None, 1)], "label int, prediction int")
     m = M.binary_metrics(df).first()
     assert (m["accuracy"], m["precision"], m["recall"]) == (0.5, 0.5, 0.5)
+
+
+def test_oversample_hot_id_is_exact(spark):
+    """One id on a third of the rows, some of them alike, holds the cut of its class."""
+    from collections import Counter
+    import hashlib
+    rows_ = [("hot", k % 3, 1) for k in range(200)] + [(f"a{k}", 0, 1) for k in range(37)] + [(f"b{k}", 0, 0) for k in range(701)]
+    df = spark.createDataFrame(rows_, "id string, extra int, label int").repartition(5)
+    for seed in range(6):
+        got = Counter((r["id"], r["extra"], r["label"]) for r in M.oversample(df, "label", id_col="id", seed=seed, bucket_rows=20).collect())
+        key = lambda r: (hashlib.md5(f"{seed}:{r[0]}".encode()).hexdigest(), r[0], r[1])
+        ones = sorted((r for r in rows_ if r[2] == 1), key=key)
+        want = Counter(r for r in rows_ if r[2] == 0)
+        for k, r in enumerate(ones):
+            want[r] += 701 // 237 + (k < 701 % 237)
+        assert got == want
+
+
+def test_oversample_expands_a_tiny_class_in_pieces(spark):
+    df = spark.createDataFrame([(k, 0) for k in range(500)] + [(1000, 1)], "id long, label int")
+    out = M.oversample(df, "label", id_col="id", bucket_rows=40).filter("label = 1")
+    assert sorted(r["replica"] for r in out.collect()) == list(range(1, 501))
+
+
+def test_oversample_numbers_no_class(spark):
+    """No window over a class or an id: only over counts, and inside ranges of the rows at the cut."""
+    df = spark.createDataFrame([(k % 50, k, int(k % 7 == 0)) for k in range(400)], "id long, extra long, label int")
+    plan = M.oversample(df, "label", id_col="id", bucket_rows=30)._jdf.queryExecution().executedPlan().toString()
+    assert "row_number" not in plan
+
+
+def _naive_bayes(train, docs, smoothing, least):
+    import math
+    import re
+    from collections import Counter
+    words = lambda t: re.findall(r"[^\W_]+", (t or "").lower())
+    counts = [Counter(w for t, y in train if y == k for w in words(t)) for k in (0, 1)]
+    vocabulary = set(counts[0]) | set(counts[1])
+    total = [sum(c.values()) + smoothing * len(vocabulary) for c in counts]
+    weight = {w: round(1e6 * (math.log((counts[1][w] + smoothing) / total[1]) - math.log((counts[0][w] + smoothing) / total[0])))
+              for w in vocabulary}
+    weight = {w: v for w, v in weight.items() if abs(v) >= least * 1e6}
+    return [sum(weight.get(w, 0) for w in words(t)) for t in docs]
+
+
+def test_naive_bayes_equals_plain_counts(spark):
+    import random
+    rng = random.Random(4)
+    vocabulary = [f"w{k}" for k in range(30)] + ["É", "naïve", "x_y", "日本"]
+    text = lambda lean: " ".join(rng.choice(vocabulary[lean:lean + 20]) for _ in range(rng.randrange(12)))
+    train = [(text(14 * (k % 2)), k % 2) for k in range(80)] + [(None, 1), ("", 0), ("w1 w1", None)]
+    docs = [text(14 * (k % 2)) for k in range(40)] + [None, "", "never seen", "w1 " * 5000]
+    weights = M.naive_bayes_weights(spark.createDataFrame(train, "song_lyrics string, label int"))
+    frame = spark.createDataFrame(list(enumerate(docs)), "id long, song_lyrics string")
+    got = {r["id"]: r["scores"] for r in M.naive_bayes_scores(frame, weights, "id").collect()}
+    for n, (smoothing, least) in enumerate(M.NAIVE_BAYES_SETTINGS):
+        want = _naive_bayes(train, docs, smoothing, least)
+        assert all(abs(got[k][n] - s) <= (5000 if k == 43 else 12) for k, s in enumerate(want))
+
+
+def test_naive_bayes_beats_the_majority_guess(spark):
+    from tunelake.plans.catalogue import q_classifier_scores
+    preds = q_classifier_scores(spark, "/root/testdata/sf0.01")
+    f1 = M.binary_metrics(preds).first()["f1"]
+    always = M.binary_metrics(preds.drop("prediction").selectExpr("*", "1 as prediction")).first()["f1"]
+    assert f1 > always  # guessing the majority, 0, has an F1 of 0
+
+
+def test_naive_bayes_without_training_rows(spark):
+    none = spark.createDataFrame([], "song_lyrics string, label int")
+    frame = spark.createDataFrame([(1, "a b")], "id long, song_lyrics string")
+    assert M.naive_bayes_scores(frame, M.naive_bayes_weights(none), "id").first()["scores"] == [0] * len(M.NAIVE_BAYES_SETTINGS)

@@ -98,3 +98,32 @@ def test_observed_chain_counts_each_step_in_one_write(spark, tmp_dir):
     out.write.parquet(f"{tmp_dir}/chain")
     got = [(name, b.get["rows"], a.get["rows"]) for name, b, a in marks]
     assert got == [("slot", 4, 3), ("title", 3, 2)]
+
+
+def test_violation_report_equals_the_chain(spark):
+    import random
+    rng = random.Random(3)
+    some = lambda *v: rng.choice([None, *v])
+    data = [(f"s{k}", some("T", "U", "V"), some("A", "B"), some(1, 2, 3), some("ES", "FR"), some("2024-01-01", "2024-01-02"), k % 4)
+            for k in range(300)] + [("hot", "T", "A", 1, "ES", "2024-01-01", 9)] * 150
+    df = spark.createDataFrame(data, "spotify_id string, track_name string, artist_name string, daily_rank int, country string, "
+                                     "snapshot_date string, popularity int")
+    steps = [("named", Q.Where("track_name is not null")), ("slot", Q.unique_chart_slot), ("popular", Q.Where("popularity > 0")),
+             ("title", Q.unique_artist_title), ("again", Q.Unique(("artist_name",), ("popularity",)))]
+    want, current = [], df
+    for k, (name, step) in enumerate(steps, start=1):
+        after = step(current)
+        n, m = current.count(), after.count()
+        want.append((k, name, n, m, n - m))
+        current = after
+    report = Q.violation_report(df, steps)
+    assert sorted(map(tuple, report.collect())) == want
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") + plan.count("LocalRelation") == 1 and "Window" not in plan
+    assert sorted(map(tuple, Q.violation_report(df.limit(0), steps).collect())) == [(k, n, 0, 0, 0) for k, (n, _) in enumerate(steps, start=1)]
+
+
+def test_violation_report_wants_declared_constraints(spark):
+    import pytest
+    with pytest.raises(TypeError):
+        Q.violation_report(spark.range(3), [("x", lambda df: df)])

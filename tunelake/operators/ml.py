@@ -2,10 +2,10 @@
 
 Splits and samples hash a stable id with md5, so they do not move when the
 cluster or the partitioning changes. Oversampling is exact (every class
-reaches the majority size) and distributed: rows are numbered inside
-(class, hash range) groups and offset by a prefix sum over the small
-(class x range) count table, so no class is gathered in one task. The text
-classifier balances its classes by weights, which copies no text.
+reaches the majority size) and distributed: prefix sums over counts per hash
+tell at which id each class's extra copies end, so rows are not numbered, and
+neither a class nor an id is gathered in one task. The text classifiers
+balance their classes by weights, which copies no text.
 """
 
 from __future__ import annotations
@@ -77,6 +77,63 @@ def class_sizes(df: DataFrame, label_col: str) -> dict:
     return {r[0]: r[1] for r in rows}
 
 
+def _cuts(keyed: DataFrame, label_col: str, extra: dict, buckets: int) -> dict:
+    """Per class the hash key at which its first ``extra`` rows end, and how
+    many rows come before that key. Counts per hash range first, then counts
+    per key inside the one range that holds the cut."""
+    head = F.conv(F.substring("__key", 1, 8), 16, 10).cast("bigint")
+    wanted = {k: n for k, n in extra.items() if n}
+    if not wanted:
+        return {}
+    need = F.create_map(*[F.lit(x) for pair in wanted.items() for x in pair])[F.col(label_col)]
+    counted = (keyed.withColumn("__bucket", F.floor(head * F.lit(buckets) / F.lit(1 << 32)))
+               .filter(F.col(label_col).isin(*wanted)))
+
+    def reached(counts: DataFrame, start: Column, by: str) -> DataFrame:
+        """The first ``by`` of each class at which the running count reaches the cut."""
+        upto = F.sum("__n").over(Window.partitionBy(label_col).orderBy(by)) + start
+        return (counts.withColumn("__upto", upto).filter(F.col("__upto") >= need)
+                .groupBy(label_col).agg(F.min(F.struct(by, (F.col("__upto") - F.col("__n")).alias("before"))).alias("at")))
+
+    sizes = counted.groupBy(label_col, "__bucket").agg(F.count(F.lit(1)).alias("__n"))
+    at = {r[0]: (r["at"]["__bucket"], r["at"]["before"]) for r in reached(sizes, F.lit(0), "__bucket").collect()}  # a row per class
+    inside = F.create_map(*[F.lit(x) for k, (bucket, _) in at.items() for x in (k, bucket)])[F.col(label_col)]
+    before = F.create_map(*[F.lit(x) for k, (_, n) in at.items() for x in (k, n)])[F.col(label_col)]
+    keys = counted.filter(F.col("__bucket") == inside).groupBy(label_col, "__key").agg(F.count(F.lit(1)).alias("__n"))
+    return {r[0]: (r["at"]["__key"], r["at"]["before"]) for r in reached(keys, before, "__key").collect()}
+
+
+def _numbered(rows: DataFrame, order: Sequence[str], within: str) -> DataFrame:
+    """``rows`` with ``__rn``, their number from 1 within ``within`` by
+    ``order``. They are dealt by ranges of the order and numbered from the
+    sizes of the ranges before; equal rows go first to one row with a count,
+    and are numbered as a run."""
+    spark = rows.sparkSession
+    folded = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("__m"))
+    asc = [F.col(c).asc_nulls_first() for c in order]
+    path = shared_dir(spark, "numbered")
+    folded.repartitionByRange(within, *asc).withColumn("__part", F.spark_partition_id()).write.mode("overwrite").parquet(path)
+    dealt = spark.read.parquet(path)
+    parts = dealt.groupBy(within, "__part").agg(F.sum("__m").alias("__n"))
+    offset = F.sum("__n").over(Window.partitionBy(within).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))
+    parts = parts.select(within, "__part", F.coalesce(offset, F.lit(0)).alias("__offset"))
+    inside = Window.partitionBy(within, "__part").orderBy(*asc).rowsBetween(Window.unboundedPreceding, -1)
+    return (dealt.withColumn("__before", F.coalesce(F.sum("__m").over(inside), F.lit(0))).join(parts, [within, "__part"])
+            .withColumn("__before", F.col("__before") + F.col("__offset")).drop("__part", "__offset"))
+
+
+def _spread(df: DataFrame, first: Column, last: Column, col: str, most: int) -> DataFrame:
+    """A row for every number from ``first`` to ``last`` as ``col``; long
+    ranges are cut and dealt out before they are expanded."""
+    df = df.withColumns({"__first": first.cast("bigint"), "__last": last.cast("bigint")}).filter("__last >= __first")
+    short = df.filter(F.col("__last") - F.col("__first") < most)
+    long_ = (df.filter(F.col("__last") - F.col("__first") >= most)
+             .withColumn("__first", F.explode(F.sequence("__first", "__last", F.lit(most).cast("bigint"))))
+             .withColumn("__last", F.least("__last", F.col("__first") + (most - 1))).repartition("__first"))
+    return (short.unionByName(long_).withColumn(col, F.explode(F.sequence("__first", "__last")))
+            .drop("__first", "__last"))
+
+
 def oversample(df: DataFrame, label_col: str = "label", id_col: str | None = None,
                seed: int = S.SPLIT_SEED, replica_col: str = "replica", bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """ML4: replicate every class cyclically up to the majority class size.
@@ -84,10 +141,11 @@ def oversample(df: DataFrame, label_col: str = "label", id_col: str | None = Non
     Rows of a class are ordered by ``md5(seed:id)`` (then the other columns);
     with ``n`` rows and target ``N`` the first ``N mod n`` rows get
     ``N div n + 1`` copies and the rest ``N div n``, so each class ends with
-    exactly ``N`` rows. ``replica`` numbers the copies of a row from 1. Rows
-    are numbered in ranges of the hash, as many as the class sizes ask for.
-    A row without an id is ordered by its other columns; a row without a
-    label belongs to no class and is kept once.
+    exactly ``N`` rows. ``replica`` numbers the copies of a row from 1. Only
+    the id at which a class's extra copies end has its rows numbered; all
+    others know their copies from their hash. A row without an id is ordered
+    by its other columns; a row without a label belongs to no class and is
+    kept once.
     """
     id_col = id_col or df.columns[0]
     sizes = class_sizes(df, label_col)
@@ -95,25 +153,27 @@ def oversample(df: DataFrame, label_col: str = "label", id_col: str | None = Non
     if not sizes:
         return once
     target = max(sizes.values())
-    buckets = -(-target // bucket_rows)
-    size_of = F.create_map(*[F.lit(x) for pair in sizes.items() for x in pair])
-    key = hash_order_key(null_safe_id(df, id_col), seed)
-    head = F.conv(F.substring("__key", 1, 8), 16, 10).cast("bigint")
-    tagged = (df.filter(F.col(label_col).isNotNull()).withColumn("__key", key)
-                .withColumn("__bucket", F.floor(head * F.lit(buckets) / F.lit(1 << 32))))
-    running = Window.partitionBy(label_col).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (tagged.groupBy(label_col, "__bucket").agg(F.count(F.lit(1)).alias("__n"))
-                     .select(label_col, "__bucket", F.coalesce(F.sum("__n").over(running), F.lit(0)).alias("__offset")))
-    tie = [F.col(c).asc_nulls_first() for c in df.columns if c != label_col]
-    numbered = tagged.withColumn(
-        "__rn", F.row_number().over(Window.partitionBy(label_col, "__bucket").orderBy("__key", *tie)))
-    numbered = numbered.join(offsets, [label_col, "__bucket"])
-    class_n = size_of[F.col(label_col)]
-    copies = (F.floor(F.lit(target) / class_n)
-              + F.when(F.col("__offset") + F.col("__rn") <= F.pmod(F.lit(target), class_n), 1).otherwise(0)).cast("int")
-    return (numbered.withColumn(replica_col, F.explode(F.sequence(F.lit(1), copies)))
-                    .select(*df.columns, replica_col)
-                    .unionByName(once.filter(F.col(label_col).isNull())))
+    extra = {k: target % n for k, n in sizes.items()}
+    keyed = df.filter(F.col(label_col).isNotNull()).withColumn("__key", hash_order_key(null_safe_id(df, id_col), seed))
+    cuts = _cuts(keyed, label_col, extra, -(-target // bucket_rows))
+    base = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, target // n)])[F.col(label_col)]
+    if cuts:
+        cut = F.create_map(*[F.lit(x) for k, (key, _) in cuts.items() for x in (k, key)])[F.col(label_col)]
+        left = F.create_map(*[F.lit(x) for k, (_, before) in cuts.items() for x in (k, extra[k] - before)])[F.col(label_col)]
+    else:
+        cut, left = F.lit(None).cast("string"), F.lit(0)
+    at_cut = F.coalesce(F.col("__key") == cut, F.lit(False))
+    plain = keyed.filter(~at_cut).withColumn("__copies", base + F.coalesce(F.col("__key") < cut, F.lit(False)).cast("int"))
+    out = _spread(plain.drop("__key"), F.lit(1), F.col("__copies"), replica_col, bucket_rows)
+    if cuts:
+        tie = [c for c in df.columns if c != label_col]
+        runs = _numbered(keyed.filter(at_cut).drop("__key"), tie, label_col)
+        more = F.greatest(F.lit(0), F.least(F.col("__m"), left - F.col("__before")))  # rows of the run with an extra copy
+        each = _spread(runs.withColumn("__more", more), F.lit(1), F.col("__m"), "__nth", bucket_rows)
+        each = each.withColumn("__copies", base + (F.col("__nth") <= F.col("__more")).cast("int"))
+        out = out.unionByName(_spread(each, F.lit(1), F.col("__copies"), replica_col, bucket_rows), allowMissingColumns=True)
+    out = out.select(*df.columns, F.col(replica_col).cast("int").alias(replica_col))
+    return out.unionByName(once.filter(F.col(label_col).isNull()))
 
 
 def sample_rows(df: DataFrame, n: int = 5, id_col: str | None = None, seed: int = S.SPLIT_SEED) -> DataFrame:
@@ -165,6 +225,105 @@ def confusion_matrix(df: DataFrame, label_col: str = "label", pred_col: str = "p
     )).alias("c")).select("c.label", "c.prediction", "c.count")
 
 
+# Words of the relational classifier: runs of letters and digits.
+WORD_PATTERN = r"([\p{L}\p{N}]+)"
+
+# Weights are whole numbers of this fraction of a natural logarithm, so sums do
+# not depend on their order.
+LOG_UNIT = 1_000_000
+
+
+def word_counts(df: DataFrame, text_col: str, by: Sequence[str]) -> DataFrame:
+    """(by..., token, n): how often each lower-cased word occurs."""
+    words = F.regexp_extract_all(F.lower(F.coalesce(F.col(text_col), F.lit(""))), F.lit(WORD_PATTERN), F.lit(1))
+    return (df.select(*by, F.explode(words).alias("token")).groupBy(*by, "token").agg(F.count(F.lit(1)).alias("n")))
+
+
+# Settings compared on the validation part: smoothing, and the least log-odds
+# (either way) of a word that counts; weak words outvote the telling ones in
+# long texts.
+NAIVE_BAYES_SETTINGS = ((1.0, 0.0), (1.0, 2.0), (1.0, 4.0), (0.1, 2.0), (0.1, 4.0), (0.1, 6.0))
+
+
+def naive_bayes_weights(train: DataFrame, text_col: str = "song_lyrics", label_col: str = "label",
+                        settings: Sequence[tuple[float, float]] = NAIVE_BAYES_SETTINGS) -> DataFrame:
+    """ML6 as relations: multinomial naive Bayes of a 0/1 label, its classes
+    weighed equally. One row per word of the training texts: token, and
+    weights, for each setting (smoothing, least) its smoothed log-odds for
+    class 1 in units of 1/``LOG_UNIT``, 0 where they are below ``least``.
+
+    Words and totals are aggregates (partial before the shuffle). The counts
+    are written once in the shared folder; the totals are one row of them. Rows
+    without a label do not count.
+    """
+    labelled = train.filter(F.col(label_col).isin(0, 1))
+    counts = (word_counts(labelled, text_col, [label_col]).groupBy("token")
+              .agg(*[F.sum(F.when(F.col(label_col) == k, F.col("n")).otherwise(0)).alias(f"n{k}") for k in (0, 1)]))
+    path = shared_dir(train.sparkSession, "word_counts")
+    counts.write.mode("overwrite").parquet(path)
+    counts = train.sparkSession.read.parquet(path)
+    *totals, words = counts.agg(F.sum("n0"), F.sum("n1"), F.count(F.lit(1))).first()
+
+    def weight(smoothing: float, least: float) -> Column:
+        share = [F.log((F.col(f"n{k}") + F.lit(smoothing)) / F.lit((totals[k] or 0) + smoothing * words)) for k in (0, 1)]
+        whole = F.round((share[1] - share[0]) * F.lit(float(LOG_UNIT))).cast("bigint")
+        return F.when(F.abs(whole) >= F.lit(int(least * LOG_UNIT)), whole).otherwise(0)
+
+    return counts.select("token", F.array(*[weight(*s) for s in settings]).alias("weights"))
+
+
+def naive_bayes_scores(docs: DataFrame, weights: DataFrame, id_col: str, text_col: str = "song_lyrics",
+                       n_settings: int = len(NAIVE_BAYES_SETTINGS)) -> DataFrame:
+    """``docs`` without the text, with scores: for each setting the weights of
+    its words, summed (words without a weight count nothing). Rows are told
+    apart by ``id_col``, which must be unique and not NULL."""
+    words = word_counts(docs, text_col, [id_col])
+    sums = [F.sum(F.col("n") * F.col("weights")[k]).alias(f"s{k}") for k in range(n_settings)]
+    scored = words.join(weights, "token").groupBy(id_col).agg(*sums)
+    rest = docs.drop(text_col).join(scored, id_col, "left")
+    return rest.select(*docs.drop(text_col).columns, F.array(*[F.coalesce(f"s{k}", F.lit(0)) for k in range(n_settings)]).alias("scores"))
+
+
+def evaluate_naive_bayes(data: DataFrame, id_col: str, text_col: str = "song_lyrics", label_col: str = "label",
+                         seed: int = S.SPLIT_SEED, eval_split: str = "test",
+                         settings: Sequence[tuple[float, float]] = NAIVE_BAYES_SETTINGS) -> DataFrame:
+    """JOB15 without a library model: split, weights from the training part,
+    the setting of the best F1 on the validation part (the first of equals),
+    and the part to judge: (id, label, score, prediction). The prediction is 1
+    where the score is above 0; a tie, as of a text without telling words, is
+    0. All settings are scored in one pass, which is written once."""
+    split = stable_split(data.select(id_col, text_col, label_col), id_col, seed)
+    weights = naive_bayes_weights(split.filter(F.col("split") == "train"), text_col, label_col, settings)
+    judged = split.filter(F.col("split").isin("validation", eval_split))
+    scored, path = naive_bayes_scores(judged, weights, id_col, text_col, len(settings)), shared_dir(data.sparkSession, "scores")
+    scored.write.mode("overwrite").parquet(path)
+    scored = data.sparkSession.read.parquet(path)
+    positive, valid = F.col(label_col) == 1, scored.filter((F.col("split") == "validation") & F.col(label_col).isNotNull())
+    f1 = []
+    for k in range(len(settings)):
+        said = F.col("scores")[k] > 0
+        f1.append(F.try_divide(2 * F.count_if(positive & said), F.count_if(positive) + F.count_if(said)).alias(f"f{k}"))
+    reached = [x or 0.0 for x in valid.agg(*f1).first()]  # one row
+    best = reached.index(max(reached))
+    score = F.col("scores")[best]
+    return (scored.filter(F.col("split") == eval_split)
+            .select(id_col, label_col, score.alias("score"), argmax_prediction(F.lit(0), score).alias("prediction")))
+
+
+def classifier_table(data: DataFrame, predictions: DataFrame, label_col: str = "label") -> DataFrame:
+    """JOB15's report as (section, item, value): class counts, confusion
+    matrix and metrics."""
+    counts = class_counts(data, label_col).select(
+        F.lit("class").alias("section"), F.col(label_col).cast("string").alias("item"), F.col("count").cast("double").alias("value"))
+    cells = confusion_matrix(predictions, label_col).select(
+        F.lit("confusion"), F.concat(F.col("label").cast("string"), F.lit(" as "), F.col("prediction").cast("string")),
+        F.col("count").cast("double"))
+    names = ["accuracy", "precision", "recall", "f1"]
+    metrics = binary_metrics(predictions, label_col).select(F.explode(F.array(
+        *[F.struct(F.lit(n).alias("item"), F.round(n, 6).alias("value")) for n in names])).alias("m"))
+    return counts.union(cells).union(metrics.select(F.lit("metric"), "m.item", "m.value"))
+
+
 # Words in any script: Java's \\W is ASCII without the flag.
 TOKEN_GAPS = r"(?U)\W+"
 

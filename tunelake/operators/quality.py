@@ -10,7 +10,7 @@ columns, which makes the survivor deterministic.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
-from functools import reduce
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
@@ -98,26 +98,69 @@ def trust_lyrics(df: DataFrame,
     return keep_first(drop_nulls(df.select(*columns), required), [id_col], [order_col])
 
 
+@dataclass(frozen=True)
+class Unique:
+    """One row per key: the first by ``order``, then by all other columns."""
+    keys: tuple[str, ...]
+    order: tuple[str, ...]
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        return keep_first(df, list(self.keys), list(self.order))
+
+
+@dataclass(frozen=True)
+class Where:
+    """Rows for which a SQL condition is true."""
+    condition: str
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        return df.filter(self.condition)
+
+
+# What the chart constraints are to a report.
+unique_chart_slot.constraint = Unique(("snapshot_date", "country", "daily_rank"), ("track_name",))
+unique_artist_title.constraint = Unique(("artist_name", "country", "track_name", "snapshot_date"), ("track_name",))
+
+
 def violation_report(df: DataFrame,
                      steps: Sequence[tuple[str, Callable[[DataFrame], DataFrame]]]) -> DataFrame:
-    """Rows in, kept and removed per constraint of a chain (AGG9).
-
-    Each step's row comes from one aggregate over the union of its input and
-    output; no driver round trip, no join.
+    """Rows in, kept and removed per constraint of a chain (AGG9), in one pass
+    over the table.
+
+    A row carries itself while it is alive, and how many rows it stands for
+    at each step so far. A ``Where`` ends rows; a ``Unique`` folds the living
+    rows of a key to the first one (a minimum, so every task folds before the
+    shuffle and no key is gathered) and all others to one that only counts.
+    Later steps see survivors alone; the last aggregate sums the counts. Steps
+    are ``Unique``, ``Where`` or functions that name one as ``constraint``;
+    others raise. NULL keys are keys, as in ``keep_first``.
     """
-    rows = []
-    current = df
-    for order, (name, step) in enumerate(steps, start=1):
-        nxt = step(current)
-        tagged = (current.select(F.lit(1).alias("i"), F.lit(0).alias("k"))
-                  .unionByName(nxt.select(F.lit(0).alias("i"), F.lit(1).alias("k"))))
-        rows.append(tagged.agg(F.sum("i").cast("bigint").alias("rows_in"),
-                               F.sum("k").cast("bigint").alias("rows_kept"))
-                    .select(F.lit(order).alias("step"), F.lit(name).alias("constraint_name"),
-                            "rows_in", "rows_kept",
-                            (F.col("rows_in") - F.col("rows_kept")).alias("rows_removed")))
-        current = nxt
-    return reduce(DataFrame.unionByName, rows)
+    rules = [(name, getattr(step, "constraint", step)) for name, step in steps]
+    for name, rule in rules:
+        if not isinstance(rule, (Unique, Where)):
+            raise TypeError(f"{name}: not a Unique or Where constraint")
+    row, counts = "__row", ["__n0"]
+    current = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(row), F.lit(1).cast("bigint").alias("__n0"))
+    for k, (_, rule) in enumerate(rules, start=1):
+        alive = F.col(row).isNotNull()
+        if isinstance(rule, Where):
+            flat = current.select(*counts, row, f"{row}.*")
+            current = flat.select(*counts, F.when(alive & F.expr(rule.condition), F.col(row)).alias(row))
+        else:
+            first = list(dict.fromkeys([*rule.order, *[c for c in df.columns if c not in rule.keys], *rule.keys]))
+            ordered = F.struct(*[F.col(row)[c].alias(c) for c in first])
+            key = F.when(alive, F.struct(*[F.col(row)[c].alias(c) for c in rule.keys]))
+            folded = (current.groupBy(key.alias("__key"))
+                      .agg(F.min(F.when(alive, ordered)).alias("__first"), *[F.sum(c).alias(c) for c in counts]))
+            current = folded.select(*counts, F.when(F.col("__first").isNotNull(), F.struct(
+                *[F.col("__first")[c].alias(c) for c in df.columns])).alias(row))
+        counts.append(f"__n{k}")
+        current = current.withColumn(counts[-1], F.col(row).isNotNull().cast("bigint"))
+    sums = current.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counts])
+    rows = [F.struct(F.lit(k).alias("step"), F.lit(name).alias("constraint_name"), F.col(counts[k - 1]).alias("rows_in"),
+                     F.col(counts[k]).alias("rows_kept"), (F.col(counts[k - 1]) - F.col(counts[k])).alias("rows_removed"))
+            for k, (name, _) in enumerate(rules, start=1)]
+    return sums.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
 def observed_chain(df: DataFrame, steps: Sequence[tuple[str, Callable[[DataFrame], DataFrame]]],

@@ -312,6 +312,20 @@ def q_text_classifier(spark, sf):
     return preds.select("doc_id", "label", "prediction")
 
 
+def _labelled_texts(spark, sf):
+    labels = _t(spark, sf, "labels").select("doc_id", F.col("toxic").alias("label"))
+    return labels.join(_t(spark, sf, "documents").select("doc_id", F.col("text").alias("song_lyrics")), "doc_id")
+
+
+def q_classifier_scores(spark, sf):
+    return M.evaluate_naive_bayes(_labelled_texts(spark, sf), "doc_id")
+
+
+def q_classifier_report(spark, sf):
+    data = _labelled_texts(spark, sf)
+    return M.classifier_table(data, M.evaluate_naive_bayes(data, "doc_id"))
+
+
 DOC_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -574,6 +588,8 @@ QUERIES: dict[str, Query] = {
     "join_string_keys": q_join_string_keys,
     "argmax_labels": q_argmax_labels,
     "trusted_lyrics": q_trusted_lyrics,
+    "classifier_scores": q_classifier_scores,
+    "classifier_report": q_classifier_report,
     "landing_increment": q_landing_increment,
     "refresh_raw_charts": q_refresh_raw_charts,
     "bootstrap_charts": q_bootstrap_charts,
@@ -704,6 +720,25 @@ def _new_entries_sql(source: str, date_expr: str, song_expr: str) -> str:
                                                      AND q.song_id = c.song_id)"""
 
 
+_SCORES_SQL = f"""
+docs AS (SELECT l.doc_id, l.toxic AS label, d.text, {_md5_bucket('l.doc_id', M.SPLIT_BUCKETS)} AS place
+         FROM labels l JOIN documents d ON l.doc_id = d.doc_id),
+words AS (SELECT doc_id, label, place, unnest(regexp_extract_all(lower(coalesce(text, '')), '[\\p{{L}}\\p{{N}}]+')) AS token FROM docs),
+counts AS (SELECT token, CAST(count_if(label = 0) AS BIGINT) AS n0, CAST(count_if(label = 1) AS BIGINT) AS n1
+           FROM words WHERE place < 7000 AND label IN (0, 1) GROUP BY token),
+totals AS (SELECT sum(n0) AS t0, sum(n1) AS t1, count(*) AS v FROM counts),
+settings(k, a, least) AS (VALUES {', '.join(f'({k}, CAST({a} AS DOUBLE), CAST({m} AS DOUBLE))' for k, (a, m) in enumerate(M.NAIVE_BAYES_SETTINGS))}),
+weights AS (SELECT * FROM (
+    SELECT k, token, least, CAST(round((ln((n1 + a) / (t1 + a * v)) - ln((n0 + a) / (t0 + a * v))) * {M.LOG_UNIT}.0) AS BIGINT) AS weight
+    FROM counts, totals, settings) WHERE abs(weight) >= least * {M.LOG_UNIT}),
+sums AS (SELECT k, doc_id, CAST(sum(weight) AS BIGINT) AS score FROM words JOIN weights USING (token) WHERE place >= 7000 GROUP BY k, doc_id),
+scored AS (SELECT s.k, docs.doc_id, label, place, coalesce(score, 0) AS score
+           FROM docs CROSS JOIN settings s LEFT JOIN sums ON docs.doc_id = sums.doc_id AND s.k = sums.k WHERE place >= 7000),
+chosen AS (SELECT k FROM scored WHERE place < 8500 GROUP BY k
+           ORDER BY coalesce(2.0 * count_if(label = 1 AND score > 0) / nullif(count_if(label = 1) + count_if(score > 0), 0), 0) DESC, k LIMIT 1),
+p AS (SELECT doc_id, label, score, CASE WHEN score > 0 THEN 1 ELSE 0 END AS prediction FROM scored JOIN chosen USING (k) WHERE place >= 8500)"""
+
+
 def _landing_charts_sql(raw: str) -> str:
     return f"""
         WITH raw AS ({raw}),
@@ -910,6 +945,16 @@ ORACLE_SQL: dict[str, str] = {
         SELECT track_id, track_name, artists AS artist_name, album_name, {_typed(S.TRACKS_SPEC[4:])}
         FROM raw WHERE track_id IS NOT NULL AND track_name IS NOT NULL""",
     "landing_charts": _landing_charts_sql(R.LANDING_CHARTS_SQL),
+    "classifier_scores": f"WITH {_SCORES_SQL} SELECT doc_id, label, score, prediction FROM p",
+    "classifier_report": f"""
+        WITH {_SCORES_SQL}, {_CONFUSION}
+        SELECT 'class' AS section, CAST(label AS VARCHAR) AS item, CAST(count(*) AS DOUBLE) AS value FROM docs GROUP BY label
+        UNION ALL SELECT 'confusion', '1 as 1', tp FROM cnt UNION ALL SELECT 'confusion', '0 as 1', fp FROM cnt
+        UNION ALL SELECT 'confusion', '1 as 0', fn FROM cnt UNION ALL SELECT 'confusion', '0 as 0', tn FROM cnt
+        UNION ALL SELECT 'metric', 'accuracy', {_rnd(_ratio('tp + tn', 'tp + tn + fp + fn'), 6)} FROM cnt
+        UNION ALL SELECT 'metric', 'precision', {_rnd(_ratio('tp', 'tp + fp'), 6)} FROM cnt
+        UNION ALL SELECT 'metric', 'recall', {_rnd(_ratio('tp', 'tp + fn'), 6)} FROM cnt
+        UNION ALL SELECT 'metric', 'f1', {_rnd(_ratio('2 * tp', '2 * tp + fp + fn'), 6)} FROM cnt""",
     "landing_increment": _landing_charts_sql(_MONTHLY_CHARTS_SQL),
     "refresh_raw_charts": _landing_charts_sql(_MONTHLY_CHARTS_SQL),
     "bootstrap_charts": f"""
