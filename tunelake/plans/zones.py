@@ -10,9 +10,10 @@ only the dates it produced), so a re-run after a failure is idempotent.
 from __future__ import annotations
 
 import logging
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +31,18 @@ log = logging.getLogger(__name__)
 VARIANTS = ("script", "notebook", "strict")
 
 
+# Writes that are submitted at a time: each is a job or two of its own, and
+# small ones leave most of a cluster idle.
+WRITERS = 4
+
+
+def _together(jobs: Sequence[Callable[[], object]]) -> list:
+    """Run independent jobs side by side; the first error is raised once all
+    have ended."""
+    with ThreadPoolExecutor(max_workers=WRITERS) as pool:
+        return [f.result() for f in [pool.submit(job) for job in jobs]]
+
+
 @dataclass
 class ZoneReport:
     written: dict[str, str] = field(default_factory=dict)
@@ -149,17 +162,20 @@ def format_zone(spark: SparkSession, layout: manifest.ZoneLayout, variant: str =
     """JOB1-JOB3 (+SRC8 dispatch, STR1 manifest filter)."""
     report = ZoneReport()
     routed = manifest.dispatch(readers.list_files(spark, posixpath_join(layout.root, "landing")))
-    for spec in manifest.datasets_to_refresh(update):
+
+    def run(spec: manifest.DatasetSpec) -> None:
         paths = routed.get(spec.name)
         if not paths:
             log.warning("no landing file for %s", spec.name)
-            continue
+            return
         raw, before = Q.observe_counts(_read_landing(spark, layout, paths, spec), f"{spec.name}_in")
         out, after = Q.observe_counts(_format(raw, spec.kind, variant), f"{spec.name}_out")
         partition = ["snapshot_date"] if (spec.kind == "charts" and partition_charts) else None
         path = layout.formatted(spec.name)
         sinks.write_parquet(out, path, partition_by=partition)
         report.add(spec.name, path, before, after)
+
+    _together([partial(run, spec) for spec in manifest.datasets_to_refresh(update)])
     if not update and report.written:
         sinks.mark_committed(spark, posixpath_join(layout.root, "formatted"))
     return report
@@ -289,11 +305,12 @@ def analytics_zone(spark: SparkSession, layout: manifest.ZoneLayout, zone: str =
         if "snapshot_year" not in charts.columns and "snapshot_date" in charts.columns:
             dated = C.add_date_parts(charts)
         results["chart_trends_over_time"] = A.trends_over_time(dated)
-    for name, df in results.items():
-        if df is None:  # FLT7: a guarded analysis whose columns are absent
-            log.warning("analysis %s skipped: its columns are absent", name)
-            continue
-        report.add(name, sinks.write_csv(df, layout.analytics(name)))
+    for name in [n for n, df in results.items() if df is None]:  # FLT7: a guarded analysis whose columns are absent
+        log.warning("analysis %s skipped: its columns are absent", name)
+        del results[name]
+    _together([partial(sinks.write_csv, df, layout.analytics(name)) for name, df in results.items()])
+    for name in results:
+        report.add(name, layout.analytics(name))
     for df in cached:
         df.unpersist()
     if lyrics is not None and tracks is not None:
