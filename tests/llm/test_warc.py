@@ -8,6 +8,7 @@ import random
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from tunelake.llm import warc
 from tunelake.llm.queries import ORACLE_SQL, op4_warc_normaliser
@@ -78,3 +79,16 @@ def test_odd_rows(spark, monkeypatch):
     small = {r["page_id"]: r["record_type"] for r in warc.archive_pages(pages_of(spark, rows).filter("page_id < 9"), min_bytes=1).collect()}
     assert small == {1: "revisit", 2: "response", 3: "response", 4: "response"}
     assert warc.archive_pages(pages_of(spark, rows).limit(0)).count() == 0
+
+
+def test_read_back_is_dealt_by_bytes(spark, tmp_path, monkeypatch):
+    """Many archive bytes behind few index lines still make many tasks."""
+    import random
+    monkeypatch.setattr(warc, "READ_BYTES", 20_000)
+    rng = random.Random(6)
+    pages = spark.createDataFrame([(i, f"http://x/{i}", "".join(chr(rng.randrange(33, 126)) for _ in range(3000))) for i in range(200)],
+                                  "page_id long, url string, html string")
+    back = warc.archive_pages(pages)
+    assert back.rdd.getNumPartitions() >= 10
+    tasks = back.select(F.spark_partition_id().alias("p")).distinct().count()
+    assert tasks >= 8 and back.count() == 200

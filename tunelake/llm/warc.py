@@ -338,10 +338,13 @@ def _reader(with_payload: bool):
 
 def read_records(index: DataFrame, *, with_payload: bool = True) -> DataFrame:
     """RECORD rows of the page records in ``index``. A revisit carries its
-    full payload's size and digest but no payload."""
+    full payload's size and digest but no payload. The work is dealt by the
+    bytes of the archives, of which the index lines say nothing by their own
+    size: as many parts as ``READ_BYTES`` go into them."""
     ship(index.sparkSession)
     rows = index.filter(F.col("type").isin("response", "revisit")).withColumn("part", F.floor(F.col("offset") / READ_BYTES))
-    return (rows.repartition("path", "part").sortWithinPartitions("path", "offset").select("path", "offset", "length")
+    n = 1 + (rows.agg(F.sum("length")).first()[0] or 0) // READ_BYTES
+    return (rows.repartition(n, "path", "part").sortWithinPartitions("path", "offset").select("path", "offset", "length")
             .mapInArrow(_reader(with_payload), RECORD))
 
 
