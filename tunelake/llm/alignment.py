@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tunelake.llm import bpe
-from tunelake.llm.common import fresh, quoted, ship, store
+from tunelake.llm.common import fresh, most_frequent, quoted, ship, store
 
 # Tokens of the first tokenizer whose ends are in a dictionary at a time.
 BLOCK_TOKENS = 1 << 16
@@ -61,14 +61,27 @@ def piece_tokens(model: sentencepiece.SentencePieceProcessor) -> list[bytes]:
     return [bytes([int(p[3:5], 16)]) if model.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
 
 
-def _sides(named: list[str], cuts: list[int], last: int) -> list[str]:
-    """One tokenizer's ids of every group that ends at ``cuts``, the first of
-    which begins after index ``last``."""
-    sides = list(map(named.__getitem__, cuts))
-    for k in np.flatnonzero(np.diff(np.array([last, *cuts])) > 1).tolist():  # groups of several tokens
-        begin = (cuts[k - 1] if k else last) + 1
-        sides[k] = ",".join(named[begin:cuts[k] + 1])
-    return sides
+class TokenBytes:
+    """The bytes of every id, and whether a sequence of ids spells a text."""
+
+    def __init__(self, tokens: list[bytes]):
+        self.sizes = np.array(list(map(len, tokens)), np.int64)
+        self.begins = self.sizes.cumsum() - self.sizes
+        self.all = np.frombuffer(b"".join(tokens), np.uint8)
+
+    def spell(self, ids: np.ndarray, text: bytes) -> bool:
+        want, at = np.frombuffer(text, np.uint8), 0
+        if self.sizes[ids].sum() != len(want):
+            return False
+        for lo in range(0, len(ids), BLOCK_TOKENS):
+            part = ids[lo:lo + BLOCK_TOKENS]
+            sizes = self.sizes[part]
+            ends = sizes.cumsum()
+            place = np.arange(ends[-1]) + np.repeat(self.begins[part] - ends + sizes, sizes)
+            if not np.array_equal(self.all[place], want[at:at + ends[-1]]):
+                return False
+            at += ends[-1]
+        return True
 
 
 class Aligner:
@@ -78,9 +91,9 @@ class Aligner:
     def __init__(self, spec_a: str, model_b: bytes):
         self.encode_a = PlainEncoder(spec_a).encode
         self.encode_b = sentencepiece.SentencePieceProcessor(model_proto=model_b)
-        self.bytes_a, self.bytes_b = byte_level_tokens(spec_a), piece_tokens(self.encode_b)
-        self.sizes_a, self.sizes_b = (np.array(list(map(len, v)), np.int64) for v in (self.bytes_a, self.bytes_b))
-        self.names_a, self.names_b = ([str(i) for i in range(len(v))] for v in (self.bytes_a, self.bytes_b))
+        tokens_a, tokens_b = byte_level_tokens(spec_a), piece_tokens(self.encode_b)
+        self.bytes_a, self.bytes_b, self.n_b = TokenBytes(tokens_a), TokenBytes(tokens_b), len(tokens_b)
+        self.names = [str(i) for i in range(max(len(tokens_a), len(tokens_b)))]
 
     def tokens(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """Ids of both for a space and ``text``; none where the text is null or
@@ -90,38 +103,38 @@ class Aligner:
             return none, none
         whole = b" " + text.encode()
         a = self.encode_a(" " + text).astype(np.int64)
-        if b"".join(map(self.bytes_a.__getitem__, a.tolist())) != whole:
-            return none, none
         b = np.array(self.encode_b.encode(text, num_threads=1), np.int64)
-        if b"".join(map(self.bytes_b.__getitem__, b.tolist())) != whole:
-            return none, none
-        return a, b
+        return (a, b) if self.bytes_a.spell(a, whole) and self.bytes_b.spell(b, whole) else (none, none)
 
-    def cuts(self, a: np.ndarray, b: np.ndarray) -> Iterator[tuple[list[int], list[int]]]:
+    def cuts(self, a: np.ndarray, b: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Indices of the tokens of both that end at the common ends, in order,
         block by block."""
-        ends_a, ends_b, from_b = self.sizes_a[a].cumsum(), self.sizes_b[b].cumsum(), 0
+        ends_a, ends_b, from_b = self.bytes_a.sizes[a].cumsum(), self.bytes_b.sizes[b].cumsum(), 0
         for lo in range(0, len(a), BLOCK_TOKENS):
             part_a = ends_a[lo:lo + BLOCK_TOKENS]
             upto_b = int(np.searchsorted(ends_b, part_a[-1], "right"))
             at_a = dict(zip(part_a.tolist(), range(lo, lo + len(part_a))))
             at_b = dict(zip(ends_b[from_b:upto_b].tolist(), range(from_b, upto_b)))
             common = sorted(at_a.keys() & at_b.keys())
-            yield list(map(at_a.__getitem__, common)), list(map(at_b.__getitem__, common))
+            yield tuple(np.fromiter(map(at.__getitem__, common), np.int64, len(common)) for at in (at_a, at_b))
             from_b = upto_b
 
     def align(self, text: str | None) -> tuple[int, int, int, str, np.ndarray, np.ndarray]:
         """(tokens of a, of b, groups, the groups as ``a1,a2|b1;a3|b2,b3``,
         distinct linked pairs as a * size of b + b, how often each)."""
         a, b = self.tokens(text)
-        named_a, named_b = (list(map(names.__getitem__, ids.tolist())) for names, ids in ((self.names_a, a), (self.names_b, b)))
-        groups, linked, last_a, last_b = [], [], -1, -1
-        for cut_a, cut_b in self.cuts(a, b):
-            linked.append(a[cut_a] * len(self.bytes_b) + b[cut_b])
-            groups += map("|".join, zip(_sides(named_a, cut_a, last_a), _sides(named_b, cut_b, last_b)))
-            if cut_a:
-                last_a, last_b = cut_a[-1], cut_b[-1]
-        pairs, times = np.unique(np.concatenate(linked or [a]), return_counts=True)
+        cuts = list(self.cuts(a, b))
+        cut_a, cut_b = (np.concatenate([c[k] for c in cuts] or [a]) for k in (0, 1))
+        pairs, of, times = np.unique(a[cut_a] * self.n_b + b[cut_b], return_inverse=True, return_counts=True)
+        # a group is written as its last tokens, unless it has more
+        written = [f"{x}|{y}" for x, y in zip((pairs // self.n_b).tolist(), (pairs % self.n_b).tolist())]
+        groups = list(map(written.__getitem__, of.tolist()))
+        first_a, first_b = (np.concatenate(([0], c[:-1] + 1)) if len(c) else c for c in (cut_a, cut_b))
+        more = np.flatnonzero((first_a < cut_a) | (first_b < cut_b))
+        name, ids_a, ids_b = self.names.__getitem__, a.tolist(), b.tolist()
+        places = (x[more].tolist() for x in (first_a, cut_a + 1, first_b, cut_b + 1))
+        for k, i, j, x, y in zip(more.tolist(), *places):
+            groups[k] = ",".join(map(name, ids_a[i:j])) + "|" + ",".join(map(name, ids_b[x:y]))
         return len(a), len(b), len(groups), ";".join(groups), pairs, times
 
 
@@ -190,19 +203,6 @@ def link_counts(aligned: DataFrame, n_b: int) -> DataFrame:
     return counts.join(most, "b").select("pair", "n", (F.col("n") == F.col("most")).alias("best"))
 
 
-def _most_frequent(links: DataFrame) -> DataFrame:
-    """The pairs whose count has more bits than that of any pair left out, as
-    many as fit ``HEAD_PAIRS``."""
-    sizes = dict(links.groupBy(F.length(F.bin("n")).alias("bits")).count().collect())  # at most 63 rows
-    held, least = 0, 64
-    for bits in sorted(sizes, reverse=True):
-        held += sizes[bits]
-        if held > HEAD_PAIRS:
-            break
-        least = bits
-    return links.filter(F.length(F.bin("n")) >= least)
-
-
 def _head_sums(shared):
     def sums(pairs: pa.Array, times: pa.Array) -> pa.Array:
         head, n, best = shared.value
@@ -227,7 +227,7 @@ def link_scores(aligned: DataFrame, n_b: int) -> DataFrame:
     (counts summed over the links) instead of the pairs."""
     spark = aligned.sparkSession
     links = store(link_counts(aligned, n_b), "links")
-    head = _most_frequent(links).toArrow().sort_by("pair")  # at most HEAD_PAIRS rows
+    head = most_frequent(links, "n", HEAD_PAIRS).toArrow().sort_by("pair")  # at most HEAD_PAIRS rows
     shared = spark.sparkContext.broadcast(tuple(head[c].to_numpy() for c in ("pair", "n", "best")))
     told = fresh(aligned.columns, "told")
     scored = store(aligned.select(*[quoted(c) for c in aligned.columns if c not in ("pairs", "times")],

@@ -116,3 +116,17 @@ def smallest_by_hash(rows: DataFrame, seed: int, key: str, n: int) -> DataFrame:
             rows = rows.filter(place < F.lit(1 << bits))
             break
     return rows.orderBy(place, key).limit(n)
+
+
+def most_frequent(counts: DataFrame, n_col: str, most: int) -> DataFrame:
+    """The rows whose count ``n_col`` has more bits than that of any row left
+    out, as many as fit ``most``. The driver sees the sizes per bit length only."""
+    bits = F.length(F.bin(F.col(n_col)))
+    sizes = dict(counts.groupBy(bits.alias("bits")).count().collect())  # at most 63 rows
+    held, least = 0, 64
+    for k in sorted(sizes, reverse=True):
+        held += sizes[k]
+        if held > most:
+            break
+        least = k
+    return counts.filter(bits >= least)
