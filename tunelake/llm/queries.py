@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunelake.llm import alignment, bpe, chat, embed_dedup, licenses, packing, quality, repair, sharding, simhash, toxicity, warc, word_lm
+from tunelake.llm import alignment, bpe, chat, embed_dedup, licenses, packing, quality, repair, sharding, simhash, token_lm, toxicity, warc
 from tunelake.llm.common import store, table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -51,7 +51,7 @@ def op5_quality_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_lm_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     wanted = table(spark, sf_dir, "labels").filter("quality = 1 and toxic = 0").select("doc_id")
-    return word_lm.word_scores(table(spark, sf_dir, "documents"), wanted)
+    return token_lm.token_scores(table(spark, sf_dir, "documents"), wanted, tokenizer_path())
 
 
 def op7_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
