@@ -1,6 +1,7 @@
 import math
 
 import pytest
+from pyspark.sql import functions as F
 
 from tunelake import schemas as S
 from tunelake.operators import analysis as A
@@ -146,3 +147,26 @@ def test_entries_by_approx_distinct_small_groups_exact(spark):
     approx = sorted(map(tuple, A.entries_by(df, "country", "track_name", "n", "d", top=None,
                                             approx=True).collect()))
     assert exact == approx == [("a", 20, 3), ("b", 20, 4), ("c", 20, 5)]
+
+
+def test_numbered_counts_from_one_in_order_with_hot_and_null_keys(spark):
+    df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit(5)).when(F.col("id") % 7 != 0, F.col("id") % 11).alias("k"), "id")
+    got = A.numbered(df, F.desc_nulls_last("k"), F.asc("id")).collect()
+    rows_ = [(r["k"], r["id"]) for r in df.collect()]
+    want = sorted(rows_, key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
+    assert [(r["k"], r["id"]) for r in sorted(got, key=lambda r: r["position"])] == want
+    assert sorted(r["position"] for r in got) == list(range(1, 3001))
+
+
+def test_numbered_equal_rows_empty_tables_and_odd_names(spark):
+    df = spark.createDataFrame([("x", 1)] * 5, "`a.b` string, v int")
+    out = A.numbered(df, F.asc("v"))
+    assert out.columns == ["a.b", "v", "position"]
+    assert sorted(r["position"] for r in out.collect()) == [1, 2, 3, 4, 5]
+    assert A.numbered(df.filter("v > 1"), F.asc("v")).count() == 0
+
+
+def test_numbered_uses_no_window_over_the_rows(spark):
+    plan = plan_text(A.numbered(spark.range(1000), F.asc("id")))
+    assert plan.count("Window ") <= 1 and "SinglePartition" in plan  # only the counts per range
+    assert "partial_count" in plan

@@ -214,3 +214,12 @@ def test_naive_bayes_without_training_rows(spark):
     none = spark.createDataFrame([], "song_lyrics string, label int")
     frame = spark.createDataFrame([(1, "a b")], "id long, song_lyrics string")
     assert M.naive_bayes_scores(frame, M.naive_bayes_weights(none), "id").first()["scores"] == [0] * len(M.NAIVE_BAYES_SETTINGS)
+
+
+def test_split_classes_counts_absent_classes_and_ignores_other_labels(spark):
+    df = spark.createDataFrame([("train", 0), ("train", 1), ("train", 1), ("train", 7), ("train", None), ("test", 1), (None, 0)],
+                               "split string, label int")
+    got = {(r["split"], r["label"]): (r["rows"], r["complete"]) for r in M.split_classes(df).collect()}
+    assert got == {("train", 0): (1, True), ("train", 1): (2, True), ("validation", 0): (0, False), ("validation", 1): (0, False),
+                   ("test", 0): (0, False), ("test", 1): (1, False)}
+    assert {r["rows"] for r in M.split_classes(df.filter("false")).collect()} == {0}

@@ -1,6 +1,7 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from tunelake.sources import manifest, readers, sinks
 from tunelake.streaming.refresh import bootstrap_if_missing
@@ -69,3 +70,10 @@ def test_partitioned_overwrite_static_vs_dynamic(spark, tmp_dir):
     sinks.write_parquet(first, f"{tmp_dir}/d", partition_by=["p"])
     sinks.write_parquet(second, f"{tmp_dir}/d", partition_by=["p"], replace_partitions="dynamic")
     assert sorted(r["a"] for r in spark.read.parquet(f"{tmp_dir}/d").collect()) == [1, 3]
+
+
+def test_preview_text_cuts_as_the_console_does(spark):
+    df = spark.createDataFrame([("x" * 21, None), ("y" * 20, 3)], "`a.b` string, n int")
+    assert [tuple(r) for r in sinks.preview_text(df.orderBy(F.asc_nulls_first("n"))).collect()] == [("x" * 17 + "...", "NULL"), ("y" * 20, "3")]
+    assert sinks.preview_text(df.orderBy(F.desc("n")), 1, truncate=2).first()[0] == "yy"
+    assert [tuple(r) for r in sinks.schema_table(df).orderBy("place").collect()] == [(1, "a.b", "string"), (2, "n", "int")]

@@ -3,6 +3,8 @@
 import csv
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from tunelake import schemas as S
 from tunelake.operators import exploit
 from tunelake.plans import zones
@@ -210,3 +212,12 @@ def test_results_with_quotes_read_back(spark, tmp_dir):
     top = zones.read_back(spark, layout)["top_artists"].collect()
     assert [(r["artist_name"], r["avg_popularity"], r["track_count"]) for r in top] == [
         ("plain", 52.0, 6), ("two\nlines", 51.0, 6), ('"Weird Al" Yankovic, Jr', 50.0, 6)]
+
+
+def test_partitioned_table_has_few_files_per_date_and_loses_nothing(spark, tmp_dir):
+    # a third of the rows has no date; every input task holds every date
+    df = spark.range(0, 6000, 1, 8).select("id", F.when(F.col("id") % 3 != 0, F.expr("date_add(date'2024-01-01', cast(id % 20 as int))")).alias("snapshot_date"))
+    path = zones._write_table(df, f"{tmp_dir}/t", "snapshot_date")
+    files = spark.read.parquet(path).select(F.input_file_name().alias("f"), "snapshot_date", "id")
+    assert files.count() == 6000 and files.select("id").distinct().count() == 6000
+    assert files.groupBy("snapshot_date").agg(F.countDistinct("f").alias("n")).agg(F.max("n")).first()[0] == 1

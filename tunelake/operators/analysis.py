@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tunelake import schemas as S
+from tunelake.session import ensure_checkpoint_dir
 
 
 def _asc(c: str) -> Column:
@@ -93,7 +94,8 @@ def top_per_group(df: DataFrame, group: str = "country", order: str = "daily_ran
 
     Only the distinct (group, value) pairs are ranked; the rows are then
     joined to the pairs that made the cut, so a group that holds much of the
-    table is neither sorted nor gathered in one task.
+    table is neither sorted nor gathered in one task. That holds with
+    ``per_snapshot`` too: rows whose date could not be read are one group.
     """
     if min_order_value is not None:
         df = df.filter(F.col(order) >= F.lit(min_order_value))
@@ -193,6 +195,31 @@ def rank_by_abs(df: DataFrame, value_col: str = "correlation_with_popularity",
     return df.withColumn(rank_name, F.row_number().over(w)).orderBy(rank_name)
 
 
+# Row numbers of ``monotonically_increasing_id``: the task above, its rows below.
+ROW_BITS = 33
+
+
+def numbered(df: DataFrame, *order: Column, name: str = "position") -> DataFrame:
+    """TOP1/TOP4/TOP7 as a column: the place of every row in ``order``, from 1.
+
+    The order must be total up to equal rows. No window runs over the whole
+    table: rows are dealt by ranges of the order and sorted within them, and a
+    row's place is its place there behind the rows of the ranges before, which
+    are counted. The rows are written once (``checkpoint``), so the ranges that
+    were counted are those that are numbered, also after a lost executor.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    laid = (df.repartitionByRange(*order).sortWithinPartitions(*order)
+              .withColumn("__row", F.monotonically_increasing_id()).checkpoint())
+    laid = laid.withColumns({"__range": F.shiftright("__row", ROW_BITS),
+                             "__row": F.col("__row").bitwiseAND(F.lit((1 << ROW_BITS) - 1))})
+    earlier = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    before = (laid.groupBy("__range").agg(F.count(F.lit(1)).alias("__rows"))      # a row per range, not per data
+                  .select("__range", F.coalesce(F.sum("__rows").over(earlier), F.lit(0)).alias("__before")))
+    return (laid.join(F.broadcast(before), "__range")
+                .select(*[laid["`" + c + "`"] for c in df.columns], (F.col("__before") + F.col("__row") + 1).alias(name)))
+
+
 def top_rows_by(df: DataFrame, feature: str,
                 name_cols: Sequence[str] = ("track_name", "artist_name"),
                 extra_cols: Sequence[str] = ("popularity",),

@@ -11,6 +11,7 @@ balance their classes by weights, which copies no text.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
@@ -65,6 +66,20 @@ def require_classes(df: DataFrame, label_col: str = "label", classes: Sequence =
     return found
 
 
+def split_classes(df: DataFrame, split_col: str = "split", label_col: str = "label",
+                  splits: Sequence[str] = ("train", "validation", "test"), classes: Sequence = (0, 1)) -> DataFrame:
+    """ML3 as a report: rows of every class in every split, absent ones with 0,
+    and whether the split holds all classes. One aggregate with a column per
+    (split, class), so no split is gathered; other labels are no class."""
+    cells = [(s, c) for s in splits for c in classes]
+    wide = df.agg(*[F.count(F.when((F.col(split_col) == s) & (F.col(label_col) == c), 1)).alias(f"n{i}")
+                    for i, (s, c) in enumerate(cells)])
+    whole = {s: reduce(lambda x, y: x & y, [F.col(f"n{i}") > 0 for i, (t, _) in enumerate(cells) if t == s]) for s in splits}
+    rows = [F.struct(F.lit(s).alias(split_col), F.lit(c).alias(label_col), F.col(f"n{i}").alias("rows"),
+                     whole[s].alias("complete")) for i, (s, c) in enumerate(cells)]
+    return wide.select(F.inline(F.array(*rows)))
+
+
 MAX_CLASSES = 1000
 BUCKET_ROWS = 50_000
 

@@ -11,6 +11,7 @@ between engines in the last bits.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -504,6 +505,99 @@ def q_pipeline_top_artists_readback(spark, sf):
     return zones.read_back(spark, layout)["top_artists"]
 
 
+# The flow up to the exploitation zone, over labels and documents as songs and
+# lyrics and orders as a chart by month (a folder per date is written).
+def _exploitation(spark, sf):
+    layout, docs = manifest.ZoneLayout(shared_dir(spark, "zones")), _t(spark, sf, "documents")
+    tracks = R.landing_tracks_from_labels(_t(spark, sf, "labels"), docs)
+    _landing_files(spark, layout, "spotify-tracks-dataset", tracks, "track_id")
+    _landing_files(spark, layout, "songs-lyrics", R.landing_lyrics_from_documents(docs), "`Unnamed: 0`")
+    _landing_files(spark, layout, CHARTS, _monthly_charts(spark, sf), "spotify_id")
+    zones.format_zone(spark, layout, partition_charts=False)
+    return layout, zones.trusted_zone(spark, layout)
+
+
+def q_pipeline_explicit_set(spark, sf):
+    layout, _ = _exploitation(spark, sf)
+    zones.exploitation_zone(spark, layout)
+    return readers.read_parquet(spark, layout.exploitation("explicit_prediction"))
+
+
+def q_pipeline_visualisation(spark, sf):
+    layout, _ = _exploitation(spark, sf)
+    zones.exploitation_zone(spark, layout)
+    return readers.read_parquet(spark, layout.exploitation("data_visualization"))
+
+
+def q_pipeline_trusted_counts(spark, sf):
+    # what every constraint of the trusted zone saw and removed, as reported by the writes
+    _, report = _exploitation(spark, sf)
+    rows = [(step, c["rows_in"], c["rows_out"], c["rows_removed"]) for step, c in sorted(report.counts.items())]
+    return spark.createDataFrame(rows, "step string, rows_in bigint, rows_out bigint, rows_removed bigint")
+
+
+def q_pipeline_trusted_outputs(spark, sf):
+    # analyses over the trusted zone: every table there is, with its rows; the
+    # tracks have no release year, so that analysis leaves none (FLT7)
+    layout, _ = _exploitation(spark, sf)
+    report = zones.analytics_zone(spark, layout, zone="trusted")
+    counted = [readers.read_text_csv(spark, path).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("analysis"), "rows")
+               for name, path in sorted(report.written.items())]
+    return reduce(DataFrame.unionByName, counted)
+
+
+def q_pipeline_countries_inferred(spark, sf):
+    # SRC4: types found in the written CSV; the order as a column
+    layout, _ = _exploitation(spark, sf)
+    zones.analytics_zone(spark, layout)
+    out = zones.read_back(spark, layout)["top_countries_by_entries"]
+    return A.numbered(out, F.desc_nulls_last("chart_entries"), F.asc_nulls_first("country")).select(
+        "position", "country", F.col("chart_entries").cast("bigint"), F.col("unique_tracks").cast("bigint"),
+        F.lit(", ".join(t for _, t in out.dtypes)).alias("types"))
+
+
+def q_renamed_lyrics(spark, sf):
+    # PRJ7: the notebook form names the title song_name, the trusted table track_name
+    layout = manifest.ZoneLayout(shared_dir(spark, "zones"))
+    _landing_files(spark, layout, "songs-lyrics", R.raw_lyrics_from_documents(_t(spark, sf, "documents")), "lyrics")
+    zones.format_zone(spark, layout, "notebook")
+    zones.trusted_zone(spark, layout)
+    return readers.read_parquet(spark, layout.trusted("songs-lyrics"))
+
+
+def q_numbered_artists(spark, sf):
+    return A.numbered(q_top_artists_cents(spark, sf), F.desc("avg_popularity"), F.asc_nulls_first("o_custkey"))
+
+
+def q_numbered_trends(spark, sf):
+    return A.numbered(q_chart_trends_over_time(spark, sf), F.asc_nulls_first("snapshot_year"), F.asc_nulls_first("snapshot_month"))
+
+
+def q_numbered_history(spark, sf):
+    # TOP7: the slots of the history in the order of its frames
+    history = q_chart_history(spark, sf).withColumnRenamed("position", "slot")
+    return A.numbered(history, F.asc("snapshot_date"), F.asc("slot"))
+
+
+def q_split_class_guard(spark, sf):
+    # ML3 on both labels; rarer and rarer classes, down to none
+    labels = _t(spark, sf, "labels")
+    split = M.stable_split(labels, "doc_id").withColumns({"bad_toxic": F.when((F.col("toxic") == 1) & (F.col("quality") == 0), 1).otherwise(0),
+                                                           "neither": F.col("toxic") * 0})
+    reports = [M.split_classes(split, label_col=c).withColumnRenamed(c, "label").withColumn("of", F.lit(c))
+               for c in ("toxic", "quality", "bad_toxic", "neither")]
+    return reduce(DataFrame.unionByName, reports)
+
+
+def q_preview_documents(spark, sf):
+    # SNK5: the head as the console prints it, next to the schema print
+    docs = _t(spark, sf, "documents").orderBy(F.asc_nulls_first("doc_id"))
+    head = sinks.preview_text(docs, 20).withColumn("part", F.lit("head"))
+    schema = sinks.schema_table(docs).select(F.col("place").cast("string").alias("doc_id"), F.col("column_name").alias("text"),
+                                             F.col("type").alias("lang"), F.lit("").alias("source"), F.lit("").alias("n_chars"), F.lit("schema").alias("part"))
+    return head.unionByName(schema)
+
+
 def q_join_string_keys(spark, sf):
     # many lyrics and many tracks per (artist, title); the artist carries the
     # suffix that JN3/FN5 removes from the join key
@@ -594,6 +688,17 @@ QUERIES: dict[str, Query] = {
     "refresh_raw_charts": q_refresh_raw_charts,
     "bootstrap_charts": q_bootstrap_charts,
     "fallback_zone": q_fallback_zone,
+    "pipeline_explicit_set": q_pipeline_explicit_set,
+    "pipeline_visualisation": q_pipeline_visualisation,
+    "pipeline_trusted_counts": q_pipeline_trusted_counts,
+    "pipeline_trusted_outputs": q_pipeline_trusted_outputs,
+    "pipeline_countries_inferred": q_pipeline_countries_inferred,
+    "renamed_lyrics": q_renamed_lyrics,
+    "numbered_artists": q_numbered_artists,
+    "numbered_trends": q_numbered_trends,
+    "numbered_history": q_numbered_history,
+    "split_class_guard": q_split_class_guard,
+    "preview_documents": q_preview_documents,
 }
 
 
@@ -769,7 +874,85 @@ def _first_sql(keys: list[str], order: list[str], columns=S.TRUSTED_CHARTS_COLUM
             + ", ".join(f"{c} ASC NULLS FIRST" for c in rest) + ") = 1")
 
 
+# The zones of the exploitation flow.
+_TRUSTED_SQL = f"""
+songs AS (SELECT d.doc_id, d.source, d.text, l.quality, l.toxic FROM labels l JOIN documents d ON l.doc_id = d.doc_id),
+tracks AS (SELECT * FROM songs WHERE source IS NOT NULL AND quality = 1),
+lyrics AS (SELECT * FROM documents WHERE doc_id IS NOT NULL AND source IS NOT NULL AND text IS NOT NULL),
+charts AS ({_landing_charts_sql(_MONTHLY_CHARTS_SQL)}),
+c0 AS (SELECT {', '.join(S.TRUSTED_CHARTS_COLUMNS)} FROM charts),
+c1 AS (SELECT * FROM c0 WHERE track_name IS NOT NULL AND artist_name IS NOT NULL),
+c2 AS (SELECT * FROM c1 {_first_sql(['snapshot_date', 'country', 'daily_rank'], ['track_name'])}),
+c3 AS (SELECT * FROM c2 {_first_sql(['artist_name', 'country', 'track_name', 'snapshot_date'], [])})"""
+
+
+def _step_sql(step: str, before: str, after: str) -> str:
+    n, m = f"(SELECT count(*) FROM {before})", f"(SELECT count(*) FROM {after})"
+    return f"SELECT '{step}' AS step, {n} AS rows_in, {m} AS rows_out, {n} - {m} AS rows_removed"
+
+
+def _split_classes_sql(name: str, expr: str) -> str:
+    place = _md5_bucket("doc_id", M.SPLIT_BUCKETS)
+    return f"""
+        SELECT s.split, CAST(c.label AS INTEGER) AS label, count(d.label) AS rows, min(count(d.label)) OVER (PARTITION BY s.split) > 0 AS complete,
+               '{name}' AS of
+        FROM (VALUES ('train'), ('validation'), ('test')) s(split) CROSS JOIN (VALUES (0), (1)) c(label)
+        LEFT JOIN (SELECT {expr} AS label, CASE WHEN {place} < 7000 THEN 'train' WHEN {place} < 8500 THEN 'validation' ELSE 'test' END AS split
+                   FROM labels) d ON d.split = s.split AND d.label = c.label
+        GROUP BY s.split, c.label"""
+
+
+def _console(column: str) -> str:
+    text = f"coalesce(CAST({column} AS VARCHAR), 'NULL')"
+    return f"CASE WHEN length({text}) > 20 THEN substr({text}, 1, 17) || '...' ELSE {text} END AS {column}"
+
+
+_ROW_NUMBER = "CAST(row_number() OVER (ORDER BY {}) AS BIGINT) AS position"
+
 ORACLE_SQL: dict[str, str] = {
+    "pipeline_explicit_set": f"WITH {_TRUSTED_SQL} SELECT l.text AS song_lyrics, t.toxic = 1 AS explicit FROM lyrics l JOIN tracks t ON l.doc_id = t.doc_id",
+    "pipeline_visualisation": f"WITH {_TRUSTED_SQL} SELECT {', '.join(S.VISUALISATION_COLUMNS)} FROM c3",
+    "pipeline_trusted_counts": f"WITH {_TRUSTED_SQL} " + " UNION ALL ".join([
+        _step_sql("spotify-tracks-dataset", "songs", "tracks"), _step_sql("songs-lyrics", "documents", "lyrics"), _step_sql(CHARTS, "c0", "c3"),
+        _step_sql(f"{CHARTS}:required_columns", "c0", "c1"), _step_sql(f"{CHARTS}:unique_chart_slot", "c1", "c2"),
+        _step_sql(f"{CHARTS}:unique_artist_title", "c2", "c3")]),
+    "pipeline_trusted_outputs": f"""
+        WITH {_TRUSTED_SQL},
+        artists AS (SELECT source FROM tracks GROUP BY source HAVING count(*) >= {S.MIN_TRACKS_PER_ARTIST})
+        SELECT 'top_artists' AS analysis, count(*) AS rows FROM artists
+        UNION ALL SELECT unnest(['feature_correlations', 'feature_popularity_correlation']), {len(S.AUDIO_FEATURES)}
+        UNION ALL SELECT 'average_audio_features', 1
+        UNION ALL SELECT unnest(['most_danceable_songs', 'most_energetic_songs', 'most_acoustic_songs']), least(count(*), {S.TOP_N}) FROM tracks
+        UNION ALL SELECT 'top_countries_by_entries', least(count(DISTINCT coalesce(country, '')), {S.TOP_N}) FROM c3
+        UNION ALL SELECT 'top_artists_global', least(count(DISTINCT artist_name), {S.TOP_N}) FROM c3
+        UNION ALL SELECT 'top_songs_by_country', count(*) FROM (
+            SELECT dense_rank() OVER (PARTITION BY country ORDER BY daily_rank ASC NULLS FIRST) AS place FROM c3) WHERE place <= {S.TOP_RANKS_PER_COUNTRY}
+        UNION ALL SELECT 'chart_trends_over_time', count(*) FROM (SELECT DISTINCT year(snapshot_date), month(snapshot_date) FROM c3)""",
+    "pipeline_countries_inferred": f"""
+        WITH {_TRUSTED_SQL}, n AS (SELECT country, count(*) AS chart_entries, count(DISTINCT track_name) AS unique_tracks FROM charts GROUP BY country),
+        top AS (SELECT *, {_ROW_NUMBER.format('chart_entries DESC, country ASC NULLS FIRST')} FROM n)
+        SELECT *, 'string, int, int' AS types FROM top WHERE position <= {S.TOP_N}""",
+    "renamed_lyrics": f"""
+        WITH raw AS ({R.RAW_LYRICS_FROM_DOCUMENTS_SQL}),
+        p AS (SELECT {_lenient_int('"Unnamed: 0"')} AS song_id, trim(artist) AS artist_name, trim(song_name) AS track_name, lyrics AS song_lyrics FROM raw)
+        SELECT * FROM p WHERE song_id IS NOT NULL AND artist_name IS NOT NULL AND track_name IS NOT NULL AND song_lyrics IS NOT NULL
+        QUALIFY row_number() OVER (PARTITION BY song_id ORDER BY artist_name, track_name, song_lyrics) = 1""",
+    "numbered_artists": f"""
+        WITH n AS (SELECT o_custkey, {_rnd('avg(o_totalprice)', 2)} AS avg_popularity, count(o_orderkey) AS track_count
+                   FROM orders GROUP BY o_custkey HAVING count(o_orderkey) >= {S.MIN_TRACKS_PER_ARTIST})
+        SELECT *, {_ROW_NUMBER.format('avg_popularity DESC, o_custkey ASC NULLS FIRST')} FROM n""",
+    "numbered_trends": f"""
+        WITH n AS (SELECT CAST(year(o_orderdate) AS INTEGER) AS snapshot_year, CAST(month(o_orderdate) AS INTEGER) AS snapshot_month,
+                          count(*) AS chart_entries, count(DISTINCT o_custkey) AS unique_tracks FROM orders GROUP BY 1, 2)
+        SELECT *, {_ROW_NUMBER.format('snapshot_year ASC NULLS FIRST, snapshot_month ASC NULLS FIRST')} FROM n""",
+    "numbered_history": f"""
+        SELECT * EXCLUDE (position), position AS slot, {_ROW_NUMBER.format('snapshot_date, h.position')} FROM ({_CHART_HISTORY}) h""",
+    "split_class_guard": " UNION ALL ".join(_split_classes_sql(name, expr) for name, expr in [
+        ("toxic", "toxic"), ("quality", "quality"), ("bad_toxic", "CASE WHEN toxic = 1 AND quality = 0 THEN 1 ELSE 0 END"), ("neither", "toxic * 0")]),
+    "preview_documents": f"""
+        SELECT {', '.join(_console(c) for c in DOC_COLUMNS)}, 'head' AS part FROM (SELECT * FROM documents ORDER BY doc_id NULLS FIRST LIMIT 20)
+        UNION ALL SELECT * FROM (VALUES ('1', 'doc_id', 'bigint', '', '', 'schema'), ('2', 'text', 'string', '', '', 'schema'),
+                  ('3', 'lang', 'string', '', '', 'schema'), ('4', 'source', 'string', '', '', 'schema'), ('5', 'n_chars', 'bigint', '', '', 'schema'))""",
     "top_artists": f"""
         SELECT l_suppkey, {_rnd('avg(l_quantity)', 2)} AS avg_popularity, count(l_orderkey) AS track_count
         FROM lineitem GROUP BY l_suppkey HAVING count(l_orderkey) >= {S.MIN_TRACKS_PER_ARTIST}""",

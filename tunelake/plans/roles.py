@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunelake.schemas import ColumnSpec
+from tunelake.schemas import LYRICS_ARTIST_SUFFIX, TRACKS_SPEC, ColumnSpec
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -195,3 +195,21 @@ def landing_lyric_links_from_documents(documents: DataFrame) -> DataFrame:
     return raw_lyrics_from_documents(documents).select(
         F.col("`Unnamed: 0`").alias("song_id"), F.col("artist").alias("singer_name"), "song_name",
         F.concat(F.lit('http://x/?q="'), F.col("artist"), F.lit('",')).alias("song_href"))
+
+
+# labels and documents as songs and their lyrics: a song per labelled document
+# (bad ones are too short to be trusted), under names that only meet once
+# suffix, case and spaces are taken care of.
+def landing_tracks_from_labels(labels: DataFrame, documents: DataFrame) -> DataFrame:
+    names = {c.source for c in TRACKS_SPEC}
+    song = labels.join(documents.select("doc_id", "source"), "doc_id").select(
+        F.col("doc_id").cast("string").alias("track_id"), F.concat(F.lit("Doc "), F.col("doc_id").cast("string")).alias("track_name"),
+        F.upper("source").alias("artists"), F.when(F.col("toxic") == 1, "True").otherwise("False").alias("explicit"),
+        F.when(F.col("quality") == 1, "200000").otherwise("20000").alias("duration_ms"))
+    return song.select(*song.columns, *[F.lit(None).cast("string").alias(c) for c in sorted(names - set(song.columns))])
+
+
+def landing_lyrics_from_documents(documents: DataFrame) -> DataFrame:
+    doc = F.col("doc_id").cast("string")
+    return documents.select(doc.alias("Unnamed: 0"), F.concat(F.col("source"), F.lit(LYRICS_ARTIST_SUFFIX)).alias("artist"),
+                            F.concat(F.lit(" DOC "), doc, F.lit(" ")).alias("song_name"), F.col("text").alias("lyrics"))

@@ -29,6 +29,7 @@ from tunelake.sources import ledger, manifest, readers, sinks
 log = logging.getLogger(__name__)
 
 VARIANTS = ("script", "notebook", "strict")
+CHARTS = "top-spotify-songs-by-country"
 
 
 # Writes that are submitted at a time: each is a job or two of its own, and
@@ -157,6 +158,16 @@ def landing_to_parquet(spark: SparkSession, layout: manifest.ZoneLayout, update:
     return report
 
 
+def _write_table(df: DataFrame, path: str, partition_by: str | None = None) -> str:
+    """Write a zone table. Rows of a partitioned one are brought together by
+    its column first, else every task would leave a file in every date; a
+    rebalance, so that AQE cuts a date that holds much of the table (say all
+    rows whose date could not be read) and merges small ones."""
+    if partition_by:
+        return sinks.write_parquet(df.hint("rebalance", F.col(partition_by)), path, partition_by=[partition_by])
+    return sinks.write_parquet(df, path)
+
+
 def format_zone(spark: SparkSession, layout: manifest.ZoneLayout, variant: str = "script",
                 update: bool = False, partition_charts: bool = True) -> ZoneReport:
     """JOB1-JOB3 (+SRC8 dispatch, STR1 manifest filter)."""
@@ -170,9 +181,8 @@ def format_zone(spark: SparkSession, layout: manifest.ZoneLayout, variant: str =
             return
         raw, before = Q.observe_counts(_read_landing(spark, layout, paths, spec), f"{spec.name}_in")
         out, after = Q.observe_counts(_format(raw, spec.kind, variant), f"{spec.name}_out")
-        partition = ["snapshot_date"] if (spec.kind == "charts" and partition_charts) else None
         path = layout.formatted(spec.name)
-        sinks.write_parquet(out, path, partition_by=partition)
+        _write_table(out, path, "snapshot_date" if spec.kind == "charts" and partition_charts else None)
         report.add(spec.name, path, before, after)
 
     _together([partial(run, spec) for spec in manifest.datasets_to_refresh(update)])
@@ -201,29 +211,28 @@ def trusted_zone(spark: SparkSession, layout: manifest.ZoneLayout) -> ZoneReport
                                          ("unique_artist_title", Q.unique_artist_title)],
         "songs-lyrics": [("trust_lyrics", Q.trust_lyrics)],
     }
-    for name, steps in jobs.items():
+
+    def run(name: str, steps: list) -> None:
         src = layout.formatted(name)
         if not readers.path_exists(spark, src):
-            continue
+            return
         table = readers.rename_if_present(readers.read_parquet(spark, src), {"song_name": "track_name"})
         if name == "songs-lyrics" and "song_lyrics" not in table.columns:
             log.warning("%s holds links, not texts; no trusted table", src)
-            continue
+            return
         out, marks = Q.observed_chain(table, steps)
-        partition = ["snapshot_date"] if name.startswith("top-") else None
-        sinks.write_parquet(out, layout.trusted(name), partition_by=partition)
+        _write_table(out, layout.trusted(name), "snapshot_date" if name == CHARTS else None)
         report.add(name, layout.trusted(name), marks[0][1], marks[-1][2])
         if len(marks) > 1:
             for step, before, after in marks:
                 report.add(f"{name}:{step}", layout.trusted(name), before, after)
+
+    _together([partial(run, name, steps) for name, steps in jobs.items()])
     if report.written:
         sinks.mark_committed(spark, posixpath_join(layout.root, "trusted"))
     return report
 
 
-CHARTS = "top-spotify-songs-by-country"
-
-
 def refresh_charts_zone(spark: SparkSession, layout: manifest.ZoneLayout, variant: str = "script") -> ZoneReport:
     """STR1 on raw files: take in the chart CSVs that are new or have changed,
     and rebuild the formatted and trusted dates that they touch. A file that
@@ -344,16 +353,16 @@ def exploitation_zone(spark: SparkSession, layout: manifest.ZoneLayout,
         return exploitable(spark, layout, name, kind)[0]
 
     lyrics, tracks = table("songs-lyrics", "lyrics"), table("spotify-tracks-dataset", "tracks")
+    sets = {"data_visualization": X.visualisation_set(table("top-spotify-songs-by-country", "charts"))}
     if "song_lyrics" in lyrics.columns:
         title = "song_name" if "song_name" in lyrics.columns else "track_name"
-        explicit = X.explicit_prediction(lyrics, tracks, on=[("artist_name", "artist_name"), (title, "track_name")],
-                                         normalise_keys=normalise_keys)
-        report.add("explicit_prediction", sinks.write_parquet(explicit, layout.exploitation("explicit_prediction")))
+        sets["explicit_prediction"] = X.explicit_prediction(
+            lyrics, tracks, on=[("artist_name", "artist_name"), (title, "track_name")], normalise_keys=normalise_keys)
     else:
         log.warning("lyrics hold links, not texts; no classifier set")
-    charts = table("top-spotify-songs-by-country", "charts")
-    vis = X.visualisation_set(charts)
-    report.add("data_visualization", sinks.write_parquet(vis, layout.exploitation("data_visualization")))
+    _together([partial(sinks.write_parquet, df, layout.exploitation(name)) for name, df in sets.items()])
+    for name in sets:
+        report.add(name, layout.exploitation(name))
     return report
 
 

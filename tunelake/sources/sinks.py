@@ -13,7 +13,7 @@ import posixpath
 import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tunelake.sources.readers import CSV_OPTIONS, delete_path, hadoop, path_exists
@@ -151,3 +151,24 @@ def preview(df: DataFrame, n: int = 20) -> DataFrame:
     """SNK5/SNK6: a bounded head of a result, still a DataFrame; callers
     decide whether to show or collect it."""
     return df.limit(n)
+
+
+def preview_text(df: DataFrame, n: int = 20, truncate: int = 20) -> DataFrame:
+    """SNK5: the preview as the console prints it, still a DataFrame: every
+    column as text, NULL spelled out, long values cut to ``truncate``
+    characters that end in dots. Give an ordered table for a defined head."""
+    keep = truncate - 3 if truncate > 3 else truncate
+
+    def cell(name: str) -> Column:
+        text = F.coalesce(F.col(f"`{name}`").cast("string"), F.lit("NULL"))
+        cut = F.concat(F.substring(text, 1, keep), F.lit("..." if truncate > 3 else ""))
+        return F.when(F.length(text) > truncate, cut).otherwise(text).alias(name)
+
+    return preview(df, n).select(*[cell(c) for c in df.columns])
+
+
+def schema_table(df: DataFrame) -> DataFrame:
+    """SNK5: the schema print as a table: place, name and type of every column
+    (a row per column of the table, known without reading it)."""
+    fields = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields, 1)]
+    return df.sparkSession.createDataFrame(fields, "place int, column_name string, type string")
