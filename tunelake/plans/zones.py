@@ -75,7 +75,7 @@ def _copied(spark: SparkSession, layout: manifest.ZoneLayout, name: str, but: Da
         return copy
     rows = ledger.in_force(copy, layout.ledger(name))
     if but is not None:
-        rows = rows.join(but.select(F.col("file").alias(ledger.FILE_COL)), ledger.FILE_COL, "left_anti")
+        rows = rows.join(F.broadcast(but.select(F.col("file").alias(ledger.FILE_COL))), ledger.FILE_COL, "left_anti")
     return rows.drop(ledger.FILE_COL, ledger.RUN_COL)
 
 
@@ -248,7 +248,7 @@ def refresh_charts_zone(spark: SparkSession, layout: manifest.ZoneLayout, varian
         copy = readers.read_parquet(spark, layout.copy(CHARTS)).filter(F.col(ledger.RUN_COL).isin(runs))
         keys = [F.col("file").alias(ledger.FILE_COL), F.col("run").alias(ledger.RUN_COL)]
         marks = [ledger.FILE_COL, ledger.RUN_COL]
-        mine = copy.join(taken.select(*keys), marks, "left_semi")
+        mine = copy.join(F.broadcast(taken.select(*keys)), marks, "left_semi")
         return _format(mine, "charts", variant, more=[S.ColumnSpec(c, c) for c in marks])
 
     targets = {layout.formatted(CHARTS): lambda df: df, layout.trusted(CHARTS): Q.trust_charts}

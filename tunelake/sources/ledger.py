@@ -146,4 +146,4 @@ def changed(spark: SparkSession, ledger: str, paths: Sequence[str]) -> tuple[lis
 def in_force(copy: DataFrame, ledger: str) -> DataFrame:
     """The rows of a landing copy whose file's entry in force is of their run."""
     valid = current(copy.sparkSession, ledger).select(F.col("file").alias(FILE_COL), F.col("run").alias(RUN_COL))
-    return copy.join(valid, [FILE_COL, RUN_COL], "left_semi")
+    return copy.join(F.broadcast(valid), [FILE_COL, RUN_COL], "left_semi")  # a row per file: the copy stays where it is

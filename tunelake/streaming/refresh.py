@@ -80,7 +80,9 @@ def refresh_charts(spark: SparkSession, landing: str, bronze: str, silver: str,
     last = new.agg(F.max(BATCH_COL)).first()[0]
     if last is None:
         return
-    touched = new.select(F.col(date_col).alias("__date")).distinct()
+    # a row per date, however many rows the scan behind it has: without the hint
+    # its estimated size decides, and the whole table is shuffled by date
+    touched = F.broadcast(new.select(F.col(date_col).alias("__date")).distinct())
     affected = rows.join(touched, F.col(date_col).eqNullSafe(F.col("__date")), "left_semi").select(*data_cols)
     (rebuild(affected).hint("rebalance", date_col)
                       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -164,12 +166,15 @@ def refresh_versions(spark: SparkSession, book: str, read_rows: Callable[[DataFr
     dates = rows.filter(F.col(RUN_COL) > done).select(date_col)
     again = taken.filter(F.col("run") <= done).join(new.select("file").distinct(), "file", "left_semi")
     if not again.isEmpty():
-        keys = again.select(F.col("file").alias(FILE_COL), F.col("run").alias(RUN_COL))
+        keys = F.broadcast(again.select(F.col("file").alias(FILE_COL), F.col("run").alias(RUN_COL)))  # a row per new file
         dates = dates.unionByName(rows.join(keys, [FILE_COL, RUN_COL], "left_semi").select(date_col))
-    touched = dates.distinct().withColumnRenamed(date_col, "__date")
+    # The dates to rebuild, a row each, are found once. As a table they are sent
+    # to the rows; a plan over the scan would be sized by the scan, and every
+    # target would shuffle the whole bronze table by date.
+    found = dates.distinct().select(date_col, F.coalesce(F.col(date_col).cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__"))).collect()
+    touched = F.broadcast(spark.createDataFrame([(r[0],) for r in found], T.StructType([T.StructField("__date", rows.schema[date_col].dataType)])))
     affected = in_force(rows.join(touched, F.col(date_col).eqNullSafe(F.col("__date")), "left_semi"), book).drop(FILE_COL, RUN_COL)
-    names = [r[0] for r in touched.select(F.concat(F.lit(f"{date_col}="), F.coalesce(
-        F.col("__date").cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__")))).collect()]  # the dates to rebuild
+    names = [f"{date_col}={r[1]}" for r in found]
     for path, rebuild in targets.items():
         staged = f"{state}/staged/{last}"
         (rebuild(affected).hint("rebalance", date_col).write.mode("overwrite").partitionBy(date_col)
