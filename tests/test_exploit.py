@@ -1,5 +1,7 @@
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from tunelake.operators import exploit as X
 
 from conftest import rows
@@ -70,3 +72,18 @@ def test_new_entries_against_brute_force(spark):
     pairs = [(D1, "a"), (D1, "b"), (D2, "a"), (D2, "c"), (D3, "b"), (D3, "c"), (D3, "c")]
     df = spark.createDataFrame(pairs + [(D2, "")], "snapshot_date date, song_id string")
     assert rows(X.new_entries(df)) == _brute_new(pairs)
+
+
+def test_many_to_many_match_is_dealt_to_all_tasks(spark):
+    # one key holds every row; NULL labels and NULL keys; more copies than a run
+    lyrics = spark.range(30).selectExpr("'A' AS artist_name", "'x' AS song_name", "string(id) AS song_lyrics").unionByName(
+        spark.createDataFrame([(None, "x", "n"), ("B", "y", "b")], "artist_name string, song_name string, song_lyrics string")).coalesce(1)
+    tracks = spark.range(9_100).selectExpr(
+        "if(id < 9000, 'A', null) AS artist_name", "'x' AS track_name", "CASE WHEN id < 5000 THEN true WHEN id < 8990 THEN false END AS explicit").unionByName(
+        spark.createDataFrame([("B", "y", None)], "artist_name string, track_name string, explicit boolean")).coalesce(1)
+    out = X.explicit_prediction(lyrics, tracks)
+    assert out.columns == ["song_lyrics", "explicit"] and out.dtypes[1][1] == "boolean"
+    got = {(r[0], r[1]): r[2] for r in out.groupBy("song_lyrics", "explicit").count().collect()}
+    assert got == {("b", None): 1} | {(str(i), e): n for i in range(30) for e, n in ((True, 5000), (False, 3990), (None, 10))}
+    sizes = [r[0] for r in out.groupBy(F.spark_partition_id()).count().select("count").collect()]
+    assert len(sizes) >= 4 and max(sizes) < out.count() / 2

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tunelake import schemas as S
 from tunelake.functions.text import normalise_name, remove_literal, song_key, strip_special
+from tunelake.operators.copies import fold, unfold
 from tunelake.operators.quality import keep_first
 
 
@@ -26,6 +27,10 @@ def explicit_prediction(lyrics: DataFrame, tracks: DataFrame,
     column when that column exists. ``normalise_keys=True`` lower-cases and
     trims the string keys on both sides, so a lower-cased track table still
     matches lyrics keys.
+
+    Tracks give the output their label only, so equal (keys, label) are folded
+    before the join and the matches unfolded after it: the join grows with the
+    tables, and the rows of an m:n match are made by all tasks.
     """
     if artist_col and artist_suffix and artist_col in lyrics.columns:
         lyrics = lyrics.withColumn(artist_col, remove_literal(artist_col, artist_suffix))
@@ -38,11 +43,12 @@ def explicit_prediction(lyrics: DataFrame, tracks: DataFrame,
                            if dict(lyrics.dtypes)[k] == "string"})
         r = r.withColumns({f"__r{i}": normalise_name(f"__r{i}") for i, k in enumerate(r_keys)
                            if dict(tracks.dtypes)[k] == "string"})
+    r = fold(r)
     cond = None
     for i in range(len(on)):
         term = l[f"__l{i}"] == r[f"__r{i}"]
         cond = term if cond is None else cond & term
-    return l.join(r, cond, "inner").select(l[text_col], r[label_col])
+    return unfold(l.join(r, cond, "inner").select(l[text_col], r[label_col], r["__copies"]))
 
 
 def visualisation_set(df: DataFrame, columns: Sequence[str] = S.VISUALISATION_COLUMNS) -> DataFrame:
