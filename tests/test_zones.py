@@ -2,6 +2,7 @@
 
 import csv
 import datetime as dt
+import os
 
 from pyspark.sql import functions as F
 
@@ -221,3 +222,21 @@ def test_partitioned_table_has_few_files_per_date_and_loses_nothing(spark, tmp_d
     files = spark.read.parquet(path).select(F.input_file_name().alias("f"), "snapshot_date", "id")
     assert files.count() == 6000 and files.select("id").distinct().count() == 6000
     assert files.groupBy("snapshot_date").agg(F.countDistinct("f").alias("n")).agg(F.max("n")).first()[0] == 1
+
+
+def test_many_to_many_lyrics_match_is_whole_and_small_on_disk(spark, tmp_dir):
+    layout = manifest.ZoneLayout(tmp_dir)
+    lyrics = spark.range(500).selectExpr("int(id) AS song_id", "'Band' AS artist_name", "'A \"b\", c' AS track_name", "'la' AS song_lyrics")
+    tracks = spark.range(400).selectExpr(
+        "string(id) AS track_id", "'Band' AS artist_name", "'A \"b\", c' AS track_name", "int(id % 50) AS popularity", "200000L AS duration_ms", "true AS explicit",
+        *[f"id / 7 AS {c}" for c in S.AUDIO_FEATURES])
+    lyrics.write.parquet(layout.formatted("songs-lyrics"))
+    tracks.write.parquet(layout.formatted("spotify-tracks-dataset"))
+    report = zones.analytics_zone(spark, layout)
+    assert report.counts["lyrics_tracks_combined"]["rows_out"] == 500 * 400
+    path = layout.analytics("lyrics_tracks_combined")
+    back = readers.read_text_csv(spark, path)
+    assert back.columns == ["lyrics_artist", "lyrics_track", "artist_name", "track_name", "popularity", *S.AUDIO_FEATURES]
+    per_row = back.groupBy(*back.columns).count().collect()
+    assert len(per_row) == 400 and {r["count"] for r in per_row} == {500} and {r["track_name"] for r in per_row} == {'A "b", c'}
+    assert sum(os.path.getsize(f"{path}/{f}") for f in os.listdir(path)) < 2_000_000

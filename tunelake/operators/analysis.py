@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tunelake import schemas as S
+from tunelake.operators.copies import fold, unfold
 from tunelake.session import ensure_checkpoint_dir
 
 
@@ -262,13 +263,20 @@ def join_on_keys(left: DataFrame, right: DataFrame, left_select: Mapping[str, st
 
 
 def lyrics_tracks_join(lyrics: DataFrame, tracks: DataFrame) -> DataFrame:
-    """JOB11 join with the music column names."""
-    return join_on_keys(
-        lyrics, tracks,
-        left_select={"artist_name": "lyrics_artist", "track_name": "lyrics_track"},
+    """JOB11 join with the music column names.
+
+    Lyrics give the output their keys only, so equal ones are folded before
+    the join and the matches unfolded after it: the join grows with the
+    tables, and all tasks make the rows of an m:n match, equal ones in a row.
+    """
+    keys = fold(lyrics.select("artist_name", "track_name"))
+    matches = join_on_keys(
+        keys, tracks,
+        left_select={"artist_name": "lyrics_artist", "track_name": "lyrics_track", "__copies": "__copies"},
         right_columns=["artist_name", "track_name", "popularity", *S.AUDIO_FEATURES],
         on=[("lyrics_artist", "artist_name"), ("lyrics_track", "track_name")],
     )
+    return unfold(matches)
 
 
 def with_match_count(df: DataFrame, name: str = "matches") -> tuple[DataFrame, Observation]:

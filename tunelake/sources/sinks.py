@@ -121,11 +121,11 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
     return path
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", compression: str = "none") -> str:
     """SNK2: headed CSV; text is quoted and kept byte for byte (no space
-    trimming), so it reads back with ``read_text_csv``."""
+    trimming), so it reads back with ``read_text_csv``, compressed or not."""
     def write(to: str) -> None:
-        df.write.mode(mode).options(**CSV_OPTIONS).option("header", "true").csv(to)
+        df.write.mode(mode).options(**CSV_OPTIONS).option("header", "true").option("compression", compression).csv(to)
 
     if mode == "overwrite":
         return publish(df.sparkSession, path, write)
@@ -133,14 +133,15 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     return path
 
 
-def write_if_rows(df: DataFrame, path: str | None, fmt: str = "csv") -> int:
+def write_if_rows(df: DataFrame, path: str | None, fmt: str = "csv", **options) -> int:
     """SNK3/JN4: write when a path is given and count the rows in the same
-    pass; an output without rows is removed again. Returns the row count."""
+    pass; an output without rows is removed again. Returns the row count.
+    ``options`` go to the writer."""
     if not path:
         return 0
     rows = Observation()
     counted = df.observe(rows, F.count(F.lit(1)).alias("rows"))
-    (write_csv if fmt == "csv" else write_parquet)(counted, path)
+    (write_csv if fmt == "csv" else write_parquet)(counted, path, **options)
     n = int(rows.get["rows"])
     if not n:
         delete_path(df.sparkSession, path)
