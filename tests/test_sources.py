@@ -1,8 +1,10 @@
 import os
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
+from tunelake.operators.copies import unfold
 from tunelake.sources import manifest, readers, sinks
 from tunelake.streaming.refresh import bootstrap_if_missing
 
@@ -77,3 +79,61 @@ def test_preview_text_cuts_as_the_console_does(spark):
     assert [tuple(r) for r in sinks.preview_text(df.orderBy(F.asc_nulls_first("n"))).collect()] == [("x" * 17 + "...", "NULL"), ("y" * 20, "3")]
     assert sinks.preview_text(df.orderBy(F.desc("n")), 1, truncate=2).first()[0] == "yy"
     assert [tuple(r) for r in sinks.schema_table(df).orderBy("place").collect()] == [(1, "a.b", "string"), (2, "n", "int")]
+
+
+ODD_FIELDS = [('say "hi"', " lead, and trail ", 1, 0.1), ("", None, None, None), ("back\\slash", "tab\tü\u2028\u0085", -5, float("nan")),
+              ("#c", "'", 7, 1e300), (None, "", 0, -0.0), (" ", '"', 2**31 - 1, 1e-5), (None, None, None, None)]
+
+
+def _csv_files(path):
+    return [f for f in os.listdir(path) if not f.startswith(("_", "."))]
+
+
+@pytest.mark.parametrize("more, by_lines", [([], True), ([("two\nlines", "cr\r", 1, 1.0)], False), ([("\0", "x", 1, 1.0)], False)])
+@pytest.mark.parametrize("compression", ["none", "lz4"])
+def test_folded_rows_are_written_as_the_plain_ones(spark, tmp_dir, more, by_lines, compression):
+    fields = [*ODD_FIELDS, *more]
+    folded = spark.createDataFrame([(*f, n) for f, n in zip(fields, [1, 2, 5000, 3, 20000, 4097, 4, 3])], "a string, `b.c` string, n int, d double, __copies bigint")
+    plain = sinks.write_csv(unfold(folded), f"{tmp_dir}/plain")
+    rows = sinks.write_if_rows(folded, f"{tmp_dir}/folded", copies="__copies", compression=compression)
+    assert rows == sum(r["__copies"] for r in folded.collect())
+    names = _csv_files(f"{tmp_dir}/folded")
+    end = ".csv" + {"none": "", "lz4": ".lz4"}[compression]
+    assert names and all(n.endswith(".lines" + end if by_lines else end) and (".lines" in n) == by_lines for n in names)
+    assert readers.by_lines(spark, f"{tmp_dir}/folded") == by_lines and not readers.by_lines(spark, plain)
+    schema = folded.drop("__copies").schema
+
+    def counted(path, **how):
+        back = readers.read_text_csv(spark, path, **how)
+        assert back.columns == ["a", "b.c", "n", "d"]
+        return Counter(repr(tuple(r)) for r in back.groupBy(*[f"`{c}`" for c in back.columns]).count().collect())
+
+    assert counted(f"{tmp_dir}/folded", schema=schema) == counted(plain, schema=schema)
+    assert counted(f"{tmp_dir}/folded") == counted(plain)
+    assert readers.read_text_csv(spark, f"{tmp_dir}/folded").count() == readers.read_text_csv(spark, plain).count()
+    if compression == "none":  # byte for byte, with a header in every file that has rows
+        def lines(path):
+            texts = [open(f"{path}/{f}", newline="", encoding="utf-8").read() for f in _csv_files(path)]
+            assert all(t.startswith("a,b.c,n,d\n") and t.endswith("\n") for t in texts if t)
+            return Counter(line for t in texts for line in t.split("\n")[1:-1])
+        assert lines(f"{tmp_dir}/folded") == lines(plain)
+
+
+def test_one_row_with_millions_of_copies_is_dealt_and_written_in_blocks(spark, tmp_dir):
+    folded = spark.createDataFrame([("x", 1, 20_000_000), ("y", 2, 1)], "a string, b int, __copies bigint")
+    assert sinks.write_if_rows(folded, f"{tmp_dir}/t", copies="__copies", compression="lz4") == 20_000_001
+    sizes = [os.path.getsize(f"{tmp_dir}/t/{f}") for f in _csv_files(f"{tmp_dir}/t")]
+    assert len(sizes) == 8 and max(sizes) < 2 * min(sizes) and sum(sizes) < 1_000_000
+    back = readers.read_text_csv(spark, f"{tmp_dir}/t").groupBy("a").count().collect()
+    assert {tuple(r) for r in back} == {("x", 20_000_000), ("y", 1)}
+
+
+def test_folded_table_without_rows_or_with_fewer_rows_than_tasks(spark, tmp_dir):
+    none = spark.createDataFrame([], "a string, b int, __copies bigint")
+    assert sinks.write_if_rows(none, f"{tmp_dir}/e", copies="__copies") == 0 and not os.path.exists(f"{tmp_dir}/e")
+    for i in range(6):  # whichever tasks get the row
+        one = spark.createDataFrame([(str(i), None, 1)], "a string, b int, __copies bigint")
+        assert sinks.write_if_rows(one, f"{tmp_dir}/o", copies="__copies", compression="lz4") == 1
+        assert [r["a"] for r in readers.read_text_csv(spark, f"{tmp_dir}/o").collect()] == [str(i)]
+    sinks.write_csv(one.select("a", "b"), f"{tmp_dir}/o", mode="append")  # a file that says nothing about its rows
+    assert not readers.by_lines(spark, f"{tmp_dir}/o") and readers.read_text_csv(spark, f"{tmp_dir}/o").count() == 2

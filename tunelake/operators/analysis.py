@@ -262,12 +262,14 @@ def join_on_keys(left: DataFrame, right: DataFrame, left_select: Mapping[str, st
     return l.join(r, cond, how)
 
 
-def lyrics_tracks_join(lyrics: DataFrame, tracks: DataFrame) -> DataFrame:
+def lyrics_tracks_join(lyrics: DataFrame, tracks: DataFrame, folded: bool = False) -> DataFrame:
     """JOB11 join with the music column names.
 
     Lyrics give the output their keys only, so equal ones are folded before
     the join and the matches unfolded after it: the join grows with the
     tables, and all tasks make the rows of an m:n match, equal ones in a row.
+    ``folded`` leaves the unfolding to the writer, which then finds the number
+    of copies in ``__copies``.
     """
     keys = fold(lyrics.select("artist_name", "track_name"))
     matches = join_on_keys(
@@ -276,7 +278,7 @@ def lyrics_tracks_join(lyrics: DataFrame, tracks: DataFrame) -> DataFrame:
         right_columns=["artist_name", "track_name", "popularity", *S.AUDIO_FEATURES],
         on=[("lyrics_artist", "artist_name"), ("lyrics_track", "track_name")],
     )
-    return unfold(matches)
+    return matches if folded else unfold(matches)
 
 
 def with_match_count(df: DataFrame, name: str = "matches") -> tuple[DataFrame, Observation]:

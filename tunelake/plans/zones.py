@@ -325,8 +325,8 @@ def analytics_zone(spark: SparkSession, layout: manifest.ZoneLayout, zone: str =
     if lyrics is not None and tracks is not None:
         lyrics = readers.rename_if_present(lyrics, {"song_name": "track_name"})
         path = layout.analytics("lyrics_tracks_combined")
-        # m x n rows for a key that m lyrics and n tracks share: compressed, as equal rows follow each other
-        matches = sinks.write_if_rows(A.lyrics_tracks_join(lyrics, tracks), path, compression="gzip")
+        # m x n rows for a key that m lyrics and n tracks share: m equal ones at a time, compressed
+        matches = sinks.write_if_rows(A.lyrics_tracks_join(lyrics, tracks, folded=True), path, copies="__copies", compression="lz4")
         report.counts["lyrics_tracks_combined"] = {"rows_out": matches}
         log.info("lyrics_tracks_combined: %d matches", matches)
         if matches:

@@ -23,6 +23,9 @@ log = logging.getLogger(__name__)
 CSV_OPTIONS = {"encoding": "utf-8", "escape": '"', "ignoreLeadingWhiteSpace": "false",
                "ignoreTrailingWhiteSpace": "false"}
 
+# In the name of a CSV file: no row goes over several lines.
+LINES = ".lines"
+
 
 def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | None = None,
              infer: bool = False, **options) -> DataFrame:
@@ -39,8 +42,20 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
 
 def read_text_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | None = None,
                   infer: bool = False) -> DataFrame:
-    """SRC2: quoted multi-line text, UTF-8, ``"`` escaping ``"``."""
-    return read_csv(spark, path, schema, infer, multiLine="true")
+    """SRC2: quoted multi-line text, UTF-8, ``"`` escaping ``"``. Files that
+    say they have one line per row are read by lines, for the same rows."""
+    paths = [path] if isinstance(path, str) else list(path)
+    return read_csv(spark, path, schema, infer, multiLine=str(not all(by_lines(spark, p) for p in paths)).lower())
+
+
+def by_lines(spark: SparkSession, path: str) -> bool:
+    """Do all CSV files of a folder have ``LINES`` in their name?"""
+    folder, fs = hadoop(spark, path)
+    if not fs.exists(folder):
+        return False
+    names = [status.getPath().getName() for status in fs.listStatus(folder)]
+    names = [name for name in names if not name.startswith(("_", "."))]
+    return bool(names) and all(LINES + ".csv" in name for name in names)
 
 
 def read_csv_by_name(spark: SparkSession, paths: Sequence[str], forms: Sequence[Sequence[str]],

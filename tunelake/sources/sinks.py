@@ -16,7 +16,11 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tunelake.sources.readers import CSV_OPTIONS, delete_path, hadoop, path_exists
+from tunelake.operators.copies import cut, deal
+from tunelake.sources.readers import CSV_OPTIONS, LINES, delete_path, hadoop, path_exists
+
+# Bytes of equal CSV lines that are written at a time.
+BLOCK = 1 << 17
 
 
 def _beside(path: str, kind: str) -> str:
@@ -133,16 +137,61 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", compression: st
     return path
 
 
-def write_if_rows(df: DataFrame, path: str | None, fmt: str = "csv", **options) -> int:
+def write_folded_csv(df: DataFrame, path: str, copies: str = "__copies", compression: str = "none") -> int:
+    """``write_csv`` of folded rows (``operators.copies``), every one as often
+    as its ``copies`` column says. Returns the number of rows written.
+
+    The line of a row is formatted once and repeated as text. The first row of
+    a task, and so of its file, takes the header along. Files in which no row
+    goes over several lines carry ``LINES`` in their name. The table has two
+    columns or more (CSV has no row for a lone NULL).
+    """
+    names = [c for c in df.columns if c != copies]
+    if len(names) < 2:
+        raise ValueError("a folded CSV needs two columns or more")
+    line, n = F.col("__line"), F.col(copies)
+
+    def csv_line(row: Column) -> Column:
+        return F.to_csv(row, CSV_OPTIONS)
+
+    text = deal(df.select(csv_line(F.struct(*[F.col(f"`{c}`") for c in names])).alias("__line"), copies), copies)
+    blocks = cut(text, F.greatest(F.lit(1), F.floor(F.lit(BLOCK) / (F.octet_length(line) + 1))), copies)
+    seen = Observation()
+    # NUL may begin a comment to the parser, which then skips the row in files and blanks it in lines
+    blocks = blocks.observe(seen, F.sum(n).alias("rows"), F.bool_or(line.rlike(r"[\r\n\x00]")).alias("breaks"))
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    header = F.concat(csv_line(F.struct(*[F.lit(c) for c in names])), F.lit("\n"))
+    lines = blocks.select(F.concat(F.when(first, header).otherwise(""), line,
+                                   F.repeat(F.concat(F.lit("\n"), line), (n - 1).cast("int"))).alias("value"))
+
+    def write(to: str) -> None:
+        lines.write.option("compression", compression).option("lineSep", "\n").option("maxRecordsPerFile", 0).text(to)
+        suffix = ".csv" if seen.get["breaks"] or any(b in c for c in names for b in "\r\n\0") else LINES + ".csv"
+        folder, fs = hadoop(df.sparkSession, to)
+        for status in fs.listStatus(folder):
+            part = status.getPath()
+            stem, text, codec = part.getName().rpartition(".txt")
+            if text and not fs.rename(part, hadoop(df.sparkSession, posixpath.join(to, stem + suffix + codec))[0]):
+                raise OSError(f"{part} could not be renamed")
+
+    publish(df.sparkSession, path, write)
+    return int(seen.get["rows"] or 0)
+
+
+def write_if_rows(df: DataFrame, path: str | None, fmt: str = "csv", copies: str | None = None, **options) -> int:
     """SNK3/JN4: write when a path is given and count the rows in the same
     pass; an output without rows is removed again. Returns the row count.
+    Rows folded under ``copies`` are written (to CSV) as often as that says;
     ``options`` go to the writer."""
     if not path:
         return 0
-    rows = Observation()
-    counted = df.observe(rows, F.count(F.lit(1)).alias("rows"))
-    (write_csv if fmt == "csv" else write_parquet)(counted, path, **options)
-    n = int(rows.get["rows"])
+    if copies:
+        n = write_folded_csv(df, path, copies, **options)
+    else:
+        rows = Observation()
+        counted = df.observe(rows, F.count(F.lit(1)).alias("rows"))
+        (write_csv if fmt == "csv" else write_parquet)(counted, path, **options)
+        n = int(rows.get["rows"])
     if not n:
         delete_path(df.sparkSession, path)
     return n
