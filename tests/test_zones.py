@@ -240,3 +240,27 @@ def test_many_to_many_lyrics_match_is_whole_and_small_on_disk(spark, tmp_dir):
     per_row = back.groupBy(*back.columns).count().collect()
     assert len(per_row) == 400 and {r["count"] for r in per_row} == {500} and {r["track_name"] for r in per_row} == {'A "b", c'}
     assert sum(os.path.getsize(f"{path}/{f}") for f in os.listdir(path)) < 2_000_000
+
+
+def _match(spark, layout, artist, lyrics, tracks):
+    """Tables of one song: every lyric meets every track."""
+    def table(n, *columns):
+        return spark.range(n).select(F.lit(artist).alias("artist_name"), F.lit('A "b", c').alias("track_name"), *[F.expr(c) for c in columns])
+    table(lyrics, "int(id) AS song_id", "'la' AS song_lyrics").write.parquet(layout.formatted("songs-lyrics"))
+    table(tracks, "string(id) AS track_id", "int(id) AS popularity", "200000L AS duration_ms",
+          *[f"id / 7 AS {c}" for c in S.AUDIO_FEATURES]).write.parquet(layout.formatted("spotify-tracks-dataset"))
+
+
+def _match_back(spark, layout):
+    back = readers.read_text_csv(spark, layout.analytics("lyrics_tracks_combined"))
+    assert back.columns == ["lyrics_artist", "lyrics_track", "artist_name", "track_name", "popularity", *S.AUDIO_FEATURES]
+    return {(r["popularity"], r["lyrics_artist"], r["track_name"]): r["count"] for r in back.groupBy("popularity", "lyrics_artist", "track_name").count().collect()}
+
+
+def test_large_match_is_written_in_blocks_and_read_by_lines(spark, tmp_dir):
+    layout = manifest.ZoneLayout(tmp_dir)
+    _match(spark, layout, "Band", 20000, 150)
+    assert zones.analytics_zone(spark, layout).counts["lyrics_tracks_combined"]["rows_out"] == 20000 * 150
+    files = [f for f in os.listdir(layout.analytics("lyrics_tracks_combined")) if f.startswith("part-")]
+    assert files and all(f.endswith(".lines.csv.lz4") for f in files)
+    assert _match_back(spark, layout) == {(str(i), "Band", 'A "b", c'): 20000 for i in range(150)}
