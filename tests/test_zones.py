@@ -264,3 +264,12 @@ def test_large_match_is_written_in_blocks_and_read_by_lines(spark, tmp_dir):
     files = [f for f in os.listdir(layout.analytics("lyrics_tracks_combined")) if f.startswith("part-")]
     assert files and all(f.endswith(".lines.csv.lz4") for f in files)
     assert _match_back(spark, layout) == {(str(i), "Band", 'A "b", c'): 20000 for i in range(150)}
+
+
+def test_match_with_line_breaks_is_parsed_whole(spark, tmp_dir):
+    layout = manifest.ZoneLayout(tmp_dir)
+    _match(spark, layout, 'two\n"lines"', 5000, 20)
+    assert zones.analytics_zone(spark, layout).counts["lyrics_tracks_combined"]["rows_out"] == 5000 * 20
+    files = [f for f in os.listdir(layout.analytics("lyrics_tracks_combined")) if f.startswith("part-")]
+    assert files and all(f.endswith(".csv.lz4") and ".lines" not in f for f in files)
+    assert _match_back(spark, layout) == {(str(i), 'two\n"lines"', 'A "b", c'): 5000 for i in range(20)}
